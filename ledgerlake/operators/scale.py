@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -74,11 +75,11 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> D
     return middle.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
 
 
-def with_dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """``dense_rank`` by descending value where a group may be too large for one task.
+def dense_ranks_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """``dense_rank`` by descending value, as a table of (keys, value, rank).
 
-    Distinct values are ranked band by band, the ranks of the bands above are added, and the
-    rank is joined back. Null values rank last, after every other value.
+    Made for groups too large for one task: the distinct values are ranked band by band and the
+    number of values in the bands above is added. Null ranks last.
     """
     distinct = df.select(*keys, value_band(F.col(value)).alias("_band"), value).distinct()
     above = W.partitionBy(*keys).orderBy(F.col("_band").desc_nulls_last()).rowsBetween(
@@ -91,13 +92,16 @@ def with_dense_rank_desc(df: DataFrame, keys: Sequence[str], value: str, name: s
     )
     in_band = W.partitionBy(*keys, "_band").orderBy(F.col(value).desc_nulls_last())
     inner = distinct.withColumn("_rank", F.row_number().over(in_band))
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "_band"]]
-    ranks = (
-        inner.alias("a").join(offsets.alias("b"), same)
-        .select(*[f"a.{k}" for k in keys], f"a.{value}", (F.col("_rank") + F.col("_above")).alias(name))
+    return join_null_safe(inner, offsets, [*keys, "_band"]).select(
+        *keys, value, (F.col("_rank") + F.col("_above")).alias(name)
     )
-    match = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, value]]
-    return df.alias("l").join(ranks.alias("r"), match).select("l.*", f"r.{name}")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join where null keys match each other; the keys come from the left side."""
+    match = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    extra = [f"r.{c}" for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), match).select("l.*", *extra)
 
 
 def with_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
@@ -123,3 +127,25 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFram
         .withColumn(name, F.col("_before") + F.col("_place") + 1)
         .drop("_id", "_part", "_place", "_before")
     )
+
+
+def numbered_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
+    """``row_number`` per key for few keys with very many rows each: global positions, rebased."""
+    placed = with_position(df, [*[F.col(k).asc_nulls_last() for k in keys], *order], "_pos")
+    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"))
+    return (
+        placed.join(broadcast_if_small(first), list(keys))
+        .withColumn(name, F.col("_pos") - F.col("_first") + 1)
+        .drop("_pos", "_first")
+    )
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back, for a result that several branches use.
+
+    A lost executor then costs a re-read, not a second pass over the fact table.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/ledgerlake-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

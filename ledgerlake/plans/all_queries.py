@@ -1,4 +1,4 @@
 """Import every query module so that the registry is filled."""
 
-from ledgerlake.plans import queries_layers  # noqa: F401
+from ledgerlake.plans import queries_layers, queries_layout, queries_marts  # noqa: F401
 from ledgerlake.plans.registry import ORACLES, QUERIES  # noqa: F401
