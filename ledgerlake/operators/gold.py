@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, ratio, today
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import broadcast_if_small
+from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small
 
 
 def _zero(name: str, alias: str | None = None):
@@ -23,25 +23,26 @@ def gold_perfil_360(
 ) -> DataFrame:
     """One row per client: transactions, current balances, last 90 days and a value class.
 
-    The fact is read once; the 90-day measures are conditional aggregates of the same pass.
+    The 90-day measures are conditional aggregates of the pass over all transactions.
     """
     recent = F.col("fecha_date") >= F.date_sub(today(as_of), 90)
-    activity = (
-        txn.filter(F.col("_quality_flag") == params.OK)
-        .groupBy("client_id")
-        .agg(
+    activity = aggregate_apart(
+        txn.filter(F.col("_quality_flag") == params.OK),
+        ["client_id"],
+        [
             F.count("*").alias("total_txn"),
             F.count_if(F.col("estado") == params.APROBADA).alias("aprobadas"),
             F.sum(amount_in("monto")).alias("ingresos"),
             F.sum(amount_out("monto")).alias("egresos"),
             F.sum("monto").alias("neto"),
             F.avg("monto").alias("ticket"),
-            F.count_distinct("producto_id").alias("productos"),
             F.min("fecha").alias("primera_txn"),
             F.max("fecha").alias("ultima_txn"),
             F.count_if(recent).alias("txn_90d"),
             F.sum(F.when(recent, F.col("monto"))).alias("volumen_90d"),
-        )
+        ],
+        [F.count_distinct("producto_id").alias("productos")],
+        drop_null_keys=True,
     )
     balance = (
         saldos.filter(F.col("estado_cuenta") == params.ACTIVA)
@@ -87,26 +88,24 @@ def gold_perfil_360(
 
 def gold_resumen_mensual_sucursal(txn: DataFrame, sucursales: DataFrame) -> DataFrame:
     """Month × branch. The branch names join after the aggregation, on a few rows."""
-    months = (
-        txn.filter(F.col("_quality_flag") == params.OK)
-        .groupBy("mes", "sucursal_id")
-        .agg(
+    months = aggregate_apart(
+        txn.filter((F.col("_quality_flag") == params.OK) & F.col("sucursal_id").isNotNull()),
+        ["mes", "sucursal_id"],
+        [
             F.count("*").alias("total_operaciones"),
-            F.count_distinct("client_id").alias("clientes_activos"),
             F.sum(amount_in("monto")).alias("captaciones"),
             F.sum(amount_out("monto")).alias("colocaciones"),
             F.sum("monto").alias("neto"),
             F.avg("monto_absoluto").alias("ticket_promedio"),
             ratio(F.count_if(F.col("estado") == params.APROBADA), F.count("*")).alias("tasa_aprobacion"),
-            F.count_distinct("producto_id").alias("productos_operados"),
             ratio(F.count_if("es_fin_semana"), F.count("*")).alias("pct_fin_semana"),
-        )
+        ],
+        [F.count_distinct("client_id").alias("clientes_activos"), F.count_distinct("producto_id").alias("productos_operados")],
     )
     places = broadcast_if_small(sucursales.select("sucursal_id", "comuna", "region"))
-    head = ["mes", "sucursal_id", "comuna", "region"]
     return months.join(places, "sucursal_id").select(
-        *head,
-        *[c for c in months.columns if c not in head],
+        "mes", "sucursal_id", "comuna", "region", "total_operaciones", "clientes_activos", "captaciones",
+        "colocaciones", "neto", "ticket_promedio", "tasa_aprobacion", "productos_operados", "pct_fin_semana",
         F.current_timestamp().alias("_gold_processed_at"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from ledgerlake.functions import month_of
 from ledgerlake.operators.marts import approved
-from ledgerlake.operators.scale import broadcast_if_small, numbered_within
+from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small, numbered_within
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -71,17 +71,16 @@ def q3_point_lookup(fact: DataFrame, client_id: int) -> DataFrame:
 
 def q4_agregacion_mensual(fact: DataFrame) -> DataFrame:
     """Approved activity by month."""
-    return (
-        approved(fact).drop("mes")
-        .groupBy(month_of("fecha").alias("mes"))
-        .agg(
+    return aggregate_apart(
+        approved(fact).withColumn("mes", month_of("fecha")),
+        ["mes"],
+        [
             F.count("*").alias("total_txn"),
-            F.count_distinct("client_id").alias("clientes_activos"),
             F.sum("monto").alias("volumen_total"),
             F.avg("monto").alias("ticket_promedio"),
-        )
-        .orderBy("mes")
-    )
+        ],
+        [F.count_distinct("client_id").alias("clientes_activos")],
+    ).orderBy("mes")
 
 
 def _client_months(df: DataFrame) -> DataFrame:

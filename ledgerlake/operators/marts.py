@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, month_of, percent, today, year_of
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import broadcast_if_small, exact_median
+from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small, exact_median
 from ledgerlake.operators.silver import newest_saldo
 
 
@@ -53,17 +53,24 @@ def approved(fact: DataFrame) -> DataFrame:
 def resumen_actividad(dim: DataFrame, fact: DataFrame) -> DataFrame:
     """Approved activity per client. The fact is reduced to clients before the dimension joins."""
     ok = approved(fact).filter(F.col("client_id").isNotNull())
-    per_client = ok.groupBy("client_id").agg(
-        F.count_distinct("txn_id").alias("total_transacciones"),
-        F.count_distinct("producto_id").alias("productos_utilizados"),
-        F.sum(amount_in("monto")).alias("total_ingresos"),
-        F.sum(amount_out("monto")).alias("total_egresos"),
-        F.sum("monto").alias("balance_neto"),
-        F.min("fecha").alias("primera_transaccion"),
-        F.max("fecha").alias("ultima_transaccion"),
-        F.datediff(F.max("fecha"), F.min("fecha")).alias("dias_actividad"),
-        F.avg("monto").alias("monto_promedio"),
-        F.count_distinct(month_of("fecha")).alias("meses_activo"),
+    per_client = aggregate_apart(
+        ok.withColumn("_mes", month_of("fecha")),
+        ["client_id"],
+        [
+            F.sum(amount_in("monto")).alias("total_ingresos"),
+            F.sum(amount_out("monto")).alias("total_egresos"),
+            F.sum("monto").alias("balance_neto"),
+            F.min("fecha").alias("primera_transaccion"),
+            F.max("fecha").alias("ultima_transaccion"),
+            F.datediff(F.max("fecha"), F.min("fecha")).alias("dias_actividad"),
+            F.avg("monto").alias("monto_promedio"),
+        ],
+        [
+            F.count_distinct("txn_id").alias("total_transacciones"),
+            F.count_distinct("producto_id").alias("productos_utilizados"),
+            F.count_distinct("_mes").alias("meses_activo"),
+        ],
+        drop_null_keys=True,
     )
     median = exact_median(ok, ["client_id"], "monto", "monto_mediana")
     return (
@@ -101,32 +108,40 @@ def top_clientes_sucursal(fact: DataFrame, dim: DataFrame, sucursales: DataFrame
 
 def metricas_productos(productos: DataFrame, fact: DataFrame) -> DataFrame:
     """Activity per product over all statuses; products without activity stay with count 0."""
-    activity = fact.groupBy("producto_id").agg(
-        F.count_distinct("client_id").alias("clientes_activos"),
-        F.count("txn_id").alias("total_operaciones"),
-        F.sum("monto").alias("volumen_total"),
-        F.avg("monto").alias("ticket_promedio"),
-        F.min("fecha").alias("primera_operacion"),
-        F.max("fecha").alias("ultima_operacion"),
+    activity = aggregate_apart(
+        fact,
+        ["producto_id"],
+        [
+            F.count("txn_id").alias("total_operaciones"),
+            F.sum("monto").alias("volumen_total"),
+            F.avg("monto").alias("ticket_promedio"),
+            F.min("fecha").alias("primera_operacion"),
+            F.max("fecha").alias("ultima_operacion"),
+        ],
+        [F.count_distinct("client_id").alias("clientes_activos")],
+        drop_null_keys=True,
     )
-    return productos.select("producto_id", "tipo", "segmento", "tasa_anual").join(
-        activity, "producto_id", "left"
-    ).fillna(0, ["clientes_activos", "total_operaciones"])
+    joined = productos.select("producto_id", "tipo", "segmento", "tasa_anual").join(activity, "producto_id", "left")
+    return joined.fillna(0, ["clientes_activos", "total_operaciones"])
 
 
 def resumen_mensual(fact: DataFrame, sucursales: DataFrame) -> DataFrame:
     """Month × type × region with the approval percentage."""
-    month = month_of("fecha")
-    joined = fact.drop("mes").join(broadcast_if_small(sucursales.select("sucursal_id", "region")), "sucursal_id")
+    regions = broadcast_if_small(sucursales.select("sucursal_id", "region"))
+    joined = fact.withColumn("mes", month_of("fecha")).join(regions, "sucursal_id")
     is_ok, is_rejected = F.col("estado") == params.APROBADA, F.col("estado") == params.RECHAZADA
-    return joined.groupBy(month.alias("mes"), "tipo", "region").agg(
-        F.count("*").alias("num_transacciones"),
-        F.count_distinct("client_id").alias("clientes_unicos"),
-        F.sum("monto").alias("volumen_total"),
-        F.avg("monto").alias("ticket_promedio"),
-        F.count_if(is_ok).alias("aprobadas"),
-        F.count_if(is_rejected).alias("rechazadas"),
-        percent(F.count_if(is_ok), F.count("*")).alias("tasa_aprobacion"),
+    return aggregate_apart(
+        joined,
+        ["mes", "tipo", "region"],
+        [
+            F.count("*").alias("num_transacciones"),
+            F.sum("monto").alias("volumen_total"),
+            F.avg("monto").alias("ticket_promedio"),
+            F.count_if(is_ok).alias("aprobadas"),
+            F.count_if(is_rejected).alias("rechazadas"),
+            percent(F.count_if(is_ok), F.count("*")).alias("tasa_aprobacion"),
+        ],
+        [F.count_distinct("client_id").alias("clientes_unicos")],
     )
 
 

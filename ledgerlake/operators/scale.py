@@ -140,6 +140,23 @@ def numbered_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     )
 
 
+def aggregate_apart(
+    df: DataFrame, keys: Sequence[str], regular: Sequence[Column], distinct: Sequence[Column], drop_null_keys: bool = False
+) -> DataFrame:
+    """Regular and distinct aggregates in two passes over narrow columns, joined on the keys.
+
+    In one pass every (key, distinct value) row would carry the buffers of all regular
+    aggregates through the shuffle; apart, the regular ones shrink to one row per key before it.
+    ``drop_null_keys`` is for callers that discard null keys anyway: the join then keeps the
+    partitioning of the aggregates.
+    """
+    if drop_null_keys:
+        for k in keys:
+            df = df.filter(F.col(k).isNotNull())
+    measures, counts = df.groupBy(*keys).agg(*regular), df.groupBy(*keys).agg(*distinct)
+    return measures.join(counts, list(keys)) if drop_null_keys else join_null_safe(measures, counts, keys)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back, for a result that several branches use.
 

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlake.functions import md5_draw, money
 from ledgerlake.params import CortesScore, CortesValor
@@ -27,8 +27,15 @@ TIPOS_TXN = ("Depósito", "Retiro", "Transferencia", "Pago", "Inversión", "Comi
 TIPOS_MOV = ("Cargo", "Abono", "Ajuste", "Interés", "Comisión")
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is read from the file footers once, not by a job per query."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _pick(index, labels):

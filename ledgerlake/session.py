@@ -16,6 +16,8 @@ BASE_CONF = {
     # INT96 timestamps carry no statistics, so files could not be skipped on them.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Parquet files are several times smaller than their rows; size bounds should mean rows.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -28,6 +30,9 @@ def local_session(name: str = "ledgerlake", cores: int | str = "*", partitions:
         builder = builder.config(key, value)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
+        # The test tables are files of one row group, which one task reads: a broadcast join would
+        # leave the rest of the stage to that task, a shuffle join spreads it over the cores.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

@@ -144,11 +144,12 @@ def gen_transactions(
     """Type sets the sign and range of the amount. Status and type both follow the row number, so
     only types 1, 3 and 5 are ever rejected."""
     seq = F.col("seq")
-    amount = F.lit(None).cast("long")
-    coin = F.when(draw(seq, 26, 0, 1) == 1, 1).otherwise(-1)
-    for turn, ((lo, hi), sign) in enumerate(zip(RANGOS_TXN, SIGNOS_TXN)):
-        value = draw(seq, 25, lo, hi) * (coin if sign is None else F.lit(sign))
-        amount = F.when(seq % len(TIPOS_TXN) == turn, value).otherwise(amount)
+    lo, hi, sign = (
+        F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), (seq % len(TIPOS_TXN)).cast("int") + 1)
+        for values in (*zip(*RANGOS_TXN), SIGNOS_TXN)
+    )
+    coin = draw(seq, 26, 0, 1) * 2 - 1
+    amount = draw(seq, 25, lo, hi) * F.coalesce(sign, coin)
     back = draw(seq, 24, 0, FIVE_YEARS_SECONDS)
     return ids.select(
         (seq + 1).alias("txn_id"),
