@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import pandas as pd
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ledgerlake.functions import month_of
 from ledgerlake.operators.marts import approved
-from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small, numbered_within
+from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small, size_bound, with_position
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
@@ -136,8 +140,7 @@ def q5_join_pesado(fact: DataFrame, movimientos: DataFrame, desde: str, hasta: s
 
 def file_count(df: DataFrame) -> int:
     """Files of about 256 MB for the table, from the optimizer's size bound."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, min(100_000, -(-size // TARGET_FILE_BYTES)))
+    return max(1, min(100_000, -(-size_bound(df) // TARGET_FILE_BYTES)))
 
 
 def cluster_table(df: DataFrame, path: str, keys: Sequence[str], n_files: int | None = None) -> DataFrame:
@@ -156,17 +159,58 @@ def cluster_table(df: DataFrame, path: str, keys: Sequence[str], n_files: int |
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def file_statistics(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Rows, bytes and the bounds of the columns per file; reads only those columns."""
+def file_statistics(spark: SparkSession, path: str, columns: Sequence[str], footers: bool = True) -> DataFrame:
+    """Rows, bytes and the bounds of the columns per file.
+
+    The bounds come from the file footers: tasks share out the files and read no data pages.
+    ``footers=False`` scans the columns instead, for file systems Arrow cannot open and for
+    columns without statistics.
+    """
+    table = spark.read.parquet(path)
+    if footers:
+        return _footer_statistics(spark, path, [table.schema[c] for c in columns])
     bounds = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
     return (
-        spark.read.parquet(path)
-        .select(F.col("_metadata.file_name").alias("archivo"), F.col("_metadata.file_size").alias("_size"), *columns)
+        table.select(F.col("_metadata.file_path").alias("archivo"), F.col("_metadata.file_size").alias("_size"), *columns)
         .groupBy("archivo")
         .agg(F.count("*").alias("filas"), F.max("_size").alias("bytes"), *bounds)
     )
 
 
+def _footer_statistics(spark: SparkSession, path: str, fields: Sequence[T.StructField]) -> DataFrame:
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+        .load(path).select(F.col("path").alias("archivo"), F.col("length").alias("bytes"))
+    )
+    names = [f.name for f in fields]
+    bounds = [T.StructField(f"{side}_{f.name}", f.dataType) for f in fields for side in ("min", "max")]
+    schema = T.StructType([
+        T.StructField("archivo", T.StringType()), T.StructField("filas", T.LongType()),
+        T.StructField("bytes", T.LongType()), *bounds,
+    ])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [footer_row(a, b, names) for a, b in zip(batch["archivo"], batch["bytes"])]
+            yield pd.DataFrame(rows, columns=schema.fieldNames(), dtype=object)
+
+    return files.mapInPandas(read, schema)
+
+
+def footer_row(uri: str, size: int, names: Sequence[str]) -> list:
+    """One file's row count and column bounds over its row groups; null where statistics lack."""
+    fs, where = pafs.FileSystem.from_uri(uri)
+    with fs.open_input_file(where) as source:
+        meta = pq.ParquetFile(source).metadata
+    place = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
+    row = [uri, meta.num_rows, size]
+    for name in names:
+        groups = [meta.row_group(g).column(place[name]) for g in range(meta.num_row_groups)]
+        stats = [g.statistics for g in groups if g.statistics is not None and g.statistics.has_min_max]
+        row += [min(s.min for s in stats), max(s.max for s in stats)] if stats else [None, None]
+    return row
+
+
 def _depths(stats: DataFrame, column: str) -> DataFrame:
     """How many files' ranges meet each file's range, from a sweep over the range ends.
 
@@ -226,11 +270,15 @@ def _paired_runs(log: DataFrame, before: str, after: str, query_type: str) -> Da
     runs = log.filter(
         F.col("query_tag").isin(before, after) & (F.col("query_type") == query_type) & (F.col("bytes_scanned") > 0)
     )
-    ties = [F.col(c).asc_nulls_last() for c in ("event_id", "query_text") if c in log.columns]
-    numbered = numbered_within(
-        runs, ["query_tag"], [F.col("start_time").asc_nulls_last(), *ties], "query"
-    )
+    ties = [c for c in ("event_id", "query_text") if c in log.columns]
+    order = [F.col(c).asc_nulls_last() for c in ("start_time", *ties)]
     measures = ["bytes_scanned", "partitions_scanned", "partitions_total", "total_elapsed_time"]
+    # Each tag is numbered on its own; a single tag may hold most of the log.
+    numbered = reduce(DataFrame.unionByName, [
+        with_position(runs.filter(F.col("query_tag") == tag).select("query_tag", "start_time", *ties, *measures),
+                      order, "query")
+        for tag in (before, after)
+    ])
     sides = [
         F.max(F.when(F.col("query_tag") == tag, F.col(m))).alias(f"{side}_{m}")
         for side, tag in (("nc", before), ("wc", after)) for m in measures

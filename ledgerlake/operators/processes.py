@@ -8,7 +8,13 @@ from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, banded, month_of, today
 from ledgerlake.functions.clock import AsOf
 from ledgerlake.operators.marts import approved
-from ledgerlake.operators.scale import dense_ranks_desc, join_null_safe, materialize
+from ledgerlake.operators.scale import (
+    ONE_TASK_LIMIT,
+    dense_ranks_desc,
+    join_null_safe,
+    materialize,
+    size_bound,
+)
 from ledgerlake.operators.silver import newest_saldo
 
 
@@ -116,27 +122,33 @@ def mensual_clientes(fact: DataFrame) -> DataFrame:
     )
 
 
-def agregacion_mensual_clientes(fact: DataFrame) -> DataFrame:
+def _trend(mensual: DataFrame) -> DataFrame:
+    """Running sums, moving mean and change on the month before; a client has one row per month."""
+    by_client = W.partitionBy("client_id").orderBy(F.col("mes").asc_nulls_last())
+    previous = F.col("mes_anterior_neto")
+    change = (F.col("neto") - previous) / F.abs(F.nullif(previous, F.lit(0))) * 100
+    return mensual.withColumns({
+        "ingresos_acum": F.sum("ingresos").over(by_client),
+        "egresos_acum": F.sum("egresos").over(by_client),
+        "neto_acum": F.sum("neto").over(by_client),
+        "promedio_movil_3m": F.round(F.avg("neto").over(by_client.rowsBetween(-2, 0)), 2),
+        "mes_anterior_neto": F.lag("neto", 1).over(by_client),
+    }).withColumn("variacion_mom", F.round(change, 2))
+
+
+def agregacion_mensual_clientes(fact: DataFrame, one_task: int = ONE_TASK_LIMIT) -> DataFrame:
     """Monthly activity per client with running sums, trend and the client's rank in the month.
 
-    The client windows hold one row per month. A month may hold every client, so its rank is
-    taken in bands; the monthly table is written once because both branches read it.
+    A month may hold every client. Unless one task could hold the whole fact, the rank is taken in
+    bands; the monthly table is then written once, because trend and rank both read it.
     """
-    mensual = materialize(mensual_clientes(fact))
-    by_client = W.partitionBy("client_id").orderBy(F.col("mes").asc_nulls_last())
-    last_three = by_client.rowsBetween(-2, 0)
-    previous = F.col("mes_anterior_neto")
-    trend = (
-        mensual.withColumns({
-            "ingresos_acum": F.sum("ingresos").over(by_client),
-            "egresos_acum": F.sum("egresos").over(by_client),
-            "neto_acum": F.sum("neto").over(by_client),
-            "promedio_movil_3m": F.round(F.avg("neto").over(last_three), 2),
-            "mes_anterior_neto": F.lag("neto", 1).over(by_client),
-        })
-        .withColumn("variacion_mom", F.round((F.col("neto") - previous) / F.abs(F.nullif(previous, F.lit(0))) * 100, 2))
-    )
-    return join_null_safe(trend, dense_ranks_desc(mensual, ["mes"], "neto", "ranking_mes"), ["mes", "neto"])
+    mensual = mensual_clientes(fact)
+    if size_bound(fact) <= one_task:
+        rank = F.dense_rank().over(W.partitionBy("mes").orderBy(F.col("neto").desc_nulls_last()))
+        return _trend(mensual).withColumn("ranking_mes", rank)
+    mensual = materialize(mensual)
+    ranks = dense_ranks_desc(mensual, ["mes"], "neto", "ranking_mes")
+    return join_null_safe(_trend(mensual), ranks, ["mes", "neto"])
 
 
 def serie_cliente(agregacion: DataFrame, client_id: int = 1, n: int = 12) -> DataFrame:

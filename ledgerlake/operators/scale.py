@@ -10,16 +10,20 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ledgerlake.session import shared_dir
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
+ONE_TASK_LIMIT = 256 * 1024 * 1024
+
+
+def size_bound(df: DataFrame) -> int:
+    """The optimizer's size bound in bytes: file sizes; projections lower it, joins multiply it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the optimizer's size bound of the plan is small.
+    """Hint a broadcast only when the size bound is small.
 
     Without the hint the join stays a shuffle join, which adaptive execution may split on skew.
-    The bound comes from file sizes; filters and projections only lower it, joins multiply it.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= max_bytes else df
+    return F.broadcast(df) if size_bound(df) <= max_bytes else df
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -43,12 +47,17 @@ def value_band(value: Column) -> Column:
     return F.when(value < 0, -band).otherwise(band)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Exact median per key without holding a key's values in one task.
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, name: str, one_task: int = ONE_TASK_LIMIT
+) -> DataFrame:
+    """Exact median per key without holding a large key's values in one task.
 
-    Equal values are counted first; the bands that hold the middle positions are found from the
-    band counts; only those bands are then put in order.
+    A table that one task could hold whole takes the built-in median. Beyond that, equal values
+    are counted first; the bands that hold the middle positions are found from the band counts;
+    only those bands are then put in order.
     """
+    if size_bound(df) <= one_task:
+        return df.groupBy(*keys).agg(F.median(value).alias(name)).filter(F.col(name).isNotNull())
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value_band(F.col(value)).alias("_band"), F.col(value).alias("_v"))
@@ -129,17 +138,6 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFram
     )
 
 
-def numbered_within(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """``row_number`` per key for few keys with very many rows each: global positions, rebased."""
-    placed = with_position(df, [*[F.col(k).asc_nulls_last() for k in keys], *order], "_pos")
-    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"))
-    return (
-        placed.join(broadcast_if_small(first), list(keys))
-        .withColumn(name, F.col("_pos") - F.col("_first") + 1)
-        .drop("_pos", "_first")
-    )
-
-
 def aggregate_apart(
     df: DataFrame, keys: Sequence[str], regular: Sequence[Column], distinct: Sequence[Column], drop_null_keys: bool = False
 ) -> DataFrame:

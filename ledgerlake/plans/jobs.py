@@ -74,7 +74,7 @@ def refresh_layers(
     def newest(source: str, keys: Sequence[str], order) -> DataFrame:
         path = f"{root}/silver/_{source}"
         streams.run(streams.dedup_stream(changes(source), f"{checkpoints}/_{source}", path, keys, order))
-        return read_version(spark, path)
+        return streams.read_newest(spark, path, keys, order)
 
     def branches() -> DataFrame:
         return read_table(spark, root, "raw/sucursales")

@@ -64,7 +64,7 @@ def s3(spark, sf):
         load.write.mode("append").parquet(path)
         changes = streams.read_changes(spark, path, landing.bronze_schema("clientes"))
         streams.run(streams.dedup_stream(changes, checkpoint, state, ["client_id"], _by_load))
-    return read_version(spark, state)
+    return streams.read_newest(spark, state, ["client_id"], _by_load)
 
 
 @query("s4_quality_gate", f"""with {S_MOV} select _quality_flag, count(*) registros from s_mov

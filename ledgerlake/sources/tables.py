@@ -29,7 +29,8 @@ def register_view(name: str, df: DataFrame) -> None:
     df.createOrReplaceTempView(name)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Committed versions in order; the listing is of version directories, not of data files."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(where):
@@ -45,8 +46,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
     """Newest committed version, or the newest below ``before``."""
-    versions = [v for v in _versions(spark, path) if before is None or v < before]
-    return versions[-1] if versions else None
+    return max((v for v in versions(spark, path) if before is None or v < before), default=None)
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

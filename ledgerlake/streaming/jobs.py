@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.operators.quality import run_metrics
 from ledgerlake.operators.scale import newest_per_key
 from ledgerlake.sources import ingest
-from ledgerlake.sources.tables import latest_version, read_version, write_version
+from ledgerlake.sources.tables import latest_version, read_version, versions, write_version
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -55,27 +56,39 @@ def stream_has_data(table: DataFrame, consumed: DataFrame, batch: str = "_source
     return unseen.agg((F.count("*") > 0).alias("has_data"))
 
 
+COMPACT_EVERY = 24
+
+
 def upsert_newest(
-    path: str, keys: Sequence[str], order: Callable[[], Sequence[Column]]
+    path: str, keys: Sequence[str], order: Callable[[], Sequence[Column]], compact_every: int = COMPACT_EVERY
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` sink that keeps the newest row per key in a versioned table.
+    """``foreachBatch`` sink that keeps the newest row per key.
 
-    The batch is reduced first. A late, older row does not replace a newer one, and a repeated
-    batch builds the same version from the version before it.
+    A batch is reduced and written on its own, so a small batch costs a small write; every few
+    batches all is merged into a new base. A repeated batch overwrites its own files, and a late,
+    older row never hides a newer one, because readers compare the rows, not the batches.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark, version = batch.sparkSession, batch_id + 1
-        fresh = newest_per_key(batch, keys, order())
-        previous = latest_version(spark, path, before=version)
-        if previous is not None:
-            current = read_version(spark, path, previous)
-            fresh = newest_per_key(current.unionByName(fresh), keys, order())
-        write_version(fresh, path, version)
+        newest_per_key(batch, keys, order()).write.mode("overwrite").parquet(f"{path}/delta/v={batch_id}")
+        if (batch_id + 1) % compact_every == 0:
+            merged = read_newest(batch.sparkSession, path, keys, order)
+            write_version(merged, f"{path}/base", batch_id)
 
     return apply
 
 
+def read_newest(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Callable[[], Sequence[Column]]
+) -> DataFrame:
+    """Newest row per key over the last base and the batches after it."""
+    base = latest_version(spark, f"{path}/base")
+    parts = [] if base is None else [read_version(spark, f"{path}/base", base)]
+    later = [v for v in versions(spark, f"{path}/delta") if base is None or v > base]
+    parts += [read_version(spark, f"{path}/delta", v) for v in later]
+    return newest_per_key(reduce(DataFrame.unionByName, parts), keys, order())
+
+
 def dedup_stream(
     changes: DataFrame,
     checkpoint: str,
@@ -84,7 +97,7 @@ def dedup_stream(
     order: Callable[[], Sequence[Column]],
     trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Incremental deduplication: newest row per key wins."""
+    """Incremental deduplication: newest row per key wins; read the result with ``read_newest``."""
     return (
         changes.writeStream.foreachBatch(upsert_newest(path, keys, order))
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
