@@ -15,6 +15,7 @@ from ledgerlake.operators.marts import approved
 from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small, size_bound, with_position
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+FOOTER_TASKS = 1024
 
 
 def in_period(df: DataFrame, lo: str, hi: str, closed: bool = True) -> DataFrame:
@@ -181,6 +182,8 @@ def _footer_statistics(spark: SparkSession, path: str, fields: Sequence[T.Struct
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
         .load(path).select(F.col("path").alias("archivo"), F.col("length").alias("bytes"))
+        # The listing is cut into tasks by file size, but a footer is quick to read.
+        .coalesce(FOOTER_TASKS)
     )
     names = [f.name for f in fields]
     bounds = [T.StructField(f"{side}_{f.name}", f.dataType) for f in fields for side in ("min", "max")]

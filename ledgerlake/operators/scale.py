@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlake.session import shared_dir
 
-BROADCAST_LIMIT = 32 * 1024 * 1024
+BROADCAST_LIMIT = 128 * 1024 * 1024
 ONE_TASK_LIMIT = 256 * 1024 * 1024
 
 

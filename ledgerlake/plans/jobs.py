@@ -59,9 +59,10 @@ def refresh_layers(
 
     Silver reads only what arrived since its last run: facts are appended, the newest client and
     balance versions are upserted. Gold is built anew, because distinct counts do not add up.
-    ``only`` forces single tables.
+    ``only`` forces single tables. A failing table is logged and stops the run; the next run goes
+    on from the checkpoints and the last committed versions.
     """
-    checkpoints, bronze, out = f"{root}/_checkpoints", f"{root}/bronze", {}
+    checkpoints, bronze, problem = f"{root}/_checkpoints", f"{root}/bronze", None
 
     def changes(name: str) -> DataFrame:
         return streams.read_changes(spark, f"{bronze}/{name}", bronze_schema(name))
@@ -104,15 +105,22 @@ def refresh_layers(
     for (layer, name), build in steps.items():
         if only is not None and name not in only:
             continue
-        began = time.time()
-        result = build()
-        path = f"{root}/{layer.lower()}/{name}"
-        rows = result if isinstance(result, int) else write_counted(result, path)
+        began, rows, problem = time.time(), None, None
+        try:
+            result = build()
+            path = f"{root}/{layer.lower()}/{name}"
+            rows = result if isinstance(result, int) else write_counted(result, path)
+        except Exception as exc:
+            problem = exc
         done = datetime.now(timezone.utc).replace(tzinfo=None)
-        log.append((name, layer, LAG_SECONDS[layer], time.time() - began, trigger, "SUCCEEDED", done, rows))
-        out[name] = rows
+        status = "FAILED" if problem else "SUCCEEDED"
+        log.append((name, layer, LAG_SECONDS[layer], time.time() - began, trigger, status, done, rows))
+        if problem:
+            break
     entries = spark.createDataFrame(log, REFRESH_LOG)
     save_table(entries, root, "log/refresh", "append")
+    if problem:
+        raise problem
     return entries
 
 
@@ -153,14 +161,19 @@ def run_deletions(
     salt: DataFrame | None = None,
     as_of: AsOf = None,
     executed_by: str = "ledgerlake",
+    resume: bool = False,
 ) -> DataFrame:
     """Process the pending requests of ``compliance/deletion_requests``; returns the request table.
 
     Each table gets a new version, then the log, then the requests; until that last write the
-    requests stay in PROCESSING. An error leaves them FAILED with its text.
+    requests stay in PROCESSING. An error leaves them FAILED with its text; after the loss of the
+    driver itself, ``resume`` takes up the requests it left in PROCESSING.
     """
     path, log_path = f"{root}/compliance/deletion_requests", f"{root}/compliance/deletion_log"
     requests = read_version(spark, path)
+    if resume:
+        left = F.when(F.col("status") == "PROCESSING", "PENDING").otherwise(F.col("status"))
+        requests = requests.withColumn("status", left)
     running = privacy.mark_processing(requests)
     write_version(running, path)
     try:

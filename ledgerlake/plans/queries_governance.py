@@ -187,8 +187,8 @@ TXN_SPECS = [("DUPLICATE_COUNT", "txn_id"), ("FRESHNESS", "fecha")]
 BAD_RUT = r"rut is not null and not regexp_matches(rut, '^[0-9]{2}\.[0-9]{3}\.[0-9]{3}-[0-9K]$') and length(rut) < 20"
 
 
-@query("i1_null_count", """select count_if(email is null)::bigint email, count_if(rut is null)::bigint rut,
-  count_if(telefono is null)::bigint telefono from cli""", ("cli",))
+@query("i1_null_count", """select count(*) filter (where email is null)::bigint email, count(*) filter (where rut is null)::bigint rut,
+  count(*) filter (where telefono is null)::bigint telefono from cli""", ("cli",))
 def i1(spark, sf):
     return fx.clientes(spark, sf).agg(*[quality.null_count(c).alias(c) for c in ("email", "rut", "telefono")])
 
@@ -210,9 +210,9 @@ def i4(spark, sf):
 
 
 METRICS_SQL = f"""metrics as (
-  select 'DIM_CLIENTES' tabla, 'NULL_COUNT' metrica, 'email' columna, count_if(email is null)::bigint valor from cli
-  union all select 'DIM_CLIENTES', 'NULL_COUNT', 'rut', count_if(rut is null)::bigint from cli
-  union all select 'DIM_CLIENTES', 'NULL_COUNT', 'telefono', count_if(telefono is null)::bigint from cli
+  select 'DIM_CLIENTES' tabla, 'NULL_COUNT' metrica, 'email' columna, count(*) filter (where email is null)::bigint valor from cli
+  union all select 'DIM_CLIENTES', 'NULL_COUNT', 'rut', count(*) filter (where rut is null)::bigint from cli
+  union all select 'DIM_CLIENTES', 'NULL_COUNT', 'telefono', count(*) filter (where telefono is null)::bigint from cli
   union all select 'DIM_CLIENTES', 'DUPLICATE_COUNT', 'client_id', count(client_id) - count(distinct client_id) from cli
   union all select 'DIM_CLIENTES', 'INVALID_RUT_COUNT', 'rut', count(*) from cli where {BAD_RUT}
   union all select 'FACT_TRANSACCIONES', 'DUPLICATE_COUNT', 'txn_id', count(txn_id) - count(distinct txn_id) from txn
@@ -295,7 +295,7 @@ def i9_tags(spark, sf):
 
 def _found(name, pattern):
     hits = f"len(regexp_extract_all(text, '{pattern}'))"
-    return f"count_if({hits} > 0)::bigint {name}_filas, sum({hits})::bigint {name}_hallazgos"
+    return f"count(*) filter (where {hits} > 0)::bigint {name}_filas, sum({hits})::bigint {name}_hallazgos"
 
 
 @query("i9_pii_in_text", f"""select source, lang, count(*) filas,

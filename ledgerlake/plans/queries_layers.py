@@ -100,7 +100,7 @@ def b4(spark, sf):
 
 
 C1_SQL = f"""with {S_CLI}, {S_TXN}, {S_SAL},
-t as (select client_id, count(*) n, count_if(estado = 'Aprobada') ap,
+t as (select client_id, count(*) n, count(*) filter (where estado = 'Aprobada') ap,
         sum(case when monto > 0 then monto else 0 end) ing, sum(case when monto < 0 then -monto else 0 end) egr,
         sum(monto) neto, {avg6('sum(monto)', 'count(*)')} ticket, count(distinct producto_id) prods,
         min(fecha) primera, max(fecha) ultima from s_txn where _quality_flag = 'OK' group by 1),
@@ -134,8 +134,8 @@ select mes, t.sucursal_id, comuna, region, count(*) total_operaciones, count(dis
   sum(case when monto > 0 then monto else 0 end)::double captaciones,
   sum(case when monto < 0 then -monto else 0 end)::double colocaciones, sum(monto)::double neto,
   {avg6('sum(monto_absoluto)', 'count(*)')} ticket_promedio,
-  count_if(estado = 'Aprobada')::double / count(*) tasa_aprobacion, count(distinct producto_id) productos_operados,
-  count_if(es_fin_semana)::double / count(*) pct_fin_semana
+  count(*) filter (where estado = 'Aprobada')::double / count(*) tasa_aprobacion, count(distinct producto_id) productos_operados,
+  count(*) filter (where es_fin_semana)::double / count(*) pct_fin_semana
 from s_txn t join suc s on t.sucursal_id = s.sucursal_id where _quality_flag = 'OK'
 group by mes, t.sucursal_id, comuna, region"""
 

@@ -77,9 +77,9 @@ def d7(spark, sf):
 
 D8_SQL = f"""select date_trunc('month', fecha)::date mes, tipo, region, count(*) num_transacciones,
   count(distinct client_id) clientes_unicos, sum(monto)::double volumen_total,
-  {avg6('sum(monto)', 'count(monto)')} ticket_promedio, count_if(estado = 'Aprobada')::bigint aprobadas,
-  count_if(estado = 'Rechazada')::bigint rechazadas,
-  {half_up("(count_if(estado = 'Aprobada') * 10000)", 'count(*)')}::double / 100 tasa_aprobacion
+  {avg6('sum(monto)', 'count(monto)')} ticket_promedio, count(*) filter (where estado = 'Aprobada')::bigint aprobadas,
+  count(*) filter (where estado = 'Rechazada')::bigint rechazadas,
+  {half_up("(count(*) filter (where estado = 'Aprobada') * 10000)", 'count(*)')}::double / 100 tasa_aprobacion
 from txn t join suc s on t.sucursal_id = s.sucursal_id group by 1, 2, 3"""
 
 

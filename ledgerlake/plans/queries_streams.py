@@ -91,7 +91,7 @@ def s4_append(spark, sf):
 
 
 @query("i7_metrics_on_change", f"""select 'CLIENTES' tabla, 'NULL_COUNT' metrica, 'email' columna,
-    count_if(email is null)::bigint valor, timestamp '{fx.AS_OF}' medido_en from bcli
+    count(*) filter (where email is null)::bigint valor, timestamp '{fx.AS_OF}' medido_en from bcli
   union all select 'CLIENTES', 'DUPLICATE_COUNT', 'client_id', count(client_id) - count(distinct client_id),
     timestamp '{fx.AS_OF}' from bcli
   union all select 'CLIENTES', 'INVALID_RUT_COUNT', 'rut', count(*), timestamp '{fx.AS_OF}' from bcli where {BAD_RUT}""",

@@ -23,6 +23,19 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(data_bytes: int, cores: int, partition_bytes: int = 200 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a cluster job over so much data: shuffles start with partitions that fit a task,
+    and adaptive execution merges those that turn out small and splits those that turn out large."""
+    partitions = max(2 * cores, -(-data_bytes // partition_bytes))
+    return {
+        **BASE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+    }
+
+
 def local_session(name: str = "ledgerlake", cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)

@@ -63,7 +63,6 @@ def compare(spark, con, fn, sql, sf) -> str | None:
     want_cols, want = rows([d[0] for d in rel.description], rel.fetchall())
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
-    types = {d[0]: str(d[1]) for d in rel.description}
     described = {r[0]: family(r[1]) for r in con.execute("describe " + sql).fetchall()}
     spark_types = {f.name: family(f.dataType.simpleString()) for f in df.schema.fields}
     if described != spark_types:
@@ -75,7 +74,6 @@ def compare(spark, con, fn, sql, sf) -> str | None:
         if a != b:
             diff = {c: (x, y) for c, x, y in zip(got_cols, a, b) if x != y}
             return f"first difference (spark, oracle) {diff} in {a}"
-    del types
     return None
 
 
