@@ -103,18 +103,20 @@ def _ids_by_months(df: DataFrame, key: str, name: str) -> DataFrame:
     return per_id.groupBy("client_id", "_meses").agg(F.count("*").alias(name))
 
 
-def q5_join_pesado(fact: DataFrame, movimientos: DataFrame, desde: str, hasta: str, n: int = 100) -> DataFrame:
-    """Transactions joined to the movements of the same client and month; top by volume.
+def _one_month(t: DataFrame, m: DataFrame) -> DataFrame:
+    """Both sides per client: an id can only lie in the one month."""
+    sides = []
+    for side, key, count, total in ((t, "txn_id", "num_txn", "_t"), (m, "movimiento_id", "num_mov", "_m")):
+        sides.append(side.groupBy("client_id").agg(
+            F.count_distinct(key).alias(count), F.count("*").alias(f"{total}_n"), F.sum("monto").alias(total)
+        ))
+    return sides[0].join(sides[1], "client_id").withColumns({
+        "volumen_txn": F.col("_t") * F.col("_m_n"), "volumen_mov": F.col("_m") * F.col("_t_n"),
+    })
 
-    The sums count every pair, so a transaction weighs as often as its month has movements. No
-    pair is built: each side is reduced to client and month, and a sum over pairs is one side's
-    sum times the other side's count. Distinct ids are counted on their own side.
-    """
-    t = in_period(fact, desde, hasta).withColumn("_mes", month_of("fecha"))
-    first = F.trunc(F.lit(desde).cast("date"), "month")
-    after = F.add_months(F.trunc(F.lit(hasta).cast("date"), "month"), 1)
-    m = movimientos.filter((F.col("fecha") >= first) & (F.col("fecha") < after)).withColumn("_mes", month_of("fecha"))
 
+def _several_months(t: DataFrame, m: DataFrame) -> DataFrame:
+    """Sums per client and month; an id found in two months still counts once per client."""
     sides = _client_months(t).alias("t").join(_client_months(m).alias("m"), ["client_id", "_mes"])
     sums = sides.groupBy("client_id").agg(
         F.sum(F.col("t.total") * F.col("m.n")).alias("volumen_txn"),
@@ -131,6 +133,25 @@ def q5_join_pesado(fact: DataFrame, movimientos: DataFrame, desde: str, hasta: s
             .agg(F.sum("_n").alias(name))
         )
         out = out.join(ids, "client_id", "left")
+    return out
+
+
+def q5_join_pesado(fact: DataFrame, movimientos: DataFrame, desde: str, hasta: str, n: int = 100) -> DataFrame:
+    """Transactions joined to the movements of the same client and month; top by volume.
+
+    The sums count every pair, so a transaction weighs as often as its month has movements. No
+    pair is built: each side is reduced to client and month, and a sum over pairs is one side's
+    sum times the other side's count. Distinct ids are counted on their own side.
+    """
+    t = in_period(fact, desde, hasta).withColumn("_mes", month_of("fecha"))
+    first = F.trunc(F.lit(desde).cast("date"), "month")
+    after = F.add_months(F.trunc(F.lit(hasta).cast("date"), "month"), 1)
+    m = movimientos.filter((F.col("fecha") >= first) & (F.col("fecha") < after)).withColumn("_mes", month_of("fecha"))
+
+    if desde[:7] == hasta[:7]:
+        out = _one_month(t, m)
+    else:
+        out = _several_months(t, m)
     return (
         out.select("client_id", F.coalesce("num_txn", F.lit(0)).alias("num_txn"),
                    F.coalesce("num_mov", F.lit(0)).alias("num_mov"), "volumen_txn", "volumen_mov")
@@ -161,7 +182,7 @@ def cluster_table(df: DataFrame, path: str, keys: Sequence[str], n_files: int |
 
 
 def file_statistics(spark: SparkSession, path: str, columns: Sequence[str], footers: bool = True) -> DataFrame:
-    """Rows, bytes and the bounds of the columns per file.
+    """Rows, bytes and the bounds of the columns per file; bounds are null where a file has none.
 
     The bounds come from the file footers: tasks share out the files and read no data pages.
     ``footers=False`` scans the columns instead, for file systems Arrow cannot open and for
@@ -192,28 +213,29 @@ def _footer_statistics(spark: SparkSession, path: str, fields: Sequence[T.Struct
         T.StructField("bytes", T.LongType()), *bounds,
     ])
 
+    # Nested, so that tasks get it with the plan and need not have this package installed.
+    def footer(uri: str, size: int) -> list:
+        fs, where = pafs.FileSystem.from_uri(uri)
+        with fs.open_input_file(where) as source:
+            meta = pq.ParquetFile(source).metadata
+        place = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
+        row = [uri, meta.num_rows, size]
+        for name in names:
+            groups = [meta.row_group(g).column(place[name]) for g in range(meta.num_row_groups)]
+            stats = [g.statistics for g in groups if g.statistics is not None and g.statistics.has_min_max]
+            row += [min(s.min for s in stats), max(s.max for s in stats)] if stats else [None, None]
+        return row
+
+    columns = schema.fieldNames()
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [footer_row(a, b, names) for a, b in zip(batch["archivo"], batch["bytes"])]
-            yield pd.DataFrame(rows, columns=schema.fieldNames(), dtype=object)
+            rows = [footer(a, b) for a, b in zip(batch["archivo"], batch["bytes"])]
+            yield pd.DataFrame(rows, columns=columns, dtype=object)
 
     return files.mapInPandas(read, schema)
 
 
-def footer_row(uri: str, size: int, names: Sequence[str]) -> list:
-    """One file's row count and column bounds over its row groups; null where statistics lack."""
-    fs, where = pafs.FileSystem.from_uri(uri)
-    with fs.open_input_file(where) as source:
-        meta = pq.ParquetFile(source).metadata
-    place = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
-    row = [uri, meta.num_rows, size]
-    for name in names:
-        groups = [meta.row_group(g).column(place[name]) for g in range(meta.num_row_groups)]
-        stats = [g.statistics for g in groups if g.statistics is not None and g.statistics.has_min_max]
-        row += [min(s.min for s in stats), max(s.max for s in stats)] if stats else [None, None]
-    return row
-
-
 def _depths(stats: DataFrame, column: str) -> DataFrame:
     """How many files' ranges meet each file's range, from a sweep over the range ends.
 

@@ -113,12 +113,17 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.alias("l").join(right.alias("r"), match).select("l.*", *extra)
 
 
-def with_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    """Global row numbers from 1 in the given total order, with no single-task window.
+def with_position(
+    df: DataFrame, order: Sequence[Column], name: str, one_task: int = ONE_TASK_LIMIT
+) -> DataFrame:
+    """Global row numbers from 1 in the given total order.
 
-    The sorted rows are checkpointed to the shared folder, which fixes their partitions; a row's
-    number is its place in its partition plus the sizes of the partitions before it.
+    Unless one task could hold the table, the sorted rows are checkpointed to the shared folder,
+    which fixes their partitions; a row's number is its place in its partition plus the sizes of
+    the partitions before it.
     """
+    if size_bound(df) <= one_task:
+        return df.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("long"))
     shared_dir(df.sparkSession)
     place = F.monotonically_increasing_id()
     fixed = (

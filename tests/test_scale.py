@@ -65,11 +65,13 @@ def test_bands_are_monotone(spark):
     assert bands == sorted(bands)
 
 
-def test_positions(spark):
+@pytest.mark.parametrize("one_task", [0, scale.ONE_TASK_LIMIT])
+def test_positions(spark, one_task):
     df = spark.range(5000).repartition(7).select((F.col("id") * 7919 % 5000).alias("x"))
-    got = scale.with_position(df, [F.col("x").asc()], "n").collect()
-    assert {r["n"]: r["x"] for r in got} == {i + 1: i for i in range(5000)}
-    assert "SinglePartition" not in plan_of(scale.with_position(df, [F.col("x").asc()], "n").select("x"))
+    out = scale.with_position(df, [F.col("x").asc()], "n", one_task)
+    assert {r["n"]: r["x"] for r in out.collect()} == {i + 1: i for i in range(5000)}
+    if not one_task:
+        assert "SinglePartition" not in plan_of(out.select("x"))
 
 
 @pytest.mark.parametrize("n", [0, 1, 37, 5000, 9000])
