@@ -29,7 +29,7 @@ from ledgerlake.plans.registry import RUN_TIME  # noqa: E402
 from ledgerlake.session import local_session, shared_dir  # noqa: E402
 from ledgerlake.sources import generators  # noqa: E402
 
-N_FILES = 16
+N_FILES = 8
 
 
 def store(df, path):

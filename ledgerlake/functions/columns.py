@@ -40,11 +40,11 @@ def initcap_trim(c: str) -> Column:
 
 
 def amount_in(c: str) -> Column:
-    return F.when(F.col(c) > 0, F.col(c)).otherwise(F.lit(0).cast(MONEY))
+    return F.expr(f"if({c} > 0, {c}, cast(0 as {MONEY}))")
 
 
 def amount_out(c: str) -> Column:
-    return F.when(F.col(c) < 0, F.abs(F.col(c))).otherwise(F.lit(0).cast(MONEY))
+    return F.expr(f"if({c} < 0, abs({c}), cast(0 as {MONEY}))")
 
 
 def ratio(part: Column, whole: Column) -> Column:

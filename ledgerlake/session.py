@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Parquet files are several times smaller than their rows; size bounds should mean rows.
     "spark.sql.sources.fileCompressionFactor": "4.0",
+    # Recording the call site of every column expression costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
