@@ -148,7 +148,7 @@ def agregacion_mensual_clientes(fact: DataFrame, one_task: int = ONE_TASK_LIMIT)
         return _trend(mensual).withColumn("ranking_mes", rank)
     mensual = materialize(mensual)
     ranks = dense_ranks_desc(mensual, ["mes"], "neto", "ranking_mes")
-    return join_null_safe(_trend(mensual), ranks, ["mes", "neto"])
+    return join_null_safe(_trend(mensual), ranks, ["neto", "mes"])
 
 
 def serie_cliente(agregacion: DataFrame, client_id: int = 1, n: int = 12) -> DataFrame:

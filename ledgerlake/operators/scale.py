@@ -11,6 +11,7 @@ from ledgerlake.session import shared_dir
 
 BROADCAST_LIMIT = 128 * 1024 * 1024
 ONE_TASK_LIMIT = 256 * 1024 * 1024
+NO_BAND = -1_000_000  # below every band of a decimal amount
 
 
 def size_bound(df: DataFrame) -> int:
@@ -90,19 +91,21 @@ def dense_ranks_desc(df: DataFrame, keys: Sequence[str], value: str, name: str)
     Made for groups too large for one task: the distinct values are ranked band by band and the
     number of values in the bands above is added. Null ranks last.
     """
-    distinct = df.select(*keys, value_band(F.col(value)).alias("_band"), value).distinct()
-    above = W.partitionBy(*keys).orderBy(F.col("_band").desc_nulls_last()).rowsBetween(
-        W.unboundedPreceding, -1
-    )
+    # As a struct, null keys equal each other and the join below needs no second shuffle. The band
+    # and the value lead the sort orders, where they tell rows apart sooner than the keys.
+    band = F.coalesce(value_band(F.col(value)), F.lit(NO_BAND))
+    distinct = df.select(band.alias("_band"), F.struct(*keys).alias("_key"), value).distinct()
+    above = W.partitionBy("_key").orderBy(F.col("_band").desc()).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        distinct.groupBy(*keys, "_band")
+        distinct.groupBy("_band", "_key")
         .agg(F.count("*").alias("_n"))
-        .select(*keys, "_band", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
+        .select("_band", "_key", F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_above"))
     )
-    in_band = W.partitionBy(*keys, "_band").orderBy(F.col(value).desc_nulls_last())
-    inner = distinct.withColumn("_rank", F.row_number().over(in_band))
-    return join_null_safe(inner, offsets, [*keys, "_band"]).select(
-        *keys, value, (F.col("_rank") + F.col("_above")).alias(name)
+    in_band = W.partitionBy("_band", "_key").orderBy(F.col(value).desc_nulls_last())
+    return (
+        distinct.withColumn("_rank", F.row_number().over(in_band))
+        .join(offsets, ["_band", "_key"])
+        .select("_key.*", value, (F.col("_rank") + F.col("_above")).alias(name))
     )
 
 
