@@ -1,8 +1,8 @@
 """The lab at its own volume: generate, refine, build marts, run the processes; seconds per step.
 
-    LEDGERLAKE_DRIVER_MEMORY=20g python bench_lab.py [scale, default 1.0 = 70 million rows]
+    LEDGERLAKE_DRIVER_MEMORY=20g python bench_lab.py [scale, default 1.0 = 70 million rows] [skew]
 
-Tables are written as Parquet under the shared folder (about 4 GB at scale 1).
+With ``skew`` a third of all facts go to one client and one branch. Tables are written as Parquet under the shared folder (about 4 GB at scale 1).
 """
 
 from __future__ import annotations
@@ -42,6 +42,13 @@ def main() -> None:
         return lambda: save_table(df, root, name)
 
     made = generators.generate_all(spark, scale, AS_OF)
+    if "skew" in sys.argv[2:]:
+        for name, key in (("transacciones", "txn_id"), ("movimientos", "movimiento_id"), ("saldos", "saldo_id")):
+            third = F.col(key) % 3 == 0
+            hot = [c for c in ("client_id", "sucursal_id") if c in made[name].columns]
+            made[name] = made[name].withColumns(
+                {c: F.when(third, F.lit(1).cast("long")).otherwise(F.col(c)) for c in hot}
+            )
     for name, df in made.items():
         step(f"generate {name}", save(df, f"raw/{name}"))
     raw = {n: read_table(spark, root, f"raw/{n}") for n in made}

@@ -94,9 +94,9 @@ def top_clientes_sucursal(fact: DataFrame, dim: DataFrame, sucursales: DataFrame
         F.count("*").alias("num_transacciones"),
         F.sum(F.abs("monto")).alias("_turnover"),
     )
-    named = turnover.join(dim.select("client_id", "nombre_completo", "segmento"), "client_id").join(
-        broadcast_if_small(sucursales.select("sucursal_id", "comuna")), "sucursal_id"
-    )
+    names = broadcast_if_small(dim.select("client_id", "nombre_completo", "segmento"))
+    places = broadcast_if_small(sucursales.select("sucursal_id", "comuna"))
+    named = turnover.join(names, "client_id").join(places, "sucursal_id")
     window = W.partitionBy("sucursal_id").orderBy(F.col("_turnover").desc_nulls_last(), F.col("client_id").asc())
     return (
         named.withColumn("ranking", F.row_number().over(window))

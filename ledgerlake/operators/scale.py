@@ -48,41 +48,68 @@ def value_band(value: Column) -> Column:
     return F.when(value < 0, -band).otherwise(band)
 
 
+MEDIAN = "decimal(18,3)"
+
+
 def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, name: str, one_task: int = ONE_TASK_LIMIT
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str,
+    one_task: int = ONE_TASK_LIMIT,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Exact median per key without holding a large key's values in one task.
+    """Exact median of an amount per key without holding a hot key's values in one task.
 
-    A table that one task could hold whole takes the built-in median. Beyond that, equal values
-    are counted first; the bands that hold the middle positions are found from the band counts;
-    only those bands are then put in order.
+    A table that one task could hold whole takes the built-in median, and so do, in larger tables,
+    the keys with few rows. Keys with more than ``hot_rows`` rows are found by a count, are few by
+    that bound, and take the banded median.
     """
+    df = df.filter(F.col(value).isNotNull()).select(*keys, value)
     if size_bound(df) <= one_task:
-        return df.groupBy(*keys).agg(F.median(value).alias(name)).filter(F.col(name).isNotNull())
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, value_band(F.col(value)).alias("_band"), F.col(value).alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        return _small_median(df, keys, value, name)
+    hot = materialize(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys))
+    if hot.isEmpty():
+        return _small_median(df, keys, value, name)
+    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    cold, heavy = (
+        df.alias("l").join(broadcast_if_small(hot).alias("h"), same, how) for how in ("left_anti", "left_semi")
     )
-    per_key = W.partitionBy(*keys)
+    return _small_median(cold, keys, value, name).unionByName(_banded_median(heavy, keys, value, name))
+
+
+def _small_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """The built-in median, over whole cents: it works in doubles, which hold those exactly."""
+    cents = F.median((F.col(value) * 100).cast("long")).cast("decimal(18,1)")
+    return df.groupBy(*keys).agg((cents / 100).cast(MEDIAN).alias(name))
+
+
+def _banded_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Equal values are counted first; the bands that hold the middle positions are found from the
+    band counts; only those bands are then put in order."""
+    counted = df.groupBy(
+        value_band(F.col(value)).alias("_band"), F.struct(*keys).alias("_key"), F.col(value).alias("_v")
+    ).agg(F.count("*").alias("_n"))
+    per_key = W.partitionBy("_key")
     bands = (
-        counted.groupBy(*keys, "_band")
+        counted.groupBy("_band", "_key")
         .agg(F.sum("_n").alias("_in_band"))
         .withColumn("_upto", F.sum("_in_band").over(per_key.orderBy("_band")))
         .withColumn("_total", F.sum("_in_band").over(per_key))
         .withColumn("_lo", F.expr("(_total + 1) div 2"))
         .withColumn("_hi", F.expr("_total div 2 + 1"))
         .filter("_upto >= _lo and _upto - _in_band < _hi")
-        .select(*keys, "_band", (F.col("_upto") - F.col("_in_band")).alias("_before"), "_lo", "_hi")
+        .select("_band", "_key", (F.col("_upto") - F.col("_in_band")).alias("_before"), "_lo", "_hi")
     )
-    in_band = W.partitionBy(*keys, "_band").orderBy("_v")
+    in_band = W.partitionBy("_band", "_key").orderBy("_v")
     middle = (
-        counted.join(bands, [*keys, "_band"])
+        counted.join(bands, ["_band", "_key"])
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(in_band))
         .filter("_upto >= _lo and _upto - _n < _hi")
     )
     # One or two values remain per key; their mean is the median.
-    return middle.groupBy(*keys).agg(((F.min("_v") + F.max("_v")) / 2).alias(name))
+    mean = ((F.min("_v") + F.max("_v")) / 2).cast(MEDIAN)
+    return middle.groupBy("_key").agg(mean.alias(name)).select("_key.*", name)
 
 
 def dense_ranks_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import marts, monitoring, processes
+from ledgerlake.operators.scale import exact_median
 from ledgerlake.plans import fixtures as fx
 from ledgerlake.plans.registry import avg6, cents, half_up, query
 
@@ -242,6 +243,20 @@ def e3(spark, sf):
     return monthly(spark, sf)
 
 
+@query("e3_ranking_en_bandas", E3_SQL + " select * from agg", ("txn",))
+def e3_banded(spark, sf):
+    """The way taken where a month is too large for one task."""
+    return processes.agregacion_mensual_clientes(fact(spark, sf, branch=False), 0, 0)
+
+
+@query("d5_mediana_en_bandas", """select client_id, median((monto * 100)::bigint::double) / 100 monto_mediana
+  from txn where estado = 'Aprobada' group by 1""", ("txn",))
+def d5_banded(spark, sf):
+    """The way taken for clients with too many transactions for one task."""
+    ok = marts.approved(fact(spark, sf, branch=False))
+    return exact_median(ok, ["client_id"], "monto", "monto_mediana", 0, 0)
+
+
 @query("e3s_serie_cliente", E3_SQL + " select * from agg where client_id = 1 order by mes limit 12", ("txn",))
 def e3s(spark, sf):
     return processes.serie_cliente(monthly(spark, sf), 1)

@@ -27,31 +27,32 @@ def skewed_rows(n=6000, seed=1):
         key = "hot" if i % 3 == 0 else f"k{rnd.randrange(200)}"
         value = None if i % 50 == 0 else D("7.00") if i % 9 == 0 else D(rnd.randrange(-10**6, 10**8)) / 100
         rows.append((key, value))
-    return rows
+    return rows + [(None, D("3.00")), (None, D("4.01"))]
 
 
-@pytest.mark.parametrize("one_task", [0, scale.ONE_TASK_LIMIT])
-def test_median(spark, one_task):
+@pytest.mark.parametrize("one_task,hot_rows", [(0, 0), (0, 500), (0, 10**6), (scale.ONE_TASK_LIMIT, 0)])
+def test_median(spark, one_task, hot_rows):
     rows = skewed_rows()
     groups = defaultdict(list)
     for k, v in rows:
         if v is not None:
             groups[k].append(v)
     df = spark.createDataFrame(rows, VALUE)
-    got = {r["k"]: r["m"] for r in scale.exact_median(df, ["k"], "v", "m", one_task).collect()}
-    assert {k: float(v) for k, v in got.items()} == {k: float(statistics.median(v)) for k, v in groups.items()}
+    got = {r["k"]: r["m"] for r in scale.exact_median(df, ["k"], "v", "m", one_task, hot_rows).collect()}
+    assert got == {k: statistics.median(v) for k, v in groups.items()}
 
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(-10**14, 10**14), min_size=1, max_size=30))
 def test_median_of_any_amounts(spark, cents):
     df = spark.createDataFrame([("k", D(c) / 100) for c in cents], VALUE)
-    got = scale.exact_median(df, ["k"], "v", "m", 0).first()["m"]
-    assert got == D(statistics.median(D(c) for c in cents)) / 100
+    want = D(statistics.median(D(c) for c in cents)) / 100
+    for limits in ((0, 0), (1 << 60, 0)):
+        assert scale.exact_median(df, ["k"], "v", "m", *limits).first()["m"] == want
 
 
 def test_dense_rank(spark):
-    df = spark.createDataFrame(skewed_rows() + [(None, D(1)), (None, D(2)), (None, D(2))], VALUE)
+    df = spark.createDataFrame(skewed_rows() + [(None, D(2)), (None, D(2)), (None, None)], VALUE)
     plain = df.withColumn("r", F.dense_rank().over(W.partitionBy("k").orderBy(F.col("v").desc_nulls_last())))
     banded = scale.join_null_safe(df, scale.dense_ranks_desc(df, ["k"], "v", "r"), ["k", "v"])
     assert Counter(map(tuple, plain.collect())) == Counter(map(tuple, banded.select("k", "v", "r").collect()))
@@ -99,7 +100,7 @@ def test_broadcast_depends_on_size(spark, sf):
 
 def test_monthly_ranks_agree_on_both_ways(spark, sf):
     f = fact(spark, sf, branch=False)
-    big = processes.agregacion_mensual_clientes(f, 0)
+    big = processes.agregacion_mensual_clientes(f, 0, 0)
     small = processes.agregacion_mensual_clientes(f, 1 << 60)
     assert sorted(map(tuple, big.collect()), key=repr) == sorted(map(tuple, small.select(big.columns).collect()), key=repr)
 
