@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import mixing, rules, slots
+from ledgerlake.llm import jaccard, mixing, rules, slots
 from ledgerlake.llm.oracles import ORACLES  # noqa: F401
+from ledgerlake.llm.shingles import Similarity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -29,6 +30,12 @@ def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    classes = jaccard.jaccard_classes(table(spark, sf, "documents"), Similarity(words=3, part=90))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op8_fair_mix(spark: SparkSession, sf: str) -> DataFrame:
     mix = mixing.fair_mix(table(spark, sf, "documents"))
