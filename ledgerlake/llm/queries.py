@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    judged = rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    judged = rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"), carry=["doc_id"])
     return judged.select(
         "doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlake.llm.text import SPACE, WORD, let, word_count
+from ledgerlake.operators.scale import materialize
 
 SYMBOL = r"[#*$%&|<>]"
 CAPITAL = r"\p{Lu}"
@@ -80,10 +81,10 @@ def repeated_words(words: Column) -> Column:
     )
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """The documents as a struct ``doc`` with counts and rates beside it."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    text = F.coalesce(F.col("doc.text"), F.lit(""))
+def measures(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """The carried columns of the documents as a struct ``doc`` with counts and rates beside it."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in carry])
+    text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.regexp_like(x, F.lit(WORD)))
     line_counts = let(
         lines, lambda x: F.struct(F.size(x).alias("all"), F.size(F.array_distinct(x)).alias("different"))
@@ -93,7 +94,7 @@ def measures(docs: DataFrame) -> DataFrame:
         return F.when(of > 0, F.floor(1000 * n / of)).otherwise(0).cast("long")
 
     return (
-        docs.select(whole.alias("doc"))
+        docs.select(whole.alias("doc"), F.col("text").alias("text"))
         .withColumn("n_words", word_count(text))
         .withColumn("word_chars", F.length(F.regexp_replace(text, SPACE, "")).cast("long"))
         .withColumn("n_symbols", F.regexp_count(text, F.lit(SYMBOL)).cast("long"))
@@ -104,6 +105,7 @@ def measures(docs: DataFrame) -> DataFrame:
         .withColumn("n_repeat_words", repeated_words(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))))
         .withColumn("n_capitals", F.regexp_count(text, F.lit(CAPITAL)).cast("long"))
         .withColumn("n_exclaims", F.regexp_count(text, F.lit("!")).cast("long"))
+        .drop("text")
         .withColumn("symbol_rate", rate(F.col("n_symbols"), F.col("n_words")))
         .withColumn("dup_line_rate", rate(F.col("n_dup_lines"), F.col("n_lines")))
         .withColumn("repeat_rate", rate(F.col("n_repeat_words"), F.col("n_words")))
@@ -206,13 +208,16 @@ def judge(
     levels: Sequence[Sequence[int]] = LEVELS,
     risk: float = RISK,
     confidence: float = CONFIDENCE,
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``doc`` (the document's columns as a struct), the counts, base_failed, level and kept.
+    """``doc`` (the carried columns as a struct, all by default), the counts, base_failed, level and kept.
 
-    The thresholds have a row per stratum and are joined like any table; the optimizer broadcasts
-    them by their measured size.
+    The measures are written once, as both the thresholds and the verdicts need them. The
+    thresholds have a row per stratum and are joined like any table; the optimizer broadcasts them
+    by their measured size.
     """
-    measured = measures(docs)
+    carry = docs.columns if carry is None else [*dict.fromkeys(["doc_id", "lang", *carry])]
+    measured = materialize(measures(docs, carry))
     levels_of = thresholds(measured, labels, levels, risk, confidence).select(
         F.col("stratum").alias("of"), F.col("level")
     )
