@@ -105,3 +105,28 @@ with d as (
 select q.doc_id, q.size, q.source_size, q.target, q.size * coalesce(n, 0) as taken
 from q left join took on took.key = q.key and took.doc_id is not distinct from q.doc_id and took.source is not distinct from q.source
 """
+
+LOWER_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op2_decontaminate"] = rf"""
+with b as (select item_id::varchar as item, {LOWER_WORDS} as words from benchmark),
+bw as (
+  select distinct item, least(10, len(words)) as width,
+    array_to_string(words[i:i + least(10, len(words)) - 1], ' ') as w
+  from (select *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as i from b where len(words) > 0)
+), widths as (select distinct width from bw),
+d as (select row_number() over () as rid, doc_id, {LOWER_WORDS} as words from documents),
+dw as (
+  select rid, width, i, array_to_string(words[i:i + width - 1], ' ') as w
+  from (select rid, words, width, unnest(range(1, len(words) - width + 2)) as i from d, widths where len(words) >= width)
+), hit as (select rid, i, dw.width, item from dw join bw using (width, w)),
+words as (
+  select rid, count(distinct place) as n_hit
+  from (select rid, unnest(range(i, i + width)) as place from (select distinct rid, i, width from hit)) group by rid
+), items as (
+  select rid, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as named from hit group by rid
+)
+select doc_id, len(d.words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(named, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (rid) left join items using (rid)
+"""

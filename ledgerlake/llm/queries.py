@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import jaccard, mixing, rules, slots
+from ledgerlake.llm import decontaminate, extract, fixity, jaccard, licenses, mixing, rules, slots, tokens, urls
 from ledgerlake.llm.oracles import ORACLES  # noqa: F401
 from ledgerlake.llm.shingles import Similarity
 
@@ -22,6 +22,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
+@query
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc.doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),
+        (F.col("hits.n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query
+def op3_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return extract.extract_text(table(spark, sf, "pages"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     judged = rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"), carry=["doc_id"])
@@ -36,6 +68,11 @@ def op6_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op7_fixity_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return fixity.fixity_audit(table(spark, sf, "pages"))
+
+
 @query
 def op8_fair_mix(spark: SparkSession, sf: str) -> DataFrame:
     mix = mixing.fair_mix(table(spark, sf, "documents"))
@@ -45,3 +82,8 @@ def op8_fair_mix(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
     return slots.shard_documents(table(spark, sf, "documents"))
+
+
+@query
+def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf, "pages"))
