@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlake.llm.components import components
 from ledgerlake.llm.shingles import Similarity, mix, shingle_set
-from ledgerlake.llm.text import row_key
+from ledgerlake.llm.text import packed, row_key
 from ledgerlake.operators.scale import materialize
 
 RANGES = 4  # fragments in which overlaps are counted
@@ -250,28 +250,65 @@ class Join:
         return found
 
     def classes(self) -> DataFrame:
-        """doc_id, row key, n_shingles and component_id of every row."""
+        """doc_id, row key, n_shingles, component_id and group of every row.
+
+        ``component_id`` is the smallest id of the row's component; ``group`` names the component
+        itself and is null for empty sets.
+        """
         links = materialize(self.links().distinct())
         labels = components(links)
-        first = self.copies.select(F.col("rep").alias("node"), "first_id")
         if self.by_id:
-            named = labels.select("node", F.col("label").alias("component"))
+            named = labels.select("node", "label", F.col("label").alias("component"))
         else:
             ids = self.rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"))
             of = labels.join(ids, "node")
-            named = of.join(of.groupBy("label").agg(F.min("id").alias("component")), "label").select("node", "component")
+            named = of.join(of.groupBy("label").agg(F.min("id").alias("component")), "label")
+            named = named.select("node", "label", "component")
         named = materialize(named)
+        words = F.col("n") > 0
         return (
             self.rows.join(self.copies, ["n", "f1", "f2"], "left")
             .withColumn("at", F.coalesce("rep", "node"))
             .join(named.withColumnRenamed("node", "at"), "at", "left")
             .select(
                 "doc_id", "key", F.col("n").alias("n_shingles"),
-                F.when(F.col("n") > 0, F.coalesce("component", "first_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                F.when(words, F.coalesce("component", "first_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                F.when(words, F.coalesce("label", "at")).alias("group"),
             )
         )
 
 
 def jaccard_classes(docs: DataFrame, similarity: Similarity) -> DataFrame:
-    """doc_id, row key, n_shingles and component_id of every document."""
+    """doc_id, row key, n_shingles, component_id and group of every document."""
     return Join(docs, similarity).classes()
+
+
+def one_of_each(docs: DataFrame, similarity: Similarity) -> DataFrame:
+    """The documents without near copies: of each group the one with the smallest id stays.
+
+    Null ids come after others; of repeated rows one stays; documents without words all stay.
+    """
+    classes = materialize(jaccard_classes(docs, similarity))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = classes.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("first"))
+    keep = first.select("first.doc_id", "first.key").union(
+        classes.filter(F.col("group").isNull()).select("doc_id", "key").distinct()
+    )
+    repeated = (
+        classes.filter(F.col("group").isNotNull()).groupBy("doc_id", "key").agg(F.count("*").alias("times"))
+        .filter("times > 1").select("doc_id", "key")
+    )
+    rows = docs.select(packed(docs).alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+
+    def among(other: DataFrame, how: str) -> DataFrame:
+        other = other.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+        return rows.join(other, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), how)
+
+    if repeated.isEmpty():
+        return among(keep, "left_semi").select("doc.*")
+    both = repeated.join(keep, (repeated["doc_id"].eqNullSafe(keep["doc_id"])) & (repeated["key"] == keep["key"]), "left_semi")
+    rows = among(keep, "left_semi")
+    once = among(both, "left_semi")
+    return among(both, "left_anti").select("doc.*").union(
+        once.groupBy(F.col("doc.doc_id"), "key").agg(F.first("doc").alias("doc")).select("doc.*")
+    )

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ledgerlake.llm.text import row_key, word_count
+from ledgerlake.llm.text import packed, row_key, word_count
 from ledgerlake.operators.scale import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -150,3 +150,16 @@ def fair_mix(
     return queue.select(
         "doc_id", "size", "source", "source_size", "target", count.alias("passes"), (F.col("size") * count).alias("taken"), "key"
     )
+
+
+def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
+    """The mix itself: every document as many times as it is taken."""
+    queue = fair_mix(docs, **parameters).filter("passes > 0 and size > 0")
+    taken = materialize(queue.groupBy("doc_id", "key").agg(F.max("passes").alias("passes")))
+    rows = docs.select(packed(docs).alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("r.key") == F.col("t.key"))
+    return (
+        rows.alias("r").join(taken.alias("t"), same)
+        .select("doc", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int"))).alias("pass"))
+        .select("doc.*")
+    )

@@ -130,3 +130,68 @@ select doc_id, len(d.words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_
   sha256(coalesce(named, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (rid) left join items using (rid)
 """
+
+
+def jaccard_sql(words: int, part: int) -> str:
+    """doc_id, n_shingles and component_id over a table ``documents`` with unique ids."""
+    gram = " || ' ' || ".join(f"words[i + {k}]" for k in range(words))
+    return rf"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents
+), sh as (
+  select distinct doc_id, {gram} as s
+  from (select doc_id, words, unnest(range(1, len(words) - {words} + 2)) as i from d where len(words) >= {words})
+  union all select doc_id, array_to_string(words, ' ') from d where len(words) between 1 and {words} - 1
+), n as (select doc_id, count(*) as n from sh group by doc_id
+), links as (
+  select p.a, p.b from (
+    select x.doc_id as a, y.doc_id as b, count(*) as c from sh x join sh y on x.s = y.s and x.doc_id <> y.doc_id group by all
+  ) p join n na on na.doc_id = p.a join n nb on nb.doc_id = p.b where 100 * c >= {part} * (na.n + nb.n - c)
+), reach as (
+  select doc_id, doc_id as root from d union select l.b, r.root from reach r join links l on l.a = r.doc_id
+)
+select r.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(root) as component_id
+from reach r left join n on n.doc_id = r.doc_id group by r.doc_id
+"""
+
+
+ORACLES["op6_jaccard_join"] = jaccard_sql(3, 90)
+
+# The pipeline, stage by stage: each stage's SQL over what the one before kept.
+_KEY = "('0x' || substr(md5(coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')), 1, 15))::bigint"
+
+
+def _over(sql: str, name: str) -> str:
+    return sql.replace("from documents", f"from {name}")
+
+
+def pipeline_sql(shards: int = 24, slots: int = 4096) -> str:
+    return rf"""
+with recursive s1 as (
+  select * from documents where doc_id in (select doc_id from ({ORACLES["op5_quality_rules"]}) where kept)
+), s2 as (
+  select * from s1 where doc_id in (
+    select doc_id from ({_over(jaccard_sql(5, 80), "s1")}) where doc_id = component_id)
+), s3 as (
+  select * from s2 where doc_id in (
+    select doc_id from ({_over(ORACLES["op2_decontaminate"], "s2")}) where not contaminated)
+), s4 as (
+  select s3.* from s3 join ({_over(ORACLES["op8_fair_mix"], "s3")}) m on m.doc_id = s3.doc_id,
+    unnest(range(case when m.size > 0 then m.taken // m.size else 0 end)) u(x)
+), v as (select *, ({_KEY} % {slots})::int as virtual_slot from s4
+), totals as (
+  select virtual_slot, sum(octet_length(encode(coalesce(text, ''))) + 8)::bigint as bytes from v group by virtual_slot
+), ranked as (
+  select *, row_number() over (order by bytes desc, virtual_slot) as rn from totals
+), fold as (
+  select 0::bigint as rn, list_transform(range({shards}), lambda x: 0::bigint) as load, null::int as virtual_slot, null::int as shard
+  union all
+  select r.rn,
+    list_transform(range(1, {shards} + 1), lambda i:
+      f.load[i] + case when i = list_position(f.load, list_min(f.load)) then r.bytes else 0 end),
+    r.virtual_slot, (list_position(f.load, list_min(f.load)) - 1)::int
+  from fold f join ranked r on r.rn = f.rn + 1
+)
+select v.*, fold.shard from v join fold on fold.virtual_slot = v.virtual_slot
+"""

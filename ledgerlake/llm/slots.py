@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ledgerlake.llm.text import byte_size, row_key
+from ledgerlake.llm.text import byte_size, packed, row_key
 from ledgerlake.operators.scale import materialize
 
 SLOTS = 4096
@@ -143,3 +143,13 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> Da
         "virtual_slot",
         F.col("version").alias("map_version"),
     )
+
+
+def with_shard(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> DataFrame:
+    """The documents with their virtual_slot and shard; columns of these names are replaced."""
+    slot_map = materialize(first_map(docs.sparkSession, slot_totals(records(docs, slots)), shards, slots))
+    others = docs.drop("virtual_slot", "shard")
+    rows = docs.select(packed(others).alias("doc"), virtual_slot(F.col("doc_id"), F.col("text"), slots).alias("virtual_slot"))
+    return rows.join(F.broadcast(slot_map.select("virtual_slot", "shard")), "virtual_slot").select(
+        "doc.*", "virtual_slot", "shard"
+    )
