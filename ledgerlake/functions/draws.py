@@ -14,12 +14,16 @@ PRIME = 2147483647  # 2**31 - 1: the square of a residue still fits in a long
 def draw(seq: Column, salt: int, lo: int | Column, hi: int | Column) -> Column:
     """Uniform integer in [lo, hi] from a row number, by modular arithmetic (no strings, no hashing).
 
-    The bounds may differ by row. Ranges wider than the prime would leave gaps.
+    The bounds may differ by row. Ranges wider than the prime would leave gaps. Row numbers beyond
+    the prime are two limbs; the upper one is weighed differently per salt, so two rows that agree
+    in one draw differ in the others.
     """
     if isinstance(lo, int) and isinstance(hi, int) and hi - lo >= PRIME:
         raise ValueError("range too wide for one draw")
     lo, hi = (F.lit(b).cast("long") if isinstance(b, int) else b for b in (lo, hi))
-    folded = (seq % F.lit(PRIME) + F.floor(seq / F.lit(PRIME)) * F.lit(104729) + F.lit(salt * 15485863)) % F.lit(PRIME)
+    upper = F.floor((seq - seq % F.lit(PRIME)) / F.lit(PRIME)) % F.lit(PRIME)
+    weight = (104729 + salt * salt * 7368787 + salt * 179424673) % PRIME
+    folded = (seq % F.lit(PRIME) + upper * F.lit(weight) % F.lit(PRIME) + F.lit(salt * 15485863)) % F.lit(PRIME)
     mixed = (folded * F.lit(48271) + F.lit(salt * 7919 + 1)) % F.lit(PRIME)
     squared = (mixed * mixed) % F.lit(PRIME)
     return (squared * F.lit(69621) + mixed) % F.lit(PRIME) % (hi - lo + F.lit(1)) + lo

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, ratio, today
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small
+from ledgerlake.operators.scale import added, aggregate_once, highest, lowest, mean_of
 
 
 def _zero(name: str, alias: str | None = None):
@@ -26,24 +26,24 @@ def gold_perfil_360(
     The 90-day measures are conditional aggregates of the pass over all transactions.
     """
     recent = F.col("fecha_date") >= F.date_sub(today(as_of), 90)
-    activity = aggregate_apart(
+    activity = aggregate_once(
         txn.filter(F.col("_quality_flag") == params.OK),
         ["client_id"],
-        [
-            F.count("*").alias("total_txn"),
-            F.count_if(F.col("estado") == params.APROBADA).alias("aprobadas"),
-            F.sum(amount_in("monto")).alias("ingresos"),
-            F.sum(amount_out("monto")).alias("egresos"),
-            F.sum("monto").alias("neto"),
-            F.avg("monto").alias("ticket"),
-            F.min("fecha").alias("primera_txn"),
-            F.max("fecha").alias("ultima_txn"),
-            F.count_if(recent).alias("txn_90d"),
-            F.sum(F.when(recent, F.col("monto"))).alias("volumen_90d"),
-        ],
-        [F.count_distinct("producto_id").alias("productos")],
+        {
+            "total_txn": added(F.count("*")),
+            "aprobadas": added(F.count_if(F.col("estado") == params.APROBADA)),
+            "ingresos": added(F.sum(amount_in("monto"))),
+            "egresos": added(F.sum(amount_out("monto"))),
+            "neto": added(F.sum("monto")),
+            "_con_monto": added(F.count("monto")),
+            "primera_txn": lowest("fecha"),
+            "ultima_txn": highest("fecha"),
+            "txn_90d": added(F.count_if(recent)),
+            "volumen_90d": added(F.sum(F.when(recent, F.col("monto")))),
+        },
+        {"productos": "producto_id"},
         drop_null_keys=True,
-    )
+    ).withColumn("ticket", mean_of("neto", "_con_monto"))
     balance = (
         saldos.filter(F.col("estado_cuenta") == params.ACTIVA)
         .groupBy("client_id")
@@ -88,21 +88,26 @@ def gold_perfil_360(
 
 def gold_resumen_mensual_sucursal(txn: DataFrame, sucursales: DataFrame) -> DataFrame:
     """Month × branch. The branch names join after the aggregation, on a few rows."""
-    months = aggregate_apart(
+    months = aggregate_once(
         txn.filter((F.col("_quality_flag") == params.OK) & F.col("sucursal_id").isNotNull()),
         ["mes", "sucursal_id"],
-        [
-            F.count("*").alias("total_operaciones"),
-            F.sum(amount_in("monto")).alias("captaciones"),
-            F.sum(amount_out("monto")).alias("colocaciones"),
-            F.sum("monto").alias("neto"),
-            F.avg("monto_absoluto").alias("ticket_promedio"),
-            ratio(F.count_if(F.col("estado") == params.APROBADA), F.count("*")).alias("tasa_aprobacion"),
-            ratio(F.count_if("es_fin_semana"), F.count("*")).alias("pct_fin_semana"),
-        ],
-        [F.count_distinct("client_id").alias("clientes_activos"), F.count_distinct("producto_id").alias("productos_operados")],
-    )
-    places = broadcast_if_small(sucursales.select("sucursal_id", "comuna", "region"))
+        {
+            "total_operaciones": added(F.count("*")),
+            "captaciones": added(F.sum(amount_in("monto"))),
+            "colocaciones": added(F.sum(amount_out("monto"))),
+            "neto": added(F.sum("monto")),
+            "_absoluto": added(F.sum("monto_absoluto")),
+            "_con_monto": added(F.count("monto_absoluto")),
+            "_aprobadas": added(F.count_if(F.col("estado") == params.APROBADA)),
+            "_fin_semana": added(F.count_if("es_fin_semana")),
+        },
+        {"clientes_activos": "client_id", "productos_operados": "producto_id"},
+    ).withColumns({
+        "ticket_promedio": mean_of("_absoluto", "_con_monto"),
+        "tasa_aprobacion": ratio(F.col("_aprobadas"), F.col("total_operaciones")),
+        "pct_fin_semana": ratio(F.col("_fin_semana"), F.col("total_operaciones")),
+    })
+    places = (sucursales.select("sucursal_id", "comuna", "region"))
     return months.join(places, "sucursal_id").select(
         "mes", "sucursal_id", "comuna", "region", "total_operaciones", "clientes_activos", "captaciones",
         "colocaciones", "neto", "ticket_promedio", "tasa_aprobacion", "productos_operados", "pct_fin_semana",

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ledgerlake.functions import month_of
 from ledgerlake.operators.marts import approved
-from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small, size_bound, with_position
+from ledgerlake.operators.scale import added, aggregate_once, mean_of, with_position
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-FOOTER_TASKS = 1024
 
 
 def in_period(df: DataFrame, lo: str, hi: str, closed: bool = True) -> DataFrame:
@@ -58,7 +55,7 @@ def q2_fecha_sucursal(
             F.count_distinct("client_id").alias("clientes_unicos"),
         )
     )
-    names = broadcast_if_small(sucursales.select("sucursal_id", "comuna"))
+    names = (sucursales.select("sucursal_id", "comuna"))
     return per_branch.join(names, "sucursal_id").select(
         "sucursal_id", "comuna", "num_txn", "volumen", "clientes_unicos"
     )
@@ -76,64 +73,25 @@ def q3_point_lookup(fact: DataFrame, client_id: int) -> DataFrame:
 
 def q4_agregacion_mensual(fact: DataFrame) -> DataFrame:
     """Approved activity by month."""
-    return aggregate_apart(
+    return aggregate_once(
         approved(fact).withColumn("mes", month_of("fecha")),
         ["mes"],
-        [
-            F.count("*").alias("total_txn"),
-            F.sum("monto").alias("volumen_total"),
-            F.avg("monto").alias("ticket_promedio"),
-        ],
-        [F.count_distinct("client_id").alias("clientes_activos")],
+        {"total_txn": added(F.count("*")), "volumen_total": added(F.sum("monto")), "_con_monto": added(F.count("monto"))},
+        {"clientes_activos": "client_id"},
+    ).select(
+        "mes", "total_txn", "volumen_total", mean_of("volumen_total", "_con_monto").alias("ticket_promedio"), "clientes_activos"
     ).orderBy("mes")
 
 
-def _client_months(df: DataFrame) -> DataFrame:
-    """Row count and sum per client and month."""
-    return df.groupBy("client_id", "_mes").agg(F.count("*").alias("n"), F.sum("monto").alias("total"))
-
-
-def _ids_by_months(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Distinct ids per client, by the set of months they appear in (nearly always one month)."""
-    per_id = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy("client_id", key)
-        .agg(F.array_sort(F.collect_set("_mes")).alias("_meses"))
+def _reduced(df: DataFrame, key: str) -> DataFrame:
+    """Row count and sum per client, month and id: all that the join needs of a side."""
+    return df.groupBy("client_id", "_mes", F.col(key).alias("_id")).agg(
+        F.count("*").alias("_n"), F.sum("monto").alias("_total")
     )
-    return per_id.groupBy("client_id", "_meses").agg(F.count("*").alias(name))
-
-
-def _one_month(t: DataFrame, m: DataFrame) -> DataFrame:
-    """Both sides per client: an id can only lie in the one month."""
-    sides = []
-    for side, key, count, total in ((t, "txn_id", "num_txn", "_t"), (m, "movimiento_id", "num_mov", "_m")):
-        sides.append(side.groupBy("client_id").agg(
-            F.count_distinct(key).alias(count), F.count("*").alias(f"{total}_n"), F.sum("monto").alias(total)
-        ))
-    return sides[0].join(sides[1], "client_id").withColumns({
-        "volumen_txn": F.col("_t") * F.col("_m_n"), "volumen_mov": F.col("_m") * F.col("_t_n"),
-    })
 
 
-def _several_months(t: DataFrame, m: DataFrame) -> DataFrame:
-    """Sums per client and month; an id found in two months still counts once per client."""
-    sides = _client_months(t).alias("t").join(_client_months(m).alias("m"), ["client_id", "_mes"])
-    sums = sides.groupBy("client_id").agg(
-        F.sum(F.col("t.total") * F.col("m.n")).alias("volumen_txn"),
-        F.sum(F.col("m.total") * F.col("t.n")).alias("volumen_mov"),
-        F.collect_set("_mes").alias("_en_comun"),
-    )
-    out = sums
-    for side, key, name in ((t, "txn_id", "num_txn"), (m, "movimiento_id", "num_mov")):
-        ids = (
-            _ids_by_months(side, key, "_n")
-            .join(sums.select("client_id", "_en_comun"), "client_id")
-            .filter(F.arrays_overlap("_meses", "_en_comun"))
-            .groupBy("client_id")
-            .agg(F.sum("_n").alias(name))
-        )
-        out = out.join(ids, "client_id", "left")
-    return out
+def _client_months(reduced: DataFrame, name: str) -> DataFrame:
+    return reduced.groupBy("client_id", "_mes").agg(F.sum("_n").alias(f"{name}_n"), F.sum("_total").alias(name))
 
 
 def q5_join_pesado(fact: DataFrame, movimientos: DataFrame, desde: str, hasta: str, n: int = 100) -> DataFrame:
@@ -148,10 +106,14 @@ def q5_join_pesado(fact: DataFrame, movimientos: DataFrame, desde: str, hasta: s
     after = F.add_months(F.trunc(F.lit(hasta).cast("date"), "month"), 1)
     m = movimientos.filter((F.col("fecha") >= first) & (F.col("fecha") < after)).withColumn("_mes", month_of("fecha"))
 
-    if desde[:7] == hasta[:7]:
-        out = _one_month(t, m)
-    else:
-        out = _several_months(t, m)
+    sides = {"num_txn": _reduced(t, "txn_id"), "num_mov": _reduced(m, "movimiento_id")}
+    both = _client_months(sides["num_txn"], "_t").join(_client_months(sides["num_mov"], "_m"), ["client_id", "_mes"])
+    out = both.groupBy("client_id").agg(
+        F.sum(F.col("_t") * F.col("_m_n")).alias("volumen_txn"), F.sum(F.col("_m") * F.col("_t_n")).alias("volumen_mov")
+    )
+    for name, side in sides.items():
+        ids = side.join(both.select("client_id", "_mes"), ["client_id", "_mes"], "left_semi")
+        out = out.join(ids.groupBy("client_id").agg(F.count_distinct("_id").alias(name)), "client_id", "left")
     return (
         out.select("client_id", F.coalesce("num_txn", F.lit(0)).alias("num_txn"),
                    F.coalesce("num_mov", F.lit(0)).alias("num_mov"), "volumen_txn", "volumen_mov")
@@ -161,8 +123,23 @@ def q5_join_pesado(fact: DataFrame, movimientos: DataFrame, desde: str, hasta: s
 
 
 def file_count(df: DataFrame) -> int:
-    """Files of about 256 MB for the table, from the optimizer's size bound."""
-    return max(1, min(100_000, -(-size_bound(df) // TARGET_FILE_BYTES)))
+    """Files of about 256 MB for the table, from the sizes of the files it is read from."""
+    listed = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")) if _stored(df) else None
+    total = listed.groupBy("f").agg(F.max("b").alias("b")).agg(F.sum("b")).first()[0] if listed is not None else _row_bytes(df)
+    return max(1, -(-(total or 0) // TARGET_FILE_BYTES))
+
+
+def _stored(df: DataFrame) -> bool:
+    """Whether the table is read from files as it is, with no operator between."""
+    try:
+        return df.select("_metadata.file_path") is not None
+    except AnalysisException:
+        return False
+
+
+def _row_bytes(df: DataFrame) -> int:
+    """Bytes of a derived table: its rows times the schema's row size, both known without guesses."""
+    return df.count() * sum(20 if f.dataType.simpleString() == "string" else 8 for f in df.schema.fields)
 
 
 def cluster_table(df: DataFrame, path: str, keys: Sequence[str], n_files: int | None = None) -> DataFrame:
@@ -173,7 +150,7 @@ def cluster_table(df: DataFrame, path: str, keys: Sequence[str], n_files: int |
     """
     if "fecha" in df.columns and "fecha_date" not in df.columns and dict(df.dtypes)["fecha"] != "date":
         df = df.withColumn("fecha_date", F.col("fecha").cast("date"))
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.lit(4096))
+    spread = F.xxhash64(*[c for c in df.columns if c not in keys])
     ranged = df.withColumn("_spread", spread).repartitionByRange(
         n_files or file_count(df), *[F.col(k) for k in keys], F.col("_spread")
     )
@@ -181,61 +158,20 @@ def cluster_table(df: DataFrame, path: str, keys: Sequence[str], n_files: int |
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def file_statistics(spark: SparkSession, path: str, columns: Sequence[str], footers: bool = True) -> DataFrame:
-    """Rows, bytes and the bounds of the columns per file; bounds are null where a file has none.
+def file_statistics(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Rows, bytes and the bounds of the columns per file, by a scan of these columns.
 
-    The bounds come from the file footers: tasks share out the files and read no data pages.
-    ``footers=False`` scans the columns instead, for file systems Arrow cannot open and for
-    columns without statistics.
+    Bounds are null where a file holds no value.
     """
-    table = spark.read.parquet(path)
-    if footers:
-        return _footer_statistics(spark, path, [table.schema[c] for c in columns])
     bounds = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
     return (
-        table.select(F.col("_metadata.file_path").alias("archivo"), F.col("_metadata.file_size").alias("_size"), *columns)
+        spark.read.parquet(path)
+        .select(F.col("_metadata.file_path").alias("archivo"), F.col("_metadata.file_size").alias("_size"), *columns)
         .groupBy("archivo")
         .agg(F.count("*").alias("filas"), F.max("_size").alias("bytes"), *bounds)
     )
 
 
-def _footer_statistics(spark: SparkSession, path: str, fields: Sequence[T.StructField]) -> DataFrame:
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-        .load(path).select(F.col("path").alias("archivo"), F.col("length").alias("bytes"))
-        # The listing is cut into tasks by file size, but a footer is quick to read.
-        .coalesce(FOOTER_TASKS)
-    )
-    names = [f.name for f in fields]
-    bounds = [T.StructField(f"{side}_{f.name}", f.dataType) for f in fields for side in ("min", "max")]
-    schema = T.StructType([
-        T.StructField("archivo", T.StringType()), T.StructField("filas", T.LongType()),
-        T.StructField("bytes", T.LongType()), *bounds,
-    ])
-
-    # Nested, so that tasks get it with the plan and need not have this package installed.
-    def footer(uri: str, size: int) -> list:
-        fs, where = pafs.FileSystem.from_uri(uri)
-        with fs.open_input_file(where) as source:
-            meta = pq.ParquetFile(source).metadata
-        place = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
-        row = [uri, meta.num_rows, size]
-        for name in names:
-            groups = [meta.row_group(g).column(place[name]) for g in range(meta.num_row_groups)]
-            stats = [g.statistics for g in groups if g.statistics is not None and g.statistics.has_min_max]
-            row += [min(s.min for s in stats), max(s.max for s in stats)] if stats else [None, None]
-        return row
-
-    columns = schema.fieldNames()
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [footer(a, b) for a, b in zip(batch["archivo"], batch["bytes"])]
-            yield pd.DataFrame(rows, columns=columns, dtype=object)
-
-    return files.mapInPandas(read, schema)
-
-
 def _depths(stats: DataFrame, column: str) -> DataFrame:
     """How many files' ranges meet each file's range, from a sweep over the range ends.
 
@@ -276,8 +212,8 @@ def clustering_information(spark: SparkSession, path: str, columns: Sequence[str
 
 
 def scan_report(stats: DataFrame, column: str, lo: Column, hi: Column) -> DataFrame:
-    """Files, rows and bytes that ``lo <= column <= hi`` cannot skip."""
-    touched = (F.col(f"max_{column}") >= lo) & (F.col(f"min_{column}") <= hi)
+    """Files, rows and bytes that ``lo <= column <= hi`` cannot skip; unknown bounds cannot be skipped."""
+    touched = F.coalesce((F.col(f"max_{column}") >= lo) & (F.col(f"min_{column}") <= hi), F.lit(True))
     share = F.count_if(touched) / F.nullif(F.count("*"), F.lit(0))
     return stats.agg(
         F.count("*").alias("archivos_total"),

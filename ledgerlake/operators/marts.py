@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, month_of, percent, today, year_of
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import aggregate_apart, broadcast_if_small, exact_median
+from ledgerlake.operators.scale import added, aggregate_once, exact_median, highest, lowest, mean_of
 from ledgerlake.operators.silver import newest_saldo
 
 
@@ -16,7 +16,7 @@ def dwh_dim_clientes(clientes: DataFrame, sucursales: DataFrame) -> DataFrame:
     places = sucursales.select(
         "sucursal_id", F.col("comuna").alias("sucursal_comuna"), F.col("region").alias("sucursal_region")
     )
-    return clientes.join(broadcast_if_small(places), "sucursal_id", "left").select(
+    return clientes.join((places), "sucursal_id", "left").select(
         "client_id", "rut", "nombre", "apellido",
         F.concat("nombre", F.lit(" "), "apellido").alias("nombre_completo"),
         "email", "telefono", "direccion", "fecha_registro", "segmento",
@@ -53,28 +53,28 @@ def approved(fact: DataFrame) -> DataFrame:
 def resumen_actividad(dim: DataFrame, fact: DataFrame) -> DataFrame:
     """Approved activity per client. The fact is reduced to clients before the dimension joins."""
     ok = approved(fact).filter(F.col("client_id").isNotNull())
-    per_client = aggregate_apart(
+    per_client = aggregate_once(
         ok.withColumn("_mes", month_of("fecha")),
         ["client_id"],
-        [
-            F.sum(amount_in("monto")).alias("total_ingresos"),
-            F.sum(amount_out("monto")).alias("total_egresos"),
-            F.sum("monto").alias("balance_neto"),
-            F.min("fecha").alias("primera_transaccion"),
-            F.max("fecha").alias("ultima_transaccion"),
-            F.datediff(F.max("fecha"), F.min("fecha")).alias("dias_actividad"),
-            F.avg("monto").alias("monto_promedio"),
-        ],
-        [
-            F.count_distinct("txn_id").alias("total_transacciones"),
-            F.count_distinct("producto_id").alias("productos_utilizados"),
-            F.count_distinct("_mes").alias("meses_activo"),
-        ],
+        {
+            "total_ingresos": added(F.sum(amount_in("monto"))),
+            "total_egresos": added(F.sum(amount_out("monto"))),
+            "balance_neto": added(F.sum("monto")),
+            "_con_monto": added(F.count("monto")),
+            "primera_transaccion": lowest("fecha"),
+            "ultima_transaccion": highest("fecha"),
+        },
+        {"productos_utilizados": "producto_id", "meses_activo": "_mes"},
         drop_null_keys=True,
-    )
+    ).withColumns({
+        "dias_actividad": F.datediff("ultima_transaccion", "primera_transaccion"),
+        "monto_promedio": mean_of("balance_neto", "_con_monto"),
+    })
+    # Ids are nearly as many as rows, so their count has a narrow pass of its own, as has the median.
+    ids = ok.groupBy("client_id").agg(F.count_distinct("txn_id").alias("total_transacciones"))
     median = exact_median(ok, ["client_id"], "monto", "monto_mediana")
     return (
-        per_client.join(median, "client_id", "left")
+        per_client.join(ids, "client_id").join(median, "client_id", "left")
         .join(dim.select("client_id", "segmento", "sucursal_comuna"), "client_id")
         .select(
             "client_id", "segmento", "sucursal_comuna", "total_transacciones", "productos_utilizados",
@@ -94,8 +94,8 @@ def top_clientes_sucursal(fact: DataFrame, dim: DataFrame, sucursales: DataFrame
         F.count("*").alias("num_transacciones"),
         F.sum(F.abs("monto")).alias("_turnover"),
     )
-    names = broadcast_if_small(dim.select("client_id", "nombre_completo", "segmento"))
-    places = broadcast_if_small(sucursales.select("sucursal_id", "comuna"))
+    names = (dim.select("client_id", "nombre_completo", "segmento"))
+    places = (sucursales.select("sucursal_id", "comuna"))
     named = turnover.join(names, "client_id").join(places, "sucursal_id")
     window = W.partitionBy("sucursal_id").orderBy(F.col("_turnover").desc_nulls_last(), F.col("client_id").asc())
     return (
@@ -108,18 +108,21 @@ def top_clientes_sucursal(fact: DataFrame, dim: DataFrame, sucursales: DataFrame
 
 def metricas_productos(productos: DataFrame, fact: DataFrame) -> DataFrame:
     """Activity per product over all statuses; products without activity stay with count 0."""
-    activity = aggregate_apart(
+    activity = aggregate_once(
         fact,
         ["producto_id"],
-        [
-            F.count("txn_id").alias("total_operaciones"),
-            F.sum("monto").alias("volumen_total"),
-            F.avg("monto").alias("ticket_promedio"),
-            F.min("fecha").alias("primera_operacion"),
-            F.max("fecha").alias("ultima_operacion"),
-        ],
-        [F.count_distinct("client_id").alias("clientes_activos")],
+        {
+            "total_operaciones": added(F.count("txn_id")),
+            "volumen_total": added(F.sum("monto")),
+            "_con_monto": added(F.count("monto")),
+            "primera_operacion": lowest("fecha"),
+            "ultima_operacion": highest("fecha"),
+        },
+        {"clientes_activos": "client_id"},
         drop_null_keys=True,
+    ).select(
+        "producto_id", "total_operaciones", "volumen_total", mean_of("volumen_total", "_con_monto").alias("ticket_promedio"),
+        "primera_operacion", "ultima_operacion", "clientes_activos",
     )
     joined = productos.select("producto_id", "tipo", "segmento", "tasa_anual").join(activity, "producto_id", "left")
     return joined.fillna(0, ["clientes_activos", "total_operaciones"])
@@ -127,21 +130,24 @@ def metricas_productos(productos: DataFrame, fact: DataFrame) -> DataFrame:
 
 def resumen_mensual(fact: DataFrame, sucursales: DataFrame) -> DataFrame:
     """Month × type × region with the approval percentage."""
-    regions = broadcast_if_small(sucursales.select("sucursal_id", "region"))
+    regions = (sucursales.select("sucursal_id", "region"))
     joined = fact.withColumn("mes", month_of("fecha")).join(regions, "sucursal_id")
     is_ok, is_rejected = F.col("estado") == params.APROBADA, F.col("estado") == params.RECHAZADA
-    return aggregate_apart(
+    return aggregate_once(
         joined,
         ["mes", "tipo", "region"],
-        [
-            F.count("*").alias("num_transacciones"),
-            F.sum("monto").alias("volumen_total"),
-            F.avg("monto").alias("ticket_promedio"),
-            F.count_if(is_ok).alias("aprobadas"),
-            F.count_if(is_rejected).alias("rechazadas"),
-            percent(F.count_if(is_ok), F.count("*")).alias("tasa_aprobacion"),
-        ],
-        [F.count_distinct("client_id").alias("clientes_unicos")],
+        {
+            "num_transacciones": added(F.count("*")),
+            "volumen_total": added(F.sum("monto")),
+            "_con_monto": added(F.count("monto")),
+            "aprobadas": added(F.count_if(is_ok)),
+            "rechazadas": added(F.count_if(is_rejected)),
+        },
+        {"clientes_unicos": "client_id"},
+    ).select(
+        "mes", "tipo", "region", "num_transacciones", "volumen_total",
+        mean_of("volumen_total", "_con_monto").alias("ticket_promedio"), "aprobadas", "rechazadas",
+        percent(F.col("aprobadas"), F.col("num_transacciones")).alias("tasa_aprobacion"), "clientes_unicos",
     )
 
 

@@ -12,23 +12,26 @@ def _ties(df: DataFrame) -> list[Column]:
     return [F.col("event_id").desc_nulls_last()] if "event_id" in df.columns else []
 
 
-def history(log: DataFrame, as_of: AsOf = None, hours: int = 1, limit: int = 100, at: str = "start_time") -> DataFrame:
-    """The newest entries of a log in the hours before ``as_of``, at most ``limit``."""
+def history(
+    log: DataFrame, as_of: AsOf = None, hours: int = 1, limit: int | None = 100, at: str = "start_time"
+) -> DataFrame:
+    """The newest entries of a log in the hours before ``as_of``, at most ``limit`` if that is given."""
     end = now(as_of)
     start = end - F.make_dt_interval(hours=F.lit(hours))
-    return (
-        log.filter((F.col(at) >= start) & (F.col(at) <= end))
-        .orderBy(F.col(at).desc_nulls_last(), *_ties(log))
-        .limit(limit)
-    )
+    recent = log.filter((F.col(at) >= start) & (F.col(at) <= end)).orderBy(F.col(at).desc_nulls_last(), *_ties(log))
+    return recent if limit is None else recent.limit(limit)
 
 
-def etl_timings(log: DataFrame, tag: str, as_of: AsOf = None, hours: int = 1, limit: int = 100) -> DataFrame:
-    """Seconds and rows of the tagged queries in the recent history, by start time."""
+def etl_timings(
+    log: DataFrame, tag: str, as_of: AsOf = None, hours: int = 1, limit: int | None = None
+) -> DataFrame:
+    """Seconds and rows of the tagged queries in the recent history, by start time.
+
+    The tag is tested first, so other queries of a busy hour push none out.
+    """
     seconds = F.round(F.col("total_elapsed_time").cast("decimal(18,0)") / 1000, 2)
     return (
-        history(log, as_of, hours, limit)
-        .filter(F.col("query_tag") == tag)
+        history(log.filter(F.col("query_tag") == tag), as_of, hours, limit)
         .orderBy("start_time")
         .select("query_text", seconds.alias("seconds"), "rows_produced")
     )

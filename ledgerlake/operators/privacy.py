@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ledgerlake.functions import MASKS, PRIVILEGED_ROLES, now, short_hash
 from ledgerlake.functions.clock import AsOf
 from ledgerlake.functions.masking import DELETED_EMAIL_SUFFIX
-from ledgerlake.operators.scale import broadcast_if_small, with_position
+from ledgerlake.operators.scale import with_position
 
 # Which mask each column gets, and the columns that hold personal data.
 POLICIES = {"rut": "rut", "email": "email", "telefono": "telefono", "nombre": "nombre", "apellido": "nombre"}
@@ -93,7 +93,7 @@ def pseudonymize(
     """
     if "_salt" not in targets.columns:
         targets = targets.withColumn("_salt", salt.scalar())
-    marked = df.join(broadcast_if_small(targets.select(key, "_salt")), key, "left")
+    marked = df.join((targets.select(key, "_salt")), key, "left")
     hit = F.col("_salt").isNotNull()
     changes = {}
     for c in columns:
@@ -151,11 +151,13 @@ def process_deletion_requests(
     as_of: AsOf = None,
     executed_by: str = "ledgerlake",
     last_log_id: int = 0,
+    earlier: DataFrame | None = None,
 ) -> DeletionResult:
     """Process every pending request in one run: one rewrite per table, not one per request.
 
     Each request has its own salt, derived from the run's secret. A client asked for twice is
-    hashed once. A request whose client is in no table completes with zero rows.
+    hashed once. A request whose client is in no table completes with zero rows. ``earlier`` is the
+    log of a run that broke off: what it says of a pending request and a table is not done again.
     """
     pending = requests.filter("status = 'PENDING'")
     per_request = F.left(F.sha2(F.concat_ws(":", salt.scalar(), F.col("request_id").cast("string")), 256), F.lit(32))
@@ -166,14 +168,20 @@ def process_deletion_requests(
         .agg(F.min("request_id").alias("request_id"))
         .select("client_id", per_request.alias("_salt"))
     )
-    changed, logs = {}, None
+    changed, logs, all_targets = {}, None, targets
+    asked = pending.select("request_id", F.col("user_id").alias("client_id"))
     for name, (df, columns) in tables.items():
+        open_, targets = asked, all_targets
+        if earlier is not None:
+            done = asked.join(earlier.filter(F.col("table_name") == name).select("request_id"), "request_id", "left_semi")
+            open_ = asked.join(done.select("request_id"), "request_id", "left_anti")
+            targets = all_targets.join(done.select("client_id").distinct(), "client_id", "left_anti")
         changed[name] = pseudonymize(df, targets, columns, as_of=as_of)
         per_client = (
-            df.join(broadcast_if_small(targets.select("client_id")), "client_id", "left_semi")
+            df.join(targets.select("client_id"), "client_id", "left_semi")
             .groupBy("client_id").agg(F.count("*").alias("rows_updated"))
         )
-        one = pending.select("request_id", F.col("user_id").alias("client_id")).join(
+        one = open_.join(
             per_client, "client_id", "left"
         ).select(
             "request_id",
@@ -184,7 +192,10 @@ def process_deletion_requests(
             F.lit(executed_by).alias("executed_by"),
         )
         logs = one if logs is None else logs.unionByName(one)
-    totals = logs.groupBy("request_id").agg(F.sum("rows_updated").alias("_rows"))
+    counted = logs.select("request_id", "rows_updated")
+    if earlier is not None:
+        counted = counted.unionByName(earlier.join(asked, "request_id", "left_semi").select("request_id", "rows_updated"))
+    totals = counted.groupBy("request_id").agg(F.sum("rows_updated").alias("_rows"))
     # Two log rows per table and request: ids from the request keep the numbering free of a sort.
     names = list(tables)
     place = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("table_name"))

@@ -8,13 +8,7 @@ from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, banded, month_of, today
 from ledgerlake.functions.clock import AsOf
 from ledgerlake.operators.marts import approved
-from ledgerlake.operators.scale import (
-    ONE_TASK_LIMIT,
-    dense_ranks_desc,
-    join_null_safe,
-    materialize,
-    size_bound,
-)
+from ledgerlake.operators.scale import dense_ranks_desc, join_null_safe, materialize
 from ledgerlake.operators.silver import newest_saldo
 
 
@@ -136,24 +130,15 @@ def _trend(mensual: DataFrame) -> DataFrame:
     }).withColumn("variacion_mom", F.round(change, 2))
 
 
-def agregacion_mensual_clientes(
-    fact: DataFrame, one_task: int = ONE_TASK_LIMIT, month_rows: int = 2_000_000
-) -> DataFrame:
+def agregacion_mensual_clientes(fact: DataFrame) -> DataFrame:
     """Monthly activity per client with running sums, trend and the client's rank in the month.
 
-    A month may hold every client. Unless one task could hold the whole fact, the monthly table is
-    written once, because trend and rank both read it, and the largest month counted; if that is
-    more than ``month_rows``, the rank is taken in bands.
+    A month may hold every client, so the rank is taken in bands of the value. The monthly table is
+    written once, because trend and rank both read it.
     """
-    mensual = mensual_clientes(fact)
-    if size_bound(fact) > one_task:
-        mensual = materialize(mensual)
-        largest = mensual.groupBy("mes").count().agg(F.max("count")).first()[0] or 0
-        if largest > month_rows:
-            ranks = dense_ranks_desc(mensual, ["mes"], "neto", "ranking_mes")
-            return join_null_safe(_trend(mensual), ranks, ["neto", "mes"])
-    rank = F.dense_rank().over(W.partitionBy("mes").orderBy(F.col("neto").desc_nulls_last()))
-    return _trend(mensual).withColumn("ranking_mes", rank)
+    mensual = materialize(mensual_clientes(fact))
+    ranks = dense_ranks_desc(mensual, ["mes"], "neto", "ranking_mes")
+    return join_null_safe(_trend(mensual), ranks, ["neto", "mes"])
 
 
 def serie_cliente(agregacion: DataFrame, client_id: int = 1, n: int = 12) -> DataFrame:

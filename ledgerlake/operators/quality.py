@@ -25,8 +25,6 @@ PII_IN_TEXT = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
     "PHONE_NUMBER": r"\+[0-9][0-9 ()-]{7,18}[0-9]",
 }
-# A character every match holds; texts without it are not searched.
-PII_MARKS = {"NATIONAL_ID": "-", "EMAIL": "@", "PHONE_NUMBER": "+"}
 # Column names that suggest personal data.
 PII_NAMES = {
     "NAME": ("nombre", "apellido", "nombre_completo"),
@@ -36,6 +34,7 @@ PII_NAMES = {
     "PHONE_NUMBER": ("telefono", "fono"),
 }
 
+# What tags may hold, and the tags that may hold anything.
 ALLOWED_VALUES = {"DATA_CLASSIFICATION": ("PII", "FINANCIAL", "CONFIDENTIAL", "PUBLIC")}
 FREE_TAGS = ("DATA_OWNER", "RETENTION_DAYS")
 TAGS_SCHEMA = "objeto string, columna string, tag string, valor string"
@@ -115,15 +114,12 @@ def classify_pii(
     patterns: dict[str, str] = PII_PATTERNS,
     threshold: float = 0.8,
     by_name: bool = True,
-    sample: float | None = None,
 ) -> DataFrame:
     """Category and share of matching values per text column, in one pass over the table.
 
     A column gets a category when enough of its non-null values match the pattern; failing that,
-    when its name is a known one. ``sample`` (a fraction) trades certainty for speed.
+    when its name is a known one.
     """
-    if sample is not None:
-        df = df.sample(sample, seed=7)
     names = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     rates = [F.avg(F.col(n).rlike(p).cast("int")).alias(f"{n}|{k}") for n in names for k, p in patterns.items()]
     hints = {n: next((k for k, known in PII_NAMES.items() if by_name and n.lower() in known), None) for n in names}
@@ -150,10 +146,7 @@ def auto_tag(classified: DataFrame, table: str) -> DataFrame:
 
 def pii_in_text(df: DataFrame, text: str, keys: Sequence[str], patterns: dict[str, str] = PII_IN_TEXT) -> DataFrame:
     """Rows and matches per kind of personal data found anywhere in a text column, per key."""
-    found = {
-        k: F.when(F.col(text).contains(PII_MARKS.get(k, "")), F.regexp_count(F.col(text), F.lit(p))).otherwise(0)
-        for k, p in patterns.items()
-    }
+    found = {k: F.coalesce(F.regexp_count(F.col(text), F.lit(p)), F.lit(0)) for k, p in patterns.items()}
     counts = [F.count_if(F.col(f"_{k}") > 0).alias(f"{k.lower()}_filas") for k in patterns]
     totals = [F.sum(f"_{k}").cast("long").alias(f"{k.lower()}_hallazgos") for k in patterns]
     scanned = df.select(*keys, *[v.alias(f"_{k}") for k, v in found.items()])

@@ -3,30 +3,16 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ledgerlake.session import shared_dir
 
-BROADCAST_LIMIT = 128 * 1024 * 1024
-ONE_TASK_LIMIT = 256 * 1024 * 1024
 NO_BAND = -1_000_000  # below every band of a decimal amount
 
 
-def size_bound(df: DataFrame) -> int:
-    """The optimizer's size bound in bytes: file sizes; projections lower it, joins multiply it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the size bound is small.
-
-    Without the hint the join stays a shuffle join, which adaptive execution may split on skew.
-    """
-    return F.broadcast(df) if size_bound(df) <= max_bytes else df
-
-
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
 
@@ -48,45 +34,20 @@ def value_band(value: Column) -> Column:
     return F.when(value < 0, -band).otherwise(band)
 
 
-MEDIAN = "decimal(18,3)"
-
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Exact median of a decimal or whole-number amount per key, whatever the size of a key.
 
-def exact_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    name: str,
-    one_task: int = ONE_TASK_LIMIT,
-    hot_rows: int = 1_000_000,
-) -> DataFrame:
-    """Exact median of an amount per key without holding a hot key's values in one task.
-
-    A table that one task could hold whole takes the built-in median, and so do, in larger tables,
-    the keys with few rows. Keys with more than ``hot_rows`` rows are found by a count, are few by
-    that bound, and take the banded median.
+    Equal values are counted first; the bands that hold the middle positions are found from the
+    band counts; only those bands are then put in order. One way for all sizes: the result has one
+    decimal more than the amount, which the mean of two amounts needs. Floating-point amounts are
+    refused, as equal sums of them need not be equal.
     """
-    df = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    if size_bound(df) <= one_task:
-        return _small_median(df, keys, value, name)
-    hot = materialize(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys))
-    if hot.isEmpty():
-        return _small_median(df, keys, value, name)
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    cold, heavy = (
-        df.alias("l").join(broadcast_if_small(hot).alias("h"), same, how) for how in ("left_anti", "left_semi")
-    )
-    return _small_median(cold, keys, value, name).unionByName(_banded_median(heavy, keys, value, name))
-
-
-def _small_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """The built-in median, over whole cents: it works in doubles, which hold those exactly."""
-    cents = F.median((F.col(value) * 100).cast("long")).cast("decimal(18,1)")
-    return df.groupBy(*keys).agg((cents / 100).cast(MEDIAN).alias(name))
-
-
-def _banded_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Equal values are counted first; the bands that hold the middle positions are found from the
-    band counts; only those bands are then put in order."""
+    kind = df.schema[value].dataType
+    if not isinstance(kind, (T.DecimalType, T.IntegralType)):
+        raise TypeError(f"exact_median needs a decimal or whole-number column, not {kind.simpleString()}")
+    precision, scale = (kind.precision, kind.scale) if isinstance(kind, T.DecimalType) else (20, 0)
+    result = T.DecimalType(min(38, precision + 1), scale + 1)
+    df = df.filter(F.col(value).isNotNull())
     counted = df.groupBy(
         value_band(F.col(value)).alias("_band"), F.struct(*keys).alias("_key"), F.col(value).alias("_v")
     ).agg(F.count("*").alias("_n"))
@@ -108,15 +69,15 @@ def _banded_median(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
         .filter("_upto >= _lo and _upto - _n < _hi")
     )
     # One or two values remain per key; their mean is the median.
-    mean = ((F.min("_v") + F.max("_v")) / 2).cast(MEDIAN)
+    mean = ((F.min("_v").cast(result) + F.max("_v").cast(result)) / 2).cast(result)
     return middle.groupBy("_key").agg(mean.alias(name)).select("_key.*", name)
 
 
 def dense_ranks_desc(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """``dense_rank`` by descending value, as a table of (keys, value, rank).
 
-    Made for groups too large for one task: the distinct values are ranked band by band and the
-    number of values in the bands above is added. Null ranks last.
+    The distinct values are ranked band by band and the
+    number of values in the bands above is added, so no group has to fit one task. Null ranks last.
     """
     # As a struct, null keys equal each other and the join below needs no second shuffle. The band
     # and the value lead the sort orders, where they tell rows apart sooner than the keys.
@@ -143,17 +104,13 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     return left.alias("l").join(right.alias("r"), match).select("l.*", *extra)
 
 
-def with_position(
-    df: DataFrame, order: Sequence[Column], name: str, one_task: int = ONE_TASK_LIMIT
-) -> DataFrame:
+def with_position(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """Global row numbers from 1 in the given total order.
 
-    Unless one task could hold the table, the sorted rows are checkpointed to the shared folder,
-    which fixes their partitions; a row's number is its place in its partition plus the sizes of
-    the partitions before it.
+    The sorted rows are checkpointed to the shared folder, which fixes their partitions; a row's
+    number is its place in its partition plus the sizes of the partitions before it. This runs a
+    job while the plan is built.
     """
-    if size_bound(df) <= one_task:
-        return df.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("long"))
     shared_dir(df.sparkSession)
     place = F.monotonically_increasing_id()
     fixed = (
@@ -167,27 +124,60 @@ def with_position(
     sizes = fixed.groupBy("_part").agg(F.count("*").alias("_n"))
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     return (
-        fixed.join(F.broadcast(offsets), "_part")
+        fixed.join(offsets, "_part")
         .withColumn(name, F.col("_before") + F.col("_place") + 1)
         .drop("_id", "_part", "_place", "_before")
     )
 
 
-def aggregate_apart(
-    df: DataFrame, keys: Sequence[str], regular: Sequence[Column], distinct: Sequence[Column], drop_null_keys: bool = False
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate that can be taken in two steps: ``first`` over rows, ``then`` over its results."""
+
+    first: Column
+    then: Callable[[Column], Column]
+
+
+def added(column: Column) -> Measure:
+    return Measure(column, F.sum)
+
+
+def lowest(column: str) -> Measure:
+    return Measure(F.min(column), F.min)
+
+
+def highest(column: str) -> Measure:
+    return Measure(F.max(column), F.max)
+
+
+def mean_of(total: str, n: str, kind: str = "decimal(22,6)") -> Column:
+    """Mean of a two-decimal amount from its sum and count, typed like the built-in average."""
+    return (F.col(total) / F.nullif(F.col(n), F.lit(0))).cast(kind)
+
+
+def aggregate_once(
+    df: DataFrame, keys: Sequence[str], measures: dict[str, Measure], distinct: dict[str, str], drop_null_keys: bool = False
 ) -> DataFrame:
-    """Regular and distinct aggregates in two passes over narrow columns, joined on the keys.
+    """Measures and distinct counts (name -> column) from one scan.
 
-    In one pass every (key, distinct value) row would carry the buffers of all regular
-    aggregates through the shuffle; apart, the regular ones shrink to one row per key before it.
-    ``drop_null_keys`` is for callers that discard null keys anyway: the join then keeps the
-    partitioning of the aggregates.
+    The rows are reduced once to the keys and the distinct columns, with the measures' first
+    steps; everything is taken from that. Each distinct count beyond the first reads the same
+    shuffle again and joins on the keys, so no row is copied per distinct column.
     """
     if drop_null_keys:
         for k in keys:
             df = df.filter(F.col(k).isNotNull())
-    measures, counts = df.groupBy(*keys).agg(*regular), df.groupBy(*keys).agg(*distinct)
-    return measures.join(counts, list(keys)) if drop_null_keys else join_null_safe(measures, counts, keys)
+    columns = list(dict.fromkeys(distinct.values()))
+    reduced = df.groupBy(*keys, *[c for c in columns if c not in keys]).agg(
+        *[m.first.alias(f"_{name}") for name, m in measures.items()]
+    )
+    out = None
+    for i, (name, column) in enumerate(distinct.items()):
+        count = F.count_distinct(column).alias(name)
+        more = [] if i else [m.then(F.col(f"_{n}")).alias(n) for n, m in measures.items()]
+        part = reduced.groupBy(*keys).agg(*more, count)
+        out = part if out is None else out.join(part, list(keys)) if drop_null_keys else join_null_safe(out, part, keys)
+    return out
 
 
 def materialize(df: DataFrame) -> DataFrame:

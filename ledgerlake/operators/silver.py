@@ -4,24 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake import params
 from ledgerlake.functions import banded, initcap_trim, month_of, now, quarter_of, today, weekday, years_between
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import broadcast_if_small, newest_per_key
+from ledgerlake.operators.scale import newest_per_key
+
+
+def newest_client_first(columns: Sequence[str]) -> list[Column]:
+    """The one total order of a client's versions, for the batch and the incremental job alike."""
+    ties = [F.col(c).asc_nulls_last() for c in sorted(columns) if c != "_loaded_at"]
+    return [F.col("_loaded_at").desc_nulls_last(), *ties]
+
+
+def newest_balance_first(columns: Sequence[str]) -> list[Column]:
+    """The one total order of a key's balances: cut date, balance id, then all other columns."""
+    first = ["fecha_corte", "saldo_id", "saldo_contable"]
+    return [F.col(c).desc_nulls_last() for c in [*first, *sorted(set(columns) - set(first))]]
 
 
 def silver_dim_clientes(bronze: DataFrame, sucursales: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Newest version of every client, cleaned, with the branch's place and the client's tenure."""
-    tie_break = [F.col(c).asc_nulls_last() for c in sorted(bronze.columns) if c != "_loaded_at"]
-    newest = newest_per_key(bronze, ["client_id"], [F.col("_loaded_at").desc_nulls_last(), *tie_break])
+    newest = newest_per_key(bronze, ["client_id"], newest_client_first(bronze.columns))
     places = sucursales.select(
         "sucursal_id", F.col("comuna").alias("sucursal_comuna"), F.col("region").alias("sucursal_region")
     )
     years = years_between(F.col("fecha_registro"), today(as_of))
     return (
-        newest.join(broadcast_if_small(places), "sucursal_id", "left")
+        newest.join((places), "sucursal_id", "left")
         .select(
             "client_id",
             "rut",
@@ -108,9 +119,8 @@ def silver_fact_movimientos(bronze: DataFrame, monto_anomalo: int = params.MONTO
 
 
 def newest_saldo(saldos: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Newest balance per key by cut date; the balance id breaks ties."""
-    order = [F.col(c).desc_nulls_last() for c in ("fecha_corte", "saldo_id", "saldo_contable")]
-    return newest_per_key(saldos, keys, order)
+    """Newest balance per key by cut date; the balance id, then the other columns break ties."""
+    return newest_per_key(saldos, keys, newest_balance_first(saldos.columns))
 
 
 def silver_saldos_actuales(bronze: DataFrame, rangos: Sequence[tuple] = params.RANGOS_SALDO) -> DataFrame:

@@ -135,7 +135,7 @@ def movimientos(spark: SparkSession, sf: str) -> DataFrame:
 
 def saldos(spark: SparkSession, sf: str) -> DataFrame:
     lineitem, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    rows = lineitem.filter("l_linestatus = 'O'").join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    rows = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
     price = money(F.col("l_extendedprice"))
     one = F.lit(1).cast("decimal(4,2)")
     net = price * (one - F.col("l_discount").cast("decimal(4,2)")).cast("decimal(4,2)")
@@ -148,7 +148,8 @@ def saldos(spark: SparkSession, sf: str) -> DataFrame:
         money(money(net) - 20000).alias("saldo_contable"),
         money(money(taxed) - 20000).alias("saldo_disponible"),
         price.alias("saldo_promedio_mes"),
-        F.when(F.col("l_returnflag") == "N", "Inactiva").otherwise("Activa").alias("estado_cuenta"),
+        F.when(F.col("l_linestatus") == "F", "Bloqueada").when(F.col("l_returnflag") == "N", "Inactiva")
+        .otherwise("Activa").alias("estado_cuenta"),
     )
 
 
@@ -293,8 +294,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         l_shipdate::date fecha_corte, l_tax,
         l_extendedprice::decimal(15,2) * (1 - l_discount::decimal(4,2))::decimal(4,2) neto,
         l_extendedprice::decimal(15,2) saldo_promedio_mes,
-        case when l_returnflag = 'N' then 'Inactiva' else 'Activa' end estado_cuenta
-        from lineitem join orders on l_orderkey = o_orderkey where l_linestatus = 'O')"""),
+        case when l_linestatus = 'F' then 'Bloqueada' when l_returnflag = 'N' then 'Inactiva' else 'Activa' end estado_cuenta
+        from lineitem join orders on l_orderkey = o_orderkey)"""),
     "bcli": (("cli",), """select * exclude (pseudonymized, pseudonymized_at),
         timestamp '2001-07-01 00:00:00' _loaded_at, 'initial_load' _source_file from cli
         union all by name

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from ledgerlake import params
 from ledgerlake.functions import now
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators import gold, marts, privacy, silver
+from ledgerlake.operators import gold, marts, privacy, processes, silver
+from ledgerlake.operators.restore import restore_as_of
 from ledgerlake.sources.landing import bronze_schema
-from ledgerlake.sources.tables import latest_version, read_table, read_version, save_table, write_version
+from ledgerlake.sources.tables import drop_versions, latest_version, read_table, read_version, save_table, write_version
 from ledgerlake.streaming import jobs as streams
 
-LAG_SECONDS = {"SILVER": 600, "GOLD": 1800}
+LAG_SECONDS = {"SILVER": 600, "GOLD": 1800, "DWH": 3600}
 REFRESH_LOG = (
     "name string, schema_name string, target_lag_sec long, actual_lag_sec double, refresh_trigger string, "
     "refresh_status string, last_completed_refresh_time timestamp_ntz, filas long"
@@ -32,11 +33,11 @@ def write_counted(df: DataFrame, path: str) -> int:
 
 
 def _newest_client():
-    return [F.col("_loaded_at").desc_nulls_last(), F.col("_source_file").asc_nulls_last()]
+    return silver.newest_client_first(bronze_schema("clientes").fieldNames())
 
 
 def _newest_balance():
-    return [F.col(c).desc_nulls_last() for c in ("fecha_corte", "saldo_id", "saldo_contable")]
+    return silver.newest_balance_first(bronze_schema("saldos").fieldNames())
 
 
 def current_flags(txn: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -75,7 +76,7 @@ def refresh_layers(
     def newest(source: str, keys: Sequence[str], order) -> DataFrame:
         path = f"{root}/silver/_{source}"
         streams.run(streams.dedup_stream(changes(source), f"{checkpoints}/_{source}", path, keys, order))
-        return streams.read_newest(spark, path, keys, order)
+        return streams.read_newest(spark, path, keys, order, bronze_schema(source))
 
     def branches() -> DataFrame:
         return read_table(spark, root, "raw/sucursales")
@@ -154,6 +155,48 @@ def run_marts(spark: SparkSession, root: str) -> dict[str, str]:
         return dict(zip(work, pool.map(one, work)))
 
 
+def run_processes(spark: SparkSession, root: str, as_of: AsOf = None) -> dict[str, int]:
+    """Scoring, reconciliation exceptions and the monthly aggregation, stored; returns their row counts."""
+    dim, fact = read_table(spark, root, "dwh/dim_clientes"), read_table(spark, root, "dwh/fact_transacciones")
+    saldos, movimientos = read_table(spark, root, "raw/saldos"), read_table(spark, root, "raw/movimientos")
+    work = {
+        "scoring_clientes": processes.scoring_clientes(dim, fact, saldos, as_of),
+        "excepciones_reconciliacion": processes.excepciones_reconciliacion(
+            processes.reconciliacion_saldos(movimientos, saldos)),
+        "agregacion_mensual_clientes": processes.agregacion_mensual_clientes(fact),
+    }
+    return {name: write_counted(df, f"{root}/dwh/{name}") for name, df in work.items()}
+
+
+def refresh_marts(spark: SparkSession, root: str, as_of: AsOf = None) -> DataFrame:
+    """The two marts that follow their sources within ``LAG_SECONDS["DWH"]``; returns the log rows."""
+    dim, branches, fact = (
+        read_table(spark, root, f"dwh/{n}") for n in ("dim_clientes", "dim_sucursales", "fact_transacciones")
+    )
+    saldos, movimientos = read_table(spark, root, "raw/saldos"), read_table(spark, root, "raw/movimientos")
+    work = {
+        "resumen_mensual": lambda: marts.resumen_mensual(fact, branches),
+        "posicion_cliente": lambda: marts.posicion_cliente(dim, saldos, fact, movimientos, as_of),
+    }
+    log = []
+    for name, build in work.items():
+        began = time.time()
+        rows = write_counted(build(), f"{root}/dwh/{name}")
+        done = datetime.now(timezone.utc).replace(tzinfo=None)
+        log.append((name, "DWH", LAG_SECONDS["DWH"], time.time() - began, "SCHEDULED", "SUCCEEDED", done, rows))
+    entries = spark.createDataFrame(log, REFRESH_LOG)
+    save_table(entries, root, "log/refresh", "append")
+    return entries
+
+
+def restore_table(
+    spark: SparkSession, root: str, source: str, target: str, keys: Sequence[str], moment: str, offset_seconds: int = 0
+) -> DataFrame:
+    """The state of a table's history at a moment, written as the next version of ``target``."""
+    rows = restore_as_of(spark.read.parquet(f"{root}/{source}"), keys, moment, offset_seconds)
+    return write_version(rows, f"{root}/{target}")
+
+
 def run_deletions(
     spark: SparkSession,
     root: str,
@@ -165,31 +208,41 @@ def run_deletions(
 ) -> DataFrame:
     """Process the pending requests of ``compliance/deletion_requests``; returns the request table.
 
-    Each table gets a new version, then the log, then the requests; until that last write the
-    requests stay in PROCESSING. An error leaves them FAILED with its text; after the loss of the
-    driver itself, ``resume`` takes up the requests it left in PROCESSING.
+    Each table gets a new version and then its log rows; the requests come last and stay in
+    PROCESSING until then. An error leaves them FAILED with its text. ``resume`` takes up what a
+    broken run left: tables that the log names are not hashed again, and the run's secret, which is
+    kept next to the requests until they are done, makes the other tables agree with them.
     """
     path, log_path = f"{root}/compliance/deletion_requests", f"{root}/compliance/deletion_log"
     requests = read_version(spark, path)
     if resume:
-        left = F.when(F.col("status") == "PROCESSING", "PENDING").otherwise(F.col("status"))
-        requests = requests.withColumn("status", left)
+        left = F.col("status").isin("PROCESSING", "FAILED")
+        requests = requests.withColumns({
+            "notes": F.when(left, F.lit(None).cast("string")).otherwise(F.col("notes")),
+            "status": F.when(left, "PENDING").otherwise(F.col("status")),
+        })
+    secret_path = f"{root}/compliance/_secret"
+    if salt is None:
+        kept = resume and latest_version(spark, secret_path) is not None
+        salt = read_version(spark, secret_path) if kept else write_version(privacy.new_salt(spark), secret_path)
     running = privacy.mark_processing(requests)
     write_version(running, path)
     try:
         sources = {n: (read_version(spark, f"{root}/{n}"), columns) for n, columns in tables.items()}
-        last = 0
+        last, earlier = 0, None
         if latest_version(spark, log_path) is not None:
-            last = read_version(spark, log_path).agg(F.coalesce(F.max("log_id"), F.lit(0))).first()[0]
-        result = privacy.process_deletion_requests(
-            requests, sources, salt if salt is not None else privacy.new_salt(spark), as_of, executed_by, last
-        )
+            log = read_version(spark, log_path)
+            last = log.agg(F.coalesce(F.max("log_id"), F.lit(0))).first()[0]
+            earlier = log if resume else None
+        result = privacy.process_deletion_requests(requests, sources, salt, as_of, executed_by, last, earlier)
         for name, df in result.tables.items():
             write_version(df, f"{root}/{name}")
-        entries = result.log
-        if latest_version(spark, log_path) is not None:
-            entries = read_version(spark, log_path).unionByName(entries)
-        write_version(entries, log_path)
-        return write_version(result.requests, path)
+            entries = result.log.filter(F.col("table_name") == name)
+            if latest_version(spark, log_path) is not None:
+                entries = read_version(spark, log_path).unionByName(entries)
+            write_version(entries, log_path)
+        done = write_version(result.requests, path)
+        drop_versions(spark, secret_path, latest_version(spark, secret_path) or 0)
+        return done
     except Exception as exc:
-        return write_version(privacy.mark_failed(running, str(exc)[:2000]), path)
+        return write_version(privacy.mark_failed(running, str(exc)), path)

@@ -232,9 +232,9 @@ def i5(spark, sf):
 
 
 @query("i6_metric_results", f"""with {METRICS_SQL} select *, timestamp '{fx.AS_OF}' medido_en from metrics
-  order by medido_en desc, tabla, metrica, columna limit 5""", ("cli", "txn"))
+  order by medido_en desc, tabla, metrica, columna limit 20""", ("cli", "txn"))
 def i6(spark, sf):
-    return quality.metric_results(metrics(spark, sf), 5)
+    return quality.metric_results(metrics(spark, sf))
 
 
 # One tag per document source and language, by what its texts hold.
@@ -355,9 +355,9 @@ def k3(spark, sf):
     return restore.restore_as_of(fx.bronze_clientes(spark, sf), ["client_id"], "2001-07-10 00:00:00")
 
 
-@query("k3_restore_offset", """select * from bcli
+@query("k3_restore_offset", """select * from bcli where _loaded_at <= timestamp '2001-07-14 23:59:00'
   qualify row_number() over (partition by client_id order by _loaded_at desc) = 1""", ("cli", "bcli"))
 def k3_offset(spark, sf):
-    return restore.restore_as_of(fx.bronze_clientes(spark, sf), ["client_id"], "2001-07-15 00:05:00", 300)
+    return restore.restore_as_of(fx.bronze_clientes(spark, sf), ["client_id"], "2001-07-15 00:04:00", 300)
 
 

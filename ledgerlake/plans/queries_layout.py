@@ -96,14 +96,13 @@ def f7_files(spark, sf):
 @query("f7_file_totals", """select count(*) filas, min(fecha)::date min_fecha_date, max(fecha)::date max_fecha_date,
   min(sucursal_id) min_sucursal_id, max(sucursal_id) max_sucursal_id from txn""", ("txn",))
 def f7_totals(spark, sf):
-    """The bounds of all files taken together are those of the table, from footers and by scan."""
+    """The bounds of all files taken together are those of the table."""
     path, _ = clustered(spark, sf)
     columns = ["fecha_date", "sucursal_id"]
     totals = [F.sum("filas").alias("filas")] + [
         f(f"{n}_{c}").alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))
     ]
-    by_footer, by_scan = (layout.file_statistics(spark, path, columns, footers).agg(*totals) for footers in (True, False))
-    return by_footer.unionByName(by_scan).distinct()
+    return layout.file_statistics(spark, path, columns).agg(*totals)
 
 
 @query("f10_scan_report")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import privacy, silver
 from ledgerlake.plans import fixtures as fx, jobs
 from ledgerlake.plans.queries_governance import BAD_RUT, SALT
-from ledgerlake.plans.queries_layers import S_MOV, S_SAL, S_TXN
+from ledgerlake.plans.queries_layers import _MONEY, C1_SQL, C2_SQL, S_CLI, S_MOV, S_SAL, S_TXN, doubles
 from ledgerlake.plans.queries_layout import scratch
 from ledgerlake.plans.queries_sources import (
     BAD, EVENT_SCHEMA, GOOD, MOV_LOADS, first_load, json_rows, second_load,
@@ -41,7 +41,7 @@ def a10(spark, sf):
 def a10b(spark, sf):
     path = scratch(spark, "bronze")
     first_load(spark, sf, path)
-    consumed = spark.read.schema(landing.bronze_schema("movimientos")).parquet(path).select("_source_file").distinct().checkpoint()
+    consumed = spark.read.schema(landing.bronze_schema("movimientos")).parquet(path).select("_source_file").checkpoint()
     second_load(spark, sf, path)
     return streams.stream_has_data(spark.read.schema(landing.bronze_schema("movimientos")).parquet(path), consumed)
 
@@ -56,6 +56,22 @@ def _by_load():
     return [F.col("_loaded_at").desc_nulls_last(), F.col("_source_file").asc_nulls_last()]
 
 
+@query("a10b_same_name", "select count(*) > 0 has_data from mov where fecha >= date '1998-01-01'", ("mov",))
+def a10b_same_name(spark, sf):
+    """Two loads under one name, the first of them read: the second is still found."""
+    path = scratch(spark, "bronze")
+    schema = landing.bronze_schema("movimientos")
+
+    def load(part):
+        rows = fx.with_load(fx.movimientos(spark, sf).filter(part), "2001-08-01 00:00:00", "daily_load_2001-08-01")
+        rows.select(*schema.fieldNames()).write.mode("append").parquet(path)
+
+    load("fecha < date '1998-01-01'")
+    consumed = spark.read.schema(schema).parquet(path).select("_source_file").checkpoint()
+    load("fecha >= date '1998-01-01'")
+    return streams.stream_has_data(spark.read.schema(schema).parquet(path), consumed)
+
+
 @query("s3_incremental_dedup", """select * from bcli
   qualify row_number() over (partition by client_id order by _loaded_at desc) = 1""", ("cli", "bcli"))
 def s3(spark, sf):
@@ -161,6 +177,36 @@ def c7(spark, sf):
     return jobs.refresh_layers(spark, root, fx.AS_OF, **given).select("schema_name", "name", "filas")
 
 
+def refreshed(spark, sf):
+    """The root of layers refreshed after a first and after a second load."""
+    root = scratch(spark, "layers")
+    given = {"monto_anomalo": fx.MONTO_ANOMALO, "rangos": fx.RANGOS_SALDO, "cortes": fx.CORTES_VALOR}
+    for land in (_land, _land_more):
+        land(spark, sf, root)
+        jobs.refresh_layers(spark, root, fx.AS_OF, **given)
+    return root
+
+
+@query("c7_dim_clientes", f"with {S_CLI} select * from s_cli", ("bcli", "suc"))
+def c7_clients(spark, sf):
+    return read_version(spark, f"{refreshed(spark, sf)}/silver/dim_clientes")
+
+
+@query("c7_dim_saldos", f"with {S_SAL} {doubles('s_sal', _MONEY[3:])}", ("sal",))
+def c7_balances(spark, sf):
+    return read_version(spark, f"{refreshed(spark, sf)}/silver/dim_saldos_actuales")
+
+
+@query("c7_perfil_360", C1_SQL, ("bcli", "suc", "txn", "sal"))
+def c7_profile(spark, sf):
+    return read_version(spark, f"{refreshed(spark, sf)}/gold/perfil_cliente_360")
+
+
+@query("c7_resumen_mensual", C2_SQL, ("txn", "suc"))
+def c7_months(spark, sf):
+    return read_version(spark, f"{refreshed(spark, sf)}/gold/resumen_mensual_sucursal")
+
+
 @query("d11_run_marts", """select 'resumen_actividad_cliente' tabla,
     'OK: ' || count(distinct client_id) || ' clientes procesados' mensaje from txn where estado = 'Aprobada'
   union all select 'top_clientes_sucursal', 'OK: Top 10 clientes por sucursal calculados'

@@ -32,7 +32,8 @@ NOMBRES = ("María", "Juan", "Carolina", "Roberto", "Andrea", "Felipe", "Valenti
 APELLIDOS = ("González", "Muñoz", "Rojas", "Díaz", "Pérez", "Soto", "Contreras", "Silva", "Martínez", "Sepúlveda",
              "Morales", "Rodríguez", "López", "Fuentes", "Hernández")
 DOMINIOS = ("gmail.com", "hotmail.com", "yahoo.cl", "outlook.com", "empresa.cl")
-COMUNAS_DIRECCION = tuple("Santiago" if c == "Santiago Centro" else c for c in COMUNAS)
+COMUNAS_DIRECCION = ("Providencia", "Las Condes", "Santiago", "Vitacura", "Ñuñoa", "La Florida", "Maipú",
+                     "Puente Alto", "Valparaíso", "Concepción")
 SEGMENTOS_CLIENTE = ("Standard", "Premium", "VIP", "Standard")
 DIGITOS = "0123456789K"
 TIPOS_TXN = ("Depósito", "Retiro", "Transferencia", "Pago", "Inversión", "Comisión")
@@ -58,7 +59,8 @@ def _by_turn(labels, seq: Column) -> Column:
 
 def _text(number: Column, width: int | None = None) -> Column:
     text = number.cast("string")
-    return F.lpad(text, width, "0") if width else text
+    # Numbers longer than the width stay whole.
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0")) if width else text
 
 
 def _code(prefix: str, number: Column, width: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt"
 
@@ -10,6 +10,9 @@ CORRUPT = "_corrupt"
 def parse_json(raw: DataFrame, value: str, schema: T.StructType) -> DataFrame:
     """Known fields as columns, unknown ones kept in ``extra``, and ``_corrupt`` for unreadable rows.
 
+    Unreadable are payloads that are null or empty, that are no JSON object, and those with a field
+    that does not fit its type.
+
     A source that starts to send a new field needs no change here: the field shows up in
     ``extra`` until the schema names it.
     """
@@ -25,18 +28,28 @@ def parse_json(raw: DataFrame, value: str, schema: T.StructType) -> DataFrame:
         *raw.columns,
         *[F.col(f"_row.{n}").alias(n) for n in schema.fieldNames()],
         F.when(F.size(extra) > 0, extra).alias("extra"),
-        F.when(F.col("_row").isNull() & F.col(value).isNotNull(), F.col(value))
+        F.when(_empty(value) | F.col("_row").isNull(), F.coalesce(F.col(value), F.lit("")))
         .otherwise(F.col(f"_row.{CORRUPT}")).alias(CORRUPT),
     )
 
 
+def _empty(value: str) -> Column:
+    return F.col(value).isNull() | (F.trim(value) == "")
+
+
 def good_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def dead_letters(parsed: DataFrame, value: str) -> DataFrame:
     """Unreadable rows with the reason, for inspection and replay."""
-    return parsed.filter(F.col(CORRUPT).isNotNull()).withColumn("error", F.lit("malformed JSON")).select(
+    readable = F.from_json(F.col(value), T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"})
+    reason = (
+        F.when(_empty(value), "empty payload")
+        .when(readable.isNull() | (F.size(readable) == 0), "malformed JSON")
+        .otherwise("wrong type of a field")
+    )
+    return parsed.filter(F.col(CORRUPT).isNotNull()).withColumn("error", reason).select(
         *[c for c in parsed.columns if c not in (CORRUPT, "extra")], "error"
     )
 

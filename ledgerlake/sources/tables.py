@@ -30,18 +30,18 @@ def register_view(name: str, df: DataFrame) -> None:
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions in order; the listing is of version directories, not of data files."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(where):
-        return []
-    found = []
-    for status in fs.listStatus(where):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(done):
-            found.append(int(name[2:]))
-    return sorted(found)
+    """Committed versions in order, from one listing of their commit marks."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/_SUCCESS")
+    marks = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
+    return sorted(int(m.getPath().getParent().getName()[2:]) for m in marks)
+
+
+def drop_versions(spark: SparkSession, path: str, up_to: int) -> None:
+    """Delete the versions up to a number, which a later table holds."""
+    for version in versions(spark, path):
+        if version <= up_to:
+            where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v={version}")
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.operators.quality import run_metrics
 from ledgerlake.operators.scale import newest_per_key
 from ledgerlake.sources import ingest
-from ledgerlake.sources.tables import latest_version, read_version, versions, write_version
+from ledgerlake.sources.tables import drop_versions, latest_version, read_version, versions, write_version
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -47,13 +47,16 @@ def consume(changes: DataFrame, checkpoint: str, path: str, trigger: dict = AVAI
 
 
 def stream_has_data(table: DataFrame, consumed: DataFrame, batch: str = "_source_file") -> DataFrame:
-    """Whether loads exist that the consumer has not seen.
+    """Whether rows exist that the consumer has not read.
 
-    Only the distinct load names are compared, so the answer costs one pass over one column.
+    Loads may share a name, so the rows per name are compared: a table that only grows, read
+    exactly once, has unread rows if and only if some name has more rows than were read. Both
+    sides are reduced to a row per name before they meet.
     """
-    loads = table.select(batch).distinct()
-    unseen = loads.join(consumed.select(batch).distinct(), batch, "left_anti")
-    return unseen.agg((F.count("*") > 0).alias("has_data"))
+    there = table.groupBy(F.col(batch).alias("_load")).agg(F.count("*").alias("_n"))
+    read = consumed.groupBy(F.col(batch).alias("_load_read")).agg(F.count("*").alias("_n_read"))
+    both = there.join(read, F.col("_load").eqNullSafe(F.col("_load_read")), "left")
+    return both.agg((F.count_if(F.col("_n") > F.coalesce("_n_read", F.lit(0))) > 0).alias("has_data"))
 
 
 COMPACT_EVERY = 24
@@ -72,20 +75,33 @@ def upsert_newest(
     def apply(batch: DataFrame, batch_id: int) -> None:
         newest_per_key(batch, keys, order()).write.mode("overwrite").parquet(f"{path}/delta/v={batch_id}")
         if (batch_id + 1) % compact_every == 0:
-            merged = read_newest(batch.sparkSession, path, keys, order)
+            spark = batch.sparkSession
+            merged, last = read_newest(spark, path, keys, order), latest_version(spark, f"{path}/base")
             write_version(merged, f"{path}/base", batch_id)
+            # Readers of the base before may still need the deltas after it; older ones are done with.
+            if last is not None:
+                drop_versions(spark, f"{path}/delta", last)
 
     return apply
 
 
 def read_newest(
-    spark: SparkSession, path: str, keys: Sequence[str], order: Callable[[], Sequence[Column]]
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    order: Callable[[], Sequence[Column]],
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Newest row per key over the last base and the batches after it."""
+    """Newest row per key over the last base and the batches after it; empty before the first batch,
+    with the given schema."""
     base = latest_version(spark, f"{path}/base")
     parts = [] if base is None else [read_version(spark, f"{path}/base", base)]
     later = [v for v in versions(spark, f"{path}/delta") if base is None or v > base]
     parts += [read_version(spark, f"{path}/delta", v) for v in later]
+    if not parts:
+        if schema is None:
+            raise FileNotFoundError(f"no batch in {path} and no schema given")
+        return spark.createDataFrame([], schema)
     return newest_per_key(reduce(DataFrame.unionByName, parts), keys, order())
 
 
@@ -159,10 +175,11 @@ def ingest_json_stream(
     """
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        parsed = ingest.parse_json(batch, value, schema)
+        parsed = ingest.parse_json(batch, value, schema).persist()  # two outputs, one parse
         good = ingest.good_rows(parsed).withColumn("extra", F.to_json("extra"))
         good.write.mode("overwrite").parquet(f"{good_path}/batch={batch_id}")
         ingest.dead_letters(parsed, value).write.mode("overwrite").parquet(f"{dead_letter_path}/batch={batch_id}")
+        parsed.unpersist()
 
     return raw.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

@@ -30,15 +30,14 @@ def skewed_rows(n=6000, seed=1):
     return rows + [(None, D("3.00")), (None, D("4.01"))]
 
 
-@pytest.mark.parametrize("one_task,hot_rows", [(0, 0), (0, 500), (0, 10**6), (scale.ONE_TASK_LIMIT, 0)])
-def test_median(spark, one_task, hot_rows):
+def test_median(spark):
     rows = skewed_rows()
     groups = defaultdict(list)
     for k, v in rows:
         if v is not None:
             groups[k].append(v)
     df = spark.createDataFrame(rows, VALUE)
-    got = {r["k"]: r["m"] for r in scale.exact_median(df, ["k"], "v", "m", one_task, hot_rows).collect()}
+    got = {r["k"]: r["m"] for r in scale.exact_median(df, ["k"], "v", "m").collect()}
     assert got == {k: statistics.median(v) for k, v in groups.items()}
 
 
@@ -47,8 +46,14 @@ def test_median(spark, one_task, hot_rows):
 def test_median_of_any_amounts(spark, cents):
     df = spark.createDataFrame([("k", D(c) / 100) for c in cents], VALUE)
     want = D(statistics.median(D(c) for c in cents)) / 100
-    for limits in ((0, 0), (1 << 60, 0)):
-        assert scale.exact_median(df, ["k"], "v", "m", *limits).first()["m"] == want
+    assert scale.exact_median(df, ["k"], "v", "m").first()["m"] == want
+
+
+def test_median_keeps_the_decimals_of_the_amount(spark):
+    df = spark.createDataFrame([(D("1.2345"),), (D("1.2399"),)], "v decimal(18,4)").withColumn("k", F.lit(1))
+    assert scale.exact_median(df, ["k"], "v", "m").first()["m"] == D("1.23720")
+    with pytest.raises(TypeError):
+        scale.exact_median(df.withColumn("v", F.col("v").cast("double")), ["k"], "v", "m")
 
 
 def test_dense_rank(spark):
@@ -66,13 +71,11 @@ def test_bands_are_monotone(spark):
     assert bands == sorted(bands)
 
 
-@pytest.mark.parametrize("one_task", [0, scale.ONE_TASK_LIMIT])
-def test_positions(spark, one_task):
+def test_positions(spark):
     df = spark.range(5000).repartition(7).select((F.col("id") * 7919 % 5000).alias("x"))
-    out = scale.with_position(df, [F.col("x").asc()], "n", one_task)
+    out = scale.with_position(df, [F.col("x").asc()], "n")
     assert {r["n"]: r["x"] for r in out.collect()} == {i + 1: i for i in range(5000)}
-    if not one_task:
-        assert "SinglePartition" not in plan_of(out.select("x"))
+    assert "SinglePartition" not in plan_of(out.select("x"))
 
 
 @pytest.mark.parametrize("n", [0, 1, 37, 5000, 9000])
@@ -91,18 +94,14 @@ def test_newest_limits_before_the_shuffle(spark):
     assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
 
 
-def test_broadcast_depends_on_size(spark, sf):
-    branches = fx.sucursales(spark, sf)
-    hinted = scale.broadcast_if_small(branches)._jdf.queryExecution().analyzed().toString()
-    plain = scale.broadcast_if_small(branches, 1)._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" in hinted and "strategy=broadcast" not in plain
+def test_monthly_ranks_are_dense_ranks(spark, sf):
+    out = processes.agregacion_mensual_clientes(fact(spark, sf, branch=False))
+    rank = F.dense_rank().over(W.partitionBy("mes").orderBy(F.col("neto").desc_nulls_last()))
+    assert out.withColumn("r", rank).filter("r <> ranking_mes").isEmpty()
 
 
-def test_monthly_ranks_agree_on_both_ways(spark, sf):
-    f = fact(spark, sf, branch=False)
-    big = processes.agregacion_mensual_clientes(f, 0, 0)
-    small = processes.agregacion_mensual_clientes(f, 1 << 60)
-    assert sorted(map(tuple, big.collect()), key=repr) == sorted(map(tuple, small.select(big.columns).collect()), key=repr)
+def test_files_of_a_joined_input(spark, sf):
+    assert layout.file_count(fact(spark, sf)) == 1
 
 
 def test_heavy_join_equals_the_pairs(spark, folder):
