@@ -31,7 +31,9 @@ from ledgerlake.llm.text import packed, row_key
 from ledgerlake.operators.scale import materialize
 
 RANGES = 4  # fragments in which overlaps are counted
-FEW = 32  # documents under one key that are compared one by one
+FEW = 24  # documents that met under one key and are compared one by one, at first
+FEW_LATER = 200  # the same for keys beyond a pivot, where pairs must share several
+SHARED = 4  # keys beyond a pivot that a pair must share, unless it needs fewer
 DEPTH = 5  # levels of pivots; the last compares all that is left
 SENT_NODES = 200_000  # nodes whose ids (8 bytes each) may be broadcast to pick their texts
 
@@ -159,8 +161,9 @@ class Join:
         """Compare the documents of each key: (compared pairs, whether they are all that is left).
 
         ``met(key, node, label, lack, extra)`` has the components found so far as labels; keys whose
-        documents are all in one component have nothing more to tell. A pair must share ``lack``
-        shingles of those that either has in ``extra``.
+        documents are all in one component have nothing more to tell. A pair of a family must share
+        ``lack`` shingles of those that either has in ``extra``, and so ``SHARED`` of its keys; if one
+        of these is of a large group, the pivots there see to the pair.
         """
         need = self.similarity.needed_column
         groups = materialize(
@@ -172,13 +175,16 @@ class Join:
             ).filter("lo <> hi").select("key", "members", (-F.col("top.back")).alias("pivot"))
         )
         grouped = met.join(groups, "key")
-        few = F.lit(True) if last else F.col("members") <= FEW
-        one_by_one = grouped.filter(few).select("key", "node", "label", "lack", "extra")
-        other = one_by_one.toDF("key", "b", "label_b", "lack_b", "extra_b")
+        few = F.lit(True) if last else F.col("members") <= F.when(F.col("family").isNull(), FEW).otherwise(FEW_LATER)
+        one_by_one = grouped.filter(few).select("key", "family", "node", "label", "lack", "extra")
+        other = one_by_one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "lack", "extra")])
+        shared = F.least(F.greatest("lack", "lack_b", F.lit(1)), F.lit(SHARED))
         small = (
-            one_by_one.withColumnRenamed("node", "a").join(other, "key")
-            .filter("a < b and label <> label_b and lack <= extra_b and lack_b <= extra")
-            .select("a", "b", F.lit(False).alias("star"))
+            one_by_one.join(other, "key")
+            .filter("node < node_b and label <> label_b and lack <= extra_b and lack_b <= extra")
+            .groupBy("family", F.col("node").alias("a"), F.col("node_b").alias("b"))
+            .agg(F.count("*").alias("times"), F.max(shared).alias("shared"))
+            .filter("times >= shared").select("a", "b", F.lit(False).alias("star"))
         )
         star = grouped.filter(~few & (F.col("node") != F.col("pivot"))).select(
             F.col("pivot").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")
@@ -192,11 +198,13 @@ class Join:
         return materialize(sized.withColumn("linked", F.col("common") >= need(F.col("n_a"), F.col("n_b"))))
 
     def beyond_pivots(self, star: DataFrame, segments: DataFrame, labels: DataFrame) -> DataFrame:
-        """(key, node, lack, extra): documents under the shingles that their pivot lacks.
+        """(key, family, node, lack, extra): documents under the shingles that their pivot lacks.
 
         ``lack`` is how many shared shingles beyond the pivot a pair needs at least: what the
         smallest partner asks for, less what the document shares with the pivot. Documents with
-        fewer such shingles are ruled out, and families left with one component are done.
+        fewer such shingles are ruled out, and families left with one component are done. Of the
+        others the first ones in the global order are enough: without the last ``lack - SHARED``
+        (or fewer), a linked pair still has ``SHARED`` (or ``lack``) in common.
         """
         rule, need = self.similarity, self.similarity.needed_column
         smallest = star.groupBy("a").agg(F.min("n_b").alias("smallest"))
@@ -220,12 +228,12 @@ class Join:
             .agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("parts"))
         )
         ordered = F.flatten(F.transform("parts", lambda p: F.array_sort(p["part"])))
-        prefix = F.slice(ordered, 1, F.least(F.col("extra") - F.col("lack") + 1, F.col("extra")).cast("int"))
+        left_out = F.greatest(F.col("lack") - SHARED, F.lit(0))
+        prefix = F.slice(ordered, 1, (F.col("extra") - left_out).cast("int"))
         named = F.transform(prefix, lambda s: F.xxhash64(F.col("a"), s))
         near = F.when(F.col("lack") <= 0, F.array(F.xxhash64(F.col("a")))).otherwise(F.array().cast("array<long>"))
         return (
-            lacking.select(F.explode(F.concat(named, near)).alias("key"), F.col("b").alias("node"), "lack", "extra")
-            .groupBy("key", "node").agg(F.min("lack").alias("lack"), F.max("extra").alias("extra"))
+            lacking.select(F.explode(F.concat(named, near)).alias("key"), F.col("a").alias("family"), F.col("b").alias("node"), "lack", "extra")
         )
 
     def links(self) -> DataFrame:
@@ -237,7 +245,11 @@ class Join:
             segments.groupBy("node").agg(F.sum(F.size("s")).alias("n"))
             .join(met.groupBy("node").agg(F.count("*").alias("met_keys")), "node")
         )
-        met, found, labels = met.select("*", F.col("node").alias("label"), F.lit(0).cast("long").alias("lack"), F.lit(1 << 60).alias("extra")), None, None
+        met = met.withColumns({
+            "label": F.col("node"), "family": F.lit(None).cast("long"),
+            "lack": F.lit(0).cast("long"), "extra": F.lit(1 << 60),
+        })
+        found = None
         for depth in range(1, DEPTH + 1):
             compared = self.level(met, sizes, segments, depth == DEPTH)
             new = compared.filter("linked").select("a", "b")

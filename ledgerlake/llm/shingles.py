@@ -5,27 +5,16 @@ Small helpers that run on the executors, a text at a time; Spark partitions and
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 from pyspark.sql import functions as F
 
-_LOWER = {i: i + 32 for i in range(ord("A"), ord("Z") + 1)}
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_KNOWN_WORDS = 500_000  # hashes a worker keeps; beyond that it starts afresh
-
-
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _KNOWN_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-
-_hashes = _Hashes()
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_PIECE = 1 << 20  # bytes hashed at once
+_ODD = 0x9E3779B97F4A7C15
+_BACK = pow(_ODD, -1, 1 << 64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,17 +24,68 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# A number per byte value, and powers of an odd number and of its inverse, as many as were needed.
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    known = _powers.get(base)
+    if known is None or len(known) < n:
+        size = max(n, 1 << 16)
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        known = _powers[base] = np.multiply.accumulate(steps)
+    return known[:n]
+
+
+def word_hashes(raw: bytes) -> np.ndarray:
+    """A number per word of a piece that ends with a word or white space.
+
+    A word's bytes are weighed by powers of an odd number; running sums give every word's sum, and
+    the inverse power moves it to the same place.
+    """
+    data = np.frombuffer(raw, np.uint8)
+    inside = np.concatenate([[False], ~_SPACE[data], [False]]).astype(np.int8)
+    step = np.diff(inside)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * powers(_ODD, len(data)), out=sums[1:])
+    moved = (sums[ends] - sums[starts]) * powers(_BACK, len(data))[starts]
+    return mix(moved + (ends - starts).astype(np.uint64))
+
+
+def pieces(raw: bytes) -> list[bytes]:
+    """A long text in pieces that are cut at white space."""
+    out, start = [], 0
+    while len(raw) - start > _PIECE:
+        end = start + _PIECE
+        while end < len(raw) and not _SPACE[raw[end]]:
+            end += 1
+        out.append(raw[start:end])
+        start = end
+    return [*out, raw[start:]]
+
+
 def shingle_set(text: str | None, words: int) -> np.ndarray:
-    """Sorted distinct shingles; the whole sequence is the one shingle of a text with fewer words."""
-    found = _WORD.findall(text.translate(_LOWER)) if text else []
-    if not found:
-        return np.zeros(0, np.uint64)
-    ids = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
-    width = min(words, len(found))
-    out = np.full(len(found) - width + 1, width, np.uint64)
+    """Sorted distinct shingles; the whole sequence is the one shingle of a text with fewer words.
+
+    On bytes, ``lower`` changes A-Z only.
+    """
+    raw = text.encode("utf-8", "surrogatepass").lower() if text else b""
+    ids = np.concatenate([word_hashes(p) for p in pieces(raw)]) if raw else np.zeros(0, np.uint64)
+    if not len(ids):
+        return ids
+    width = min(words, len(ids))
+    out = np.full(len(ids) - width + 1, width, np.uint64)
     for j in range(width):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + ids[j : len(found) - width + 1 + j]
-    return np.unique(mix(out))
+        out = out * np.uint64(_ODD) + ids[j : len(ids) - width + 1 + j]
+    out = mix(out)
+    out.sort()
+    new = np.empty(len(out), bool)
+    new[0] = True
+    np.not_equal(out[1:], out[:-1], out=new[1:])
+    return out[new]
 
 
 @dataclass(frozen=True)
