@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlake.operators.scale import materialize
+from ledgerlake.llm.scratch import materialize
 
 
 def components(links: DataFrame) -> DataFrame:

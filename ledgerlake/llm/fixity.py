@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ledgerlake.operators.scale import materialize
+from ledgerlake.llm.scratch import materialize
 
 ARCHIVE_BYTES = 64 * 1024 * 1024
 PARTS = 256  # parts in which an archive is laid out

@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ledgerlake.llm.components import components
 from ledgerlake.llm.shingles import Similarity, mix, shingle_set
 from ledgerlake.llm.text import packed, row_key
-from ledgerlake.operators.scale import materialize
+from ledgerlake.llm.scratch import materialize
 
 RANGES = 4  # fragments in which overlaps are counted
-FEW = 24  # documents that met under one key and are compared one by one, at first
+FEW = 4  # documents that met under one key and are compared one by one, at first
 FEW_LATER = 200  # the same for keys beyond a pivot, where pairs must share several
 SHARED = 4  # keys beyond a pivot that a pair must share, unless it needs fewer
 DEPTH = 5  # levels of pivots; the last compares all that is left
@@ -139,10 +139,10 @@ class Join:
         """(key, node) of the keys that two or more representatives share."""
         keys = self.texts().select("node", F.explode(key_column(self.similarity)("text")).alias("key"))
         shared = materialize(
-            keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-            .filter("lo <> hi").select("key")
+            keys.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
         )
-        members = keys.join(shared, "key", "left_semi").distinct()
+        members = keys.join(shared, "key", "left_semi")
+        members = members if self.by_id else members.distinct()
         others = materialize(
             self.rows.filter("n > 0").join(self.copies.select("n", "f1", "f2", "rep"), ["n", "f1", "f2"])
             .filter("rep <> node").select("node").distinct()

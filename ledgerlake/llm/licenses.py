@@ -68,7 +68,7 @@ SPELLINGS = (
     (r"\b(?:https?)\b", "http"),
 )
 COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
-MARKS = r"(?i)licen[sc]e|domain"  # every known text has one, so other lines need no digest
+MARKS = r"(?i)licen[sc]e|domain"  # every known one-line text has one, so other lines need no digest
 
 
 def canonical(text: Column) -> Column:
@@ -91,7 +91,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, digest of the whole text, its license, the licences that its lines name, and their number.
 
     ``license`` is null if the whole text is no known licence. Lines are looked up only if they
-    have one of the ``MARKS``, as every known text has; the tests check that of the known table.
+    have one of the ``MARKS``, as every known one-line text has; the tests check that.
     """
     known = F.broadcast(known_digests(docs.sparkSession))
     rows = docs.select(

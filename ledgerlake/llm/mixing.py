@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlake.llm.text import packed, row_key, word_count
-from ledgerlake.operators.scale import materialize
+from ledgerlake.llm.scratch import materialize
 
 WEIGHTS = (3, 1, 2)
 BUDGET = (3, 2)  # of all sizes, as a fraction

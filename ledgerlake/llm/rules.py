@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlake.llm.text import SPACE, WORD, let, word_count
-from ledgerlake.operators.scale import materialize
+from ledgerlake.llm.scratch import materialize
 
 SYMBOL = r"[#*$%&|<>]"
 CAPITAL = r"\p{Lu}"

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from ledgerlake.llm.text import byte_size, packed, row_key
-from ledgerlake.operators.scale import materialize
+from ledgerlake.llm.scratch import materialize
 
 SLOTS = 4096
 RECORD_OVERHEAD = 8  # bytes a record takes beside its text

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlake.operators.scale import materialize
+from ledgerlake.llm.scratch import materialize
 
 RULES = (
     ("allow", "com", "/"),
