@@ -7,17 +7,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from conftest import plan_of
 from ledgerlake.operators import layout, marts
-from ledgerlake.plans import fixtures as fx
+from ledgerlake.plans import all_queries, fixtures as fx
 
 WRITES = re.compile(r"^(a9|a1[0-9]|s[0-9]|c7|d11|h7_run|i7|f6|f7|f10|f8|f9|h[79]|h8|h10|i14)")
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not WRITES.match(n)))
+@pytest.mark.parametrize("name", sorted(n for n in all_queries.QUERIES if not WRITES.match(n)))
 def test_no_cross_join_and_no_python(spark, sf, name):
-    plan = plan_of(entry.queries()[name](spark, sf))
+    plan = plan_of(all_queries.QUERIES[name](spark, sf))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert word not in plan
     # Windows never run over a whole table in one task.
