@@ -107,7 +107,7 @@ def gold_resumen_mensual_sucursal(txn: DataFrame, sucursales: DataFrame) -> Data
         "tasa_aprobacion": ratio(F.col("_aprobadas"), F.col("total_operaciones")),
         "pct_fin_semana": ratio(F.col("_fin_semana"), F.col("total_operaciones")),
     })
-    places = (sucursales.select("sucursal_id", "comuna", "region"))
+    places = sucursales.select("sucursal_id", "comuna", "region")
     return months.join(places, "sucursal_id").select(
         "mes", "sucursal_id", "comuna", "region", "total_operaciones", "clientes_activos", "captaciones",
         "colocaciones", "neto", "ticket_promedio", "tasa_aprobacion", "productos_operados", "pct_fin_semana",

@@ -55,7 +55,7 @@ def q2_fecha_sucursal(
             F.count_distinct("client_id").alias("clientes_unicos"),
         )
     )
-    names = (sucursales.select("sucursal_id", "comuna"))
+    names = sucursales.select("sucursal_id", "comuna")
     return per_branch.join(names, "sucursal_id").select(
         "sucursal_id", "comuna", "num_txn", "volumen", "clientes_unicos"
     )

@@ -16,7 +16,7 @@ def dwh_dim_clientes(clientes: DataFrame, sucursales: DataFrame) -> DataFrame:
     places = sucursales.select(
         "sucursal_id", F.col("comuna").alias("sucursal_comuna"), F.col("region").alias("sucursal_region")
     )
-    return clientes.join((places), "sucursal_id", "left").select(
+    return clientes.join(places, "sucursal_id", "left").select(
         "client_id", "rut", "nombre", "apellido",
         F.concat("nombre", F.lit(" "), "apellido").alias("nombre_completo"),
         "email", "telefono", "direccion", "fecha_registro", "segmento",
@@ -94,8 +94,8 @@ def top_clientes_sucursal(fact: DataFrame, dim: DataFrame, sucursales: DataFrame
         F.count("*").alias("num_transacciones"),
         F.sum(F.abs("monto")).alias("_turnover"),
     )
-    names = (dim.select("client_id", "nombre_completo", "segmento"))
-    places = (sucursales.select("sucursal_id", "comuna"))
+    names = dim.select("client_id", "nombre_completo", "segmento")
+    places = sucursales.select("sucursal_id", "comuna")
     named = turnover.join(names, "client_id").join(places, "sucursal_id")
     window = W.partitionBy("sucursal_id").orderBy(F.col("_turnover").desc_nulls_last(), F.col("client_id").asc())
     return (
@@ -130,7 +130,7 @@ def metricas_productos(productos: DataFrame, fact: DataFrame) -> DataFrame:
 
 def resumen_mensual(fact: DataFrame, sucursales: DataFrame) -> DataFrame:
     """Month × type × region with the approval percentage."""
-    regions = (sucursales.select("sucursal_id", "region"))
+    regions = sucursales.select("sucursal_id", "region")
     joined = fact.withColumn("mes", month_of("fecha")).join(regions, "sucursal_id")
     is_ok, is_rejected = F.col("estado") == params.APROBADA, F.col("estado") == params.RECHAZADA
     return aggregate_once(

@@ -93,7 +93,7 @@ def pseudonymize(
     """
     if "_salt" not in targets.columns:
         targets = targets.withColumn("_salt", salt.scalar())
-    marked = df.join((targets.select(key, "_salt")), key, "left")
+    marked = df.join(targets.select(key, "_salt"), key, "left")
     hit = F.col("_salt").isNotNull()
     changes = {}
     for c in columns:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -71,7 +72,18 @@ METRICS = {
 
 
 def run_metrics(df: DataFrame, table: str, specs: Sequence[tuple[str, str]], as_of: AsOf = None) -> DataFrame:
-    """All (metric, column) pairs of a table in one pass; one output row per metric."""
+    """All (metric, column) pairs of a table; one output row per metric.
+
+    Duplicate counts need a shuffle of their column and get a narrow pass each; all other metrics
+    share one pass and reduce to a row per task.
+    """
+    alone = [[s] for s in specs if s[0] == "DUPLICATE_COUNT"]
+    together = [s for s in specs if s[0] != "DUPLICATE_COUNT"]
+    parts = [_measured(df, table, part, as_of) for part in ([together] if together else []) + alone]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _measured(df: DataFrame, table: str, specs: Sequence[tuple[str, str]], as_of: AsOf) -> DataFrame:
     values = []
     for i, (metric, column) in enumerate(specs):
         value = freshness(column, as_of) if metric == "FRESHNESS" else METRICS[metric](column)

@@ -32,7 +32,7 @@ def silver_dim_clientes(bronze: DataFrame, sucursales: DataFrame, as_of: AsOf =
     )
     years = years_between(F.col("fecha_registro"), today(as_of))
     return (
-        newest.join((places), "sucursal_id", "left")
+        newest.join(places, "sucursal_id", "left")
         .select(
             "client_id",
             "rut",
