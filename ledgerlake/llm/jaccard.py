@@ -32,9 +32,9 @@ from ledgerlake.llm.scratch import materialize
 
 RANGES = 4  # fragments in which overlaps are counted
 FEW = 4  # documents that met under one key and are compared one by one, at first
-FEW_LATER = 200  # the same for keys beyond a pivot, where pairs must share several
+FEW_LATER = 32  # the same for keys beyond a pivot, where pairs must share several
 SHARED = 4  # keys beyond a pivot that a pair must share, unless it needs fewer
-DEPTH = 5  # levels of pivots; the last compares all that is left
+DEPTH = 10  # levels of pivots; the last compares all that is left
 SENT_NODES = 200_000  # nodes whose ids (8 bytes each) may be broadcast to pick their texts
 
 
@@ -189,7 +189,8 @@ class Join:
         star = grouped.filter(~few & (F.col("node") != F.col("pivot"))).select(
             F.col("pivot").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")
         )
-        pairs = small.union(star).groupBy("a", "b").agg(F.max("star").alias("star"))
+        # Written, so that the planner knows how few they are and leaves the sets where they stand.
+        pairs = materialize(small.union(star).groupBy("a", "b").agg(F.max("star").alias("star")))
         sized = (
             overlaps(pairs, segments)
             .join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
