@@ -109,10 +109,11 @@ class Weights:
         }
 
     def of_word(self, kind: str, boilerplate: bool) -> float:
-        return 0.0 if boilerplate else self.word.get(kind, 0.5)
+        unseen = 0.9 if kind.split(".")[0] in CONTENT else 0.6
+        return 0.0 if boilerplate else self.word.get(kind, unseen)
 
     def of_tag(self, kind: str, name: str) -> float:
-        return -self.tag.get((kind, name), 0.05)
+        return -self.tag.get((kind, name), 0.02)
 
 
 def main_text(page: str | None, weights: Weights) -> str:
