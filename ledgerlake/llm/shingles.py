@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+THIN = 1  # fragments of at most so many shingles say little and are passed over where that is safe
 _PIECE = 1 << 20  # bytes hashed at once
 _ODD = 0x9E3779B97F4A7C15
 _BACK = pow(_ODD, -1, 1 << 64)
@@ -115,15 +116,15 @@ class Similarity:
             if n < high:
                 apart = 2 * (high - 1) * (self.whole - self.part) // (self.whole + self.part)
                 if apart:
-                    spare = 1 + apart // 16
+                    spare = 1 + apart // self.spared
                     out.append((number, apart + 1 + spare, spare))
             number, low = number + 1, high
         return out
 
     @property
-    def thin(self) -> int:
-        """Fragments of at most so many shingles say little and are passed over where that is safe."""
-        return 1 if self.whole >= 7 * (self.whole - self.part) else 0
+    def spared(self) -> int:
+        """One spare fragment for so many that may differ: with short fragments more are thin."""
+        return 16 if self.whole >= 7 * (self.whole - self.part) else 3
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         """A key per fragment: equal for equal segments of the same cut.
@@ -139,7 +140,7 @@ class Similarity:
             edges = np.searchsorted(at, np.arange(fragments + 1, dtype=np.uint64))
             segment = scrambled[edges[1:]] - scrambled[edges[:-1]]
             label = mix(np.arange(fragments, dtype=np.uint64) + np.uint64(number << 40) + np.uint64(7))
-            thin = np.diff(edges) <= self.thin
+            thin = np.diff(edges) <= THIN
             key = mix(segment ^ label)
             out.append(key[~thin] if thin.sum() <= spare else key)
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
