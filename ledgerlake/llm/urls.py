@@ -4,9 +4,10 @@ Rules (action, host, path) fit a host with all its subdomains and paths with the
 front; the longest wins. The verdicts of rules are the labels from which the tree learns: per host,
 segments that vary (numbers, ids) become wildcards, and every prefix of a template is a node with
 its labelled good and bad pages. A template is judged at its deepest labelled node. Branches below
-a node count as one, and so share its labels, if a chi-square test finds their labelled shares alike;
-else an unlabelled branch stays without evidence. A template is rejected when its purity, smoothed
-by pseudo-labels, is below the limit; without evidence it is allowed.
+a node count as one, and so share its labels, if a chi-square test finds their labelled shares alike
+and the node has good labels and bad ones; labels that the rules could only give one way say nothing of
+other branches. Else an unlabelled branch stays without evidence. A template is rejected when its
+purity, smoothed by pseudo-labels, is below the limit; without evidence it is allowed.
 
 Null urls and urls without ``://`` have an empty host and path; equal urls get equal verdicts; an
 empty table gives an empty result; columns other than page_id and url are not looked at.
@@ -102,7 +103,8 @@ def template_verdicts(pages: DataFrame) -> DataFrame:
         F.max(F.when(F.col("g") + F.col("b") > 0, F.struct("level", "g", "b", "alike"))).alias("at")
     )
     own = F.col("at.level") == F.size("template")
-    evidence = F.coalesce(own | F.col("at.alike"), F.lit(False))
+    either = (F.col("at.g") > 0) & (F.col("at.b") > 0)
+    evidence = F.coalesce(own | (F.col("at.alike") & either), F.lit(False))
     return deepest.select(
         "host", "template", (evidence & (purity(F.col("at.g"), F.col("at.b")) < PURITY)).alias("rejected")
     )

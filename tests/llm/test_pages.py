@@ -108,6 +108,23 @@ def test_tree_learns_from_labelled_branches(spark):
     assert got["http://d.org/en/1"] == "allow" and got["http://b.example.com/de/3"] == "allow"
 
 
+def test_labels_of_one_kind_do_not_pass_to_other_branches(spark):
+    """However many /es/ pages a .net host has, its rules cannot say anything good of /en/."""
+    rows = [(f"http://n{n}.net/es/{i}",) for n in (5, 50, 5000) for i in range(n)]
+    rows += [(f"http://n{n}.net/{p}",) for n in (5, 50, 5000) for p in ("en/7", "de/7", "")]
+    pages = spark.createDataFrame(rows, "url string").withColumn("page_id", F.col("url"))
+    got = urls.judge_urls(pages).filter("rule is null")
+    assert {(r["path"], r["verdict"]) for r in got.collect()} == {("/en/7", "allow"), ("/de/7", "allow"), ("/", "allow")}
+
+
+def test_labels_of_both_kinds_pass_to_other_branches(spark):
+    rules = [("block", "m.net", "/a"), ("allow", "m.net", "/a/x1"), ("block", "m.net", "/b")]
+    rows = [(f"http://m.net/{b}/x{i}",) for b in "ab" for i in range(20, 78)] + [("http://m.net/a/x1",), ("http://m.net/c/x1",)]
+    pages = spark.createDataFrame(rows, "url string").withColumn("page_id", F.col("url"))
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages, rules).collect()}
+    assert got["http://m.net/c/x1"] == "block" and got["http://m.net/a/x1"] == "allow"
+
+
 def test_urls_of_an_empty_table(odd_pages):
     assert urls.judge_urls(odd_pages.limit(0)).isEmpty()
 
