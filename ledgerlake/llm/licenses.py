@@ -1,7 +1,7 @@
 """Licence scan by canonical digests.
 
-A text is brought to a canonical form (case, white space, punctuation, copyright lines and
-equivalent spellings do not matter) and looked up by its digest among known licences: whole texts
+A text is brought to a canonical form (case, white space, punctuation, copyright notices at its head
+and equivalent spellings do not matter) and looked up by its digest among known licences: whole texts
 first, then line by line for notices. The table of known digests has a few dozen rows, a fixed
 number, and is broadcast; all else stays in place but the few lines that hit.
 
@@ -67,12 +67,20 @@ SPELLINGS = (
     (r"\bnon infringement\b", "noninfringement"),
     (r"\b(?:https?)\b", "http"),
 )
-COPYRIGHT_LINE = r"(?im)^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*$"
+# A notice is a line of the text's head: at most five lines below its start or below another notice.
+# Body lines that happen to begin with the word copyright are none.
+_JUNK = r"[^\p{L}\p{N}\n©]*+"
+_BODY = r"permission (?:is hereby|to use)|redistribution and use|everyone is permitted|licen[sc]ed under"
+NOTICE = (
+    r"(?i)\G((?:[^\n]*+\n){0,5}?)" + _JUNK
+    + r"(?:(?:copyright[ \t]*(?:\(c\)|©|[,:]?[ \t]*[\[<{(]?(?:[12][0-9]{3}\b|yyyy|year))|©|(?<=\()c\)[ \t]*[12][0-9]{3}\b)"
+    + r"(?:(?!" + _BODY + r")[^\n])*+|all rights reserved[^\p{L}\p{N}\n]*+(?=\n|\z))"
+)
 MARKS = r"(?i)licen[sc]e|domain"  # every known one-line text has one, so other lines need no digest
 
 
 def canonical(text: Column) -> Column:
-    out = F.lower(F.regexp_replace(text, COPYRIGHT_LINE, ""))
+    out = F.lower(F.regexp_replace(text, NOTICE, "$1"))
     out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
     for pattern, written in SPELLINGS:
         out = F.regexp_replace(out, pattern, written)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -292,3 +293,33 @@ def test_every_known_licence_is_found_and_marked(spark):
     docs = spark.createDataFrame([(i, t.upper()) for i, (_, t) in enumerate(licenses.KNOWN)], "doc_id long, text string")
     assert {r["doc_id"]: r["license"] for r in licenses.scan_licenses(docs).collect()} == {
         i: name for i, (name, _) in enumerate(licenses.KNOWN)}
+
+
+def wrapped(text, width):
+    """The text's paragraphs at another width; without one, all of it on a line."""
+    if not width:
+        return " ".join(text.split())
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width, break_long_words=False) for p in text.split("\n\n"))
+
+
+def test_licences_at_every_width(spark):
+    widths = (None, 30, 40, 60, *range(68, 82), 100, 120, 10_000)
+    head = "\n\nCopyright (c) 2020 Some Body\n(c) 2021 Others. All rights reserved.\n\n"
+    rows = [(f"{name} {w} {i}", wrapped(t, w)) for i, (name, t) in enumerate(licenses.KNOWN) for w in widths]
+    rows += [(f"MIT {w} head", "MIT License" + head + wrapped(licenses.MIT_GRANT, w)) for w in widths]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(docs).collect()}
+    assert {k: v for k, v in got.items() if v != k.split()[0]} == {}
+
+
+def test_only_notices_at_the_head_are_left_out(spark):
+    lines = {
+        "Copyright (c) 2020 A": "", "/* Copyright 2020, A. */": "", "© A": "", "(C) 1999-2003 A": "", "Copyright: 2020 A": "",
+        "Copyright <YEAR> <HOLDER>": "", "Copyright (c) 2020 A\n# All rights reserved.\nb": "b",
+        "Copyright holders be liable": "copyright owner be liable", "(c) You must retain": "c you must retain",
+        "copyright notice": "copyright notice", "a\n" * 9 + "Copyright (c) 2020 A": "a " * 9 + "copyright c 2020 a",
+        "Copyright 2020 A Permission is hereby granted": "permission is hereby granted",
+    }
+    docs = spark.createDataFrame(list(lines.items()), "text string, want string")
+    got = docs.select("text", "want", licenses.canonical(F.col("text")).alias("got")).filter("got <> want").collect()
+    assert got == []
