@@ -7,7 +7,8 @@ blocks outside boilerplate containers are the text.
 
 Labelled pages are those that mark their article (``article`` or ``main``); the weights are fitted
 on at most ``SAMPLE`` of them, picked by a hash of the page id. Kinds of containers not seen there
-go by their names and classes (fixed words below).
+go by their names and classes (fixed words below), but neither the body nor the elements that mark the
+article, nor a container around these, is boilerplate by its classes.
 
 Null and empty pages have an empty text, broken markup is read as far as it goes, very long pages
 take one scan like others, repeated pages get the same text each, and an empty table gives an empty
@@ -19,7 +20,9 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -32,6 +35,8 @@ DEAREST = 2.0  # the most a tag may cost, so that an advert within an article do
 SILENT = ("script", "style", "noscript", "template", "svg", "iframe", "object", "textarea", "select", "button")
 BOILERPLATE = ("nav", "header", "footer", "aside", "form", "menu", "dialog", "head")
 CONTENT = ("article", "main")
+PLAIN = (*CONTENT, "body")  # whose marks do not say boilerplate
+WRAPPERS = ("form",)  # boilerplate elements that hold the whole page on some sites
 GROUPS = ("ul", "ol", "table", "figure")  # count as what they stand in unless their marks say otherwise
 CONTAINERS = (*BOILERPLATE, *CONTENT, *GROUPS, "section", "div", "body")
 BLOCKS = (
@@ -55,26 +60,46 @@ _TOKEN = re.compile(
 )
 _MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z0-9]+")
+_LOOKS = re.compile(r"(?<![^\s])(?:has|with|no|without)[-_]\S*")  # marks of how a container looks
+_CONTENT = re.compile(r"<(?:article|main)\b", re.I)
 
 
 def kind_of(name: str, rest: str) -> tuple[str, bool]:
-    """A container's kind (its name and marks) and whether these say boilerplate."""
-    marks = sorted({w for m in _MARKED.findall(rest) for w in _PART.findall("".join(m).lower())}) if rest else []
-    silent = name in BOILERPLATE or any(w in NAMES_OF_BOILERPLATE for w in marks)
+    """A container's kind (its name and marks) and whether these say boilerplate.
+
+    Marks of ``body`` and of content elements, and marks like ``has-sidebar``, say how a page looks.
+    """
+    found = ["".join(m).lower() for m in _MARKED.findall(rest)] if rest else []
+    marks = sorted({w for m in found for w in _PART.findall(m)})
+    silent = name in BOILERPLATE
+    if not silent and name not in PLAIN and any(w in NAMES_OF_BOILERPLATE for w in marks):
+        silent = any(w in NAMES_OF_BOILERPLATE for m in found for w in _PART.findall(_LOOKS.sub(" ", m)))
     return ".".join([name, *marks]), silent
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
-    """("text", words, kind, boilerplate, inside content) and ("tag", name, kind, ...) in page order."""
-    stack: list[tuple[str, str, bool, bool]] = [("", "page", False, False)]
-    upto = 0
+class Frame(NamedTuple):
+    """An open container, with what is around it."""
+
+    name: str
+    kind: str
+    within: bool  # boilerplate
+    content: bool  # in a content element
+    fixed: bool  # boilerplate by an element that holds no page's content
+    depth: int  # boilerplate containers around, none left out
+    elements: tuple[int, ...]  # numbers of the innermost and the outermost open content element, or of the only one
+
 
-    def text(piece: str):
-        return ("text", entities.unescape(piece), stack[-1][1], stack[-1][2], stack[-1][3])
+def walk(page: str, held: frozenset[int] | None) -> Iterator[tuple[str, str, Frame]]:
+    """("text", words, container) and ("tag", name, container) in page order.
 
+    Content elements are numbered from 0. Those in ``held`` (None: all) hold the page's content, so
+    containers around them are no boilerplate by their marks.
+    """
+    stack = [Frame("", "page", False, False, False, 0, ())]
+    upto, count = 0, 0
     for m in _TOKEN.finditer(page):
         if m.start() > upto:
-            yield text(page[upto : m.start()])
+            yield "text", entities.unescape(page[upto : m.start()]), stack[-1]
         upto = m.end()
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
@@ -82,17 +107,56 @@ def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         closing, rest = m["close"] or m["close2"], m["rest"] or m["rest2"] or ""
         if name in CONTAINERS and not closing:
             kind, silent = kind_of(name, rest)
-            _, around, within, content = stack[-1]
+            top = stack[-1]
             if name in GROUPS and not silent:
-                kind = around
-            stack.append((name, kind, within or silent, content or name in CONTENT))
-        yield ("tag", name, stack[-1][1], stack[-1][2], stack[-1][3])
-        if name in CONTAINERS and closing and any(s[0] == name for s in stack):
-            while stack[-1][0] != name:
+                kind = top.kind
+            within, elements = top.within or silent, top.elements
+            if name in CONTENT:
+                if held is None or count in held:
+                    within = top.fixed
+                elements = (count, *elements[-1:])
+                count += 1
+            fixed = top.fixed or name in BOILERPLATE and name not in WRAPPERS
+            stack.append(Frame(name, kind, within, top.content or name in CONTENT, fixed, top.depth + silent, elements))
+        yield "tag", name, stack[-1]
+        if name in CONTAINERS and closing and any(s.name == name for s in stack):
+            while stack[-1].name != name:
                 stack.pop()
             stack.pop()
     if upto < len(page):
-        yield text(page[upto:])
+        yield "text", entities.unescape(page[upto:]), stack[-1]
+
+
+def holding(page: str) -> frozenset[int]:
+    """Which of several content elements hold the page's content: those with fewest boilerplate containers around.
+
+    The others are teasers or comments. One within another content element holds it if it stands
+    alone at its depth and has more words than that has outside boilerplate.
+    """
+    depth: dict[tuple[int, ...], int] = {}
+    words: Counter[int] = Counter()
+    clear = 0
+    for what, value, at in walk(page, frozenset()):
+        if at.elements and not at.fixed:
+            depth.setdefault(at.elements, at.depth)
+            if what == "text":
+                n = len(value.split())
+                words.update({e: n for e in at.elements})
+                clear += 0 if at.within else n
+    outer = {e[0]: d for e, d in depth.items() if len(e) == 1}
+    held = {e for e, d in outer.items() if d == min(outer.values())}
+    inner = {e[0]: d for e, d in depth.items() if len(e) > 1 and e[-1] in held and d > outer[e[-1]]}
+    least = [e for e, d in inner.items() if d == min(inner.values())]
+    if len(least) == 1 and words[least[0]] > clear:
+        held.add(least[0])
+    return frozenset(held)
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
+    """("text", words, kind, boilerplate, inside content) and ("tag", name, kind, ...) in page order."""
+    several = len(_CONTENT.findall(page)) > 1
+    for what, value, at in walk(page, holding(page) if several else None):
+        yield what, value, at.kind, at.within, at.content
 
 
 class Weights:

@@ -63,6 +63,33 @@ def test_boilerplate_of_other_kinds():
     assert extract.main_text(page, extract.Weights({})) == " ".join(want.split())
 
 
+BODY = "<p>" + "real article text with several words in every sentence " * 4 + "</p>"
+SIDE = "<nav><a>menu</a></nav>"
+TEASER = "<article><p>" + "other page's teaser " * 3 + "</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<html class='no-banner'><body class='single has-sidebar widget'>{SIDE}<article>{BODY}</article></body></html>",
+    f"<body>{SIDE}<div id='page' class='with-header'><article>{BODY}</article></div></body>",
+    f"<body><div class='reader share'><div class='form'><article>{BODY}</article></div></div>{SIDE}</body>",
+    f"<body>{SIDE}<article class='post share-enabled'>{BODY}</article></body>",
+    f"<body>{SIDE}<main id='reader' role='main'>{BODY}</main></body>",
+    f"<body><form id='aspnetForm'>{SIDE}<main>{BODY}</main></form></body>",
+    f"<body><div class='share'><article>{BODY}</article><div class='related'>{TEASER}</div></div></body>",
+    f"<body><article>{BODY}</article><div class='related'>{TEASER}{TEASER}</div><aside>{TEASER}</aside></body>",
+    f"<body><main>{BODY}<div class='comments'>{TEASER}</div></main></body>",
+    f"<body><main><div class='comments'>{TEASER}{TEASER * 9}</div>{BODY}</main></body>",
+    f"<body><main><div class='reader'><article>{BODY}</article></div></main></body>",
+    f"<body>{SIDE}<div class='with-header entry'>{BODY}</div></body>",
+])
+def test_names_of_containers_around_the_article(spark, page):
+    want = " ".join(re.sub("<[^>]*>", " ", BODY).split())
+    assert extract.main_text(page, extract.Weights({})) == want
+    fitted = extract.fit(spark.createDataFrame([(i, page) for i in range(5)], "page_id long, html string"))
+    if re.search("<(article|main)", page):
+        assert extract.main_text(page, fitted) == want
+
+
 def test_extraction_on_awkward_rows(odd_pages):
     out = extract.extract_text(odd_pages).collect()
     assert len(out) == odd_pages.count()
