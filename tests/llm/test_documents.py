@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import re
 import textwrap
@@ -323,3 +324,41 @@ def test_only_notices_at_the_head_are_left_out(spark):
     docs = spark.createDataFrame(list(lines.items()), "text string, want string")
     got = docs.select("text", "want", licenses.canonical(F.col("text")).alias("got")).filter("got <> want").collect()
     assert got == []
+
+
+def test_grants_within_a_text(spark):
+    """Every known text of several lines in a commented source file, in several wrappings."""
+    rows = []
+    for i, (name, text) in enumerate(licenses.KNOWN):
+        for w in (40, 72, 78, 10_000):
+            lines = wrapped(text, w).split("\n")
+            body = "\n".join(" * " + x for x in ["Copyright (c) 2020 Some Body", "", *lines])
+            rows.append((f"{name} {w} {i}", f"#!/bin/x\n/* A program.\n *\n{body}\n */\n\nint main() {{}}\n"))
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: (r["license"], r["grants"]) for r in licenses.scan_licenses(docs).collect()}
+    assert {k: v for k, v in got.items() if v != (None, k.split()[0])} == {}
+    assert all(re.search(licenses.BLOCK_MARKS, text) for _, text in licenses.KNOWN)
+
+
+def test_licences_of_other_holders_and_parts(spark):
+    bsd = licenses.BSD_3.replace("the copyright holder nor", "the University of X nor")
+    docs = spark.createDataFrame([
+        (1, "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + bsd), (2, bsd[:-200]),
+        (3, "Prose.\n\n" + licenses.GNU_HEADERS[0][1] + "\n\nMore.\n\n" + licenses.APACHE_HEADER + "\n\n" + licenses.MIT_GRANT),
+        (4, licenses.MIT_GRANT.replace("\n\n", "\n\nOther words.\n\n")), (5, "Own licence.\n\nBe kind."),
+    ], "doc_id long, text string")
+    got = {r["doc_id"]: (r["license"], r["grants"]) for r in licenses.scan_licenses(docs).collect()}
+    assert got == {1: ("BSD-3-Clause", "BSD-3-Clause"), 2: (None, ""), 3: (None, "Apache-2.0,GPL-3.0-or-later,MIT"), 4: (None, ""), 5: (None, "")}
+    own = {r["doc_id"]: (r["license"], r["grants"]) for r in licenses.scan_licenses(docs, [("Own", "own license\n\nbe kind")], []).collect()}
+    assert own[5] == ("Own", "Own") and own[1] == (None, "")
+
+
+@pytest.mark.skipif(not os.path.isdir("/usr/share/common-licenses"), reason="Debian's texts are not here")
+def test_digests_of_long_texts(spark):
+    files = {"GPL-2.0-only": "GPL-2", "GPL-3.0-only": "GPL-3", "LGPL-2.1-only": "LGPL-2.1", "LGPL-3.0-only": "LGPL-3"}
+    rows = []
+    for name, _ in licenses.DIGESTS:
+        with open(f"/usr/share/common-licenses/{files.get(name, name)}") as f:
+            rows.append((name, f.read()))
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    assert all(r["license"] == r["doc_id"] for r in licenses.scan_licenses(docs).collect())
