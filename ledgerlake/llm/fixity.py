@@ -35,26 +35,33 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
-def archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """page_id, archive, part, length and digest of every record; archives hold about ``archive_bytes``.
+def drawn(recs: DataFrame, archive_bytes: int) -> DataFrame:
+    """With the archive and part of every record; archives hold about ``archive_bytes``.
 
-    Archive and part are drawn from the digest, so that no host or id makes one large.
+    Both are drawn from page_id and url, so no host makes one large and a changed page stays in its place.
     """
-    whole = record(F.col("page_id"), F.col("url"), F.col("html"))
-    total = pages.agg(F.sum(F.octet_length("html"))).head()[0] or 0
-    count = total // archive_bytes + 1
-    recs = pages.select("page_id", F.sha2(whole, 256).alias("digest"), F.octet_length(whole).cast("long").alias("length"))
+    total = recs.agg(F.sum("length")).head()[0] or 0
+
+    def draw(salt: int, of: int) -> Column:
+        return F.pmod(F.xxhash64("page_id", "url_key", F.lit(salt)), F.lit(of))
+
+    return recs.withColumn("archive", draw(1, total // archive_bytes + 1)).withColumn("part", draw(2, PARTS))
 
-    def draw(at: int, of: int) -> Column:
-        return F.pmod(F.conv(F.substring("digest", at, 12), 16, 10).cast("long"), F.lit(of))
 
-    return recs.withColumn("archive", draw(1, count)).withColumn("part", draw(25, PARTS))
+def archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """page_id, url_key, archive, part, length and digest of every page's record."""
+    whole = record(F.col("page_id"), F.col("url"), F.col("html"))
+    recs = pages.select(
+        "page_id", F.xxhash64("url").alias("url_key"), F.sha2(whole, 256).alias("digest"),
+        F.octet_length(whole).cast("long").alias("length"),
+    )
+    return drawn(recs, archive_bytes)
 
 
 def laid_out(recs: DataFrame) -> DataFrame:
     """With ``seq`` and ``offset`` of every record in its archive.
 
-    Records stand by part, then page_id. Parts are summed first, so that no task holds an archive.
+    Records stand by part, then page_id and url; further columns are kept. Parts are summed first, so that no task holds an archive.
     """
     earlier = W.partitionBy("archive").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     parts = recs.groupBy("archive", "part").agg(F.count("*").alias("n"), F.sum("length").alias("b")).select(
@@ -62,15 +69,16 @@ def laid_out(recs: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
         F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("b_before"),
     )
-    order = W.partitionBy("archive", "part").orderBy("page_id", "digest")
+    order = W.partitionBy("archive", "part").orderBy("page_id", "url_key", "digest")
     before = order.rowsBetween(W.unboundedPreceding, -1)
+    further = [c for c in recs.columns if c not in ("page_id", "url_key", "archive", "part", "length", "digest")]
     return (
         recs.withColumn("nth", F.row_number().over(order) - 1)
         .withColumn("b", F.coalesce(F.sum("length").over(before), F.lit(0)))
         .join(parts, ["archive", "part"])
         .select(
             "page_id", "archive", (F.col("n_before") + F.col("nth")).alias("seq"),
-            (F.col("b_before") + F.col("b")).alias("offset"), "length", "digest",
+            (F.col("b_before") + F.col("b")).alias("offset"), "length", "digest", *further,
         )
     )
 
@@ -144,17 +152,41 @@ def audit(records: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataF
     )
 
 
-def drill(records: DataFrame, one_in: int = DRILL) -> DataFrame:
-    """A replica in which one record in ``one_in``, by its digest, was changed in place or lost.
+def stored(pages: DataFrame, one_in: int = DRILL) -> DataFrame:
+    """Every page's record as a second copy holds it, written to the shared folder.
 
-    It is written to the shared folder and read again, like the replica it stands for.
+    row, page_id, url_key, digest and length are the original's; ``bytes`` is the copy's record. Of one
+    record in ``one_in``, drawn by digest, a byte in the middle is changed; one in ``one_in`` is lost (null).
     """
+    whole = F.encode(record(F.col("page_id"), F.col("url"), F.col("html")), "UTF-8")
+    recs = pages.select("page_id", F.xxhash64("url").alias("url_key"), whole.alias("whole")).select(
+        "*", F.sha2("whole", 256).alias("digest"), F.octet_length("whole").cast("long").alias("length")
+    )
     draw = F.pmod(F.conv(F.substring("digest", 13, 12), 16, 10).cast("long"), F.lit(2 * one_in))
-    rotten = F.when(draw == 0, F.sha2(F.concat("digest", F.lit("rot")), 256)).otherwise(F.col("digest"))
-    return materialize(records.filter(draw != 1).withColumn("digest", rotten))
+    middle = F.floor(F.col("length") / 2).cast("int") + 1
+    there = F.substr("whole", middle, F.lit(1))
+    other = F.when(there == F.lit(b"#"), F.lit(b"*")).otherwise(F.lit(b"#"))
+    kept = F.when(draw == 0, F.overlay("whole", other, middle, F.lit(1))).when(draw != 1, F.col("whole"))
+    return materialize(
+        recs.select(F.monotonically_increasing_id().alias("row"), "page_id", "url_key", "digest", "length", kept.alias("bytes"))
+    )
+
+
+def replica_of(copy: DataFrame, records: DataFrame) -> DataFrame:
+    """archive, seq, offset, length and digest of the copy's records, hashed from the bytes stored.
+
+    They have their places in the archives from the original's index (``records`` with ``row``).
+    """
+    read = copy.filter(F.col("bytes").isNotNull()).select(
+        F.col("row").alias("at_row"), F.sha2("bytes", 256).alias("read"), F.octet_length("bytes").cast("long").alias("size")
+    )
+    return records.join(read, F.col("row") == F.col("at_row")).select(
+        "page_id", "archive", "seq", "offset", F.col("size").alias("length"), F.col("read").alias("digest")
+    )
 
 
 def fixity_audit(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, one_in: int = DRILL) -> DataFrame:
     """page_id, archive, seq, offset, length, digest and status of every page's record in a drill."""
-    records = materialize(laid_out(archives(pages, archive_bytes)))
-    return audit(records, drill(records, one_in))
+    copy = stored(pages, one_in)
+    records = materialize(laid_out(drawn(copy.drop("bytes"), archive_bytes)))
+    return audit(records.drop("row"), materialize(replica_of(copy, records)))

@@ -198,3 +198,27 @@ def test_fixity_on_awkward_rows(odd_pages):
     out = fixity.fixity_audit(odd_pages, one_in=2)
     assert out.count() == odd_pages.count()
     assert fixity.fixity_audit(odd_pages.limit(0)).isEmpty()
+
+
+def test_the_copy_is_read(spark, sf):
+    """Statuses come from the bytes that the copy holds, also where these were damaged after it was written."""
+    copy = fixity.stored(spark.read.parquet(f"{sf}/pages.parquet"), one_in=20)
+    first = copy.filter("bytes is not null and sha2(bytes, 256) = digest").agg(F.min("row")).head()[0]
+    later = copy.withColumn("bytes", F.when(F.col("row") == first, F.lit(b"x")).otherwise(F.col("bytes")))
+    records = fixity.laid_out(fixity.drawn(copy.drop("bytes"), 20_000)).cache()
+    got = {r["row"]: r["status"] for r in fixity.audit(records, fixity.replica_of(later, records)).collect()}
+    want, changed = {}, 0
+    for r in later.collect():
+        same = r["bytes"] is not None and hashlib.sha256(r["bytes"]).hexdigest() == r["digest"]
+        want[r["row"]] = "ok" if same else "missing" if r["bytes"] is None else "changed"
+        assert r["bytes"] is None or r["row"] == first or len(r["bytes"]) == r["length"]
+    assert got == want and set(want.values()) == {"ok", "missing", "changed"} and want[first] == "changed"
+
+
+def test_a_second_table_with_a_changed_page(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
+    one = pages.filter("length(html) > 20").agg(F.min("page_id")).head()[0]
+    other = pages.withColumn("html", F.when(F.col("page_id") == one, F.translate("html", "aeiou", "eioua")).otherwise(F.col("html")))
+    a, b = (fixity.laid_out(fixity.archives(t, archive_bytes=20_000)) for t in (pages, other))
+    bad = fixity.audit(a, b).filter("status <> 'ok'").collect()
+    assert {(r["page_id"], r["status"]) for r in bad} == {(one, "changed")}
