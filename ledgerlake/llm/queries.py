@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlake.llm import decontaminate, extract, fixity, jaccard, licenses, mixing, rules, slots, tokens, urls
 from ledgerlake.llm.oracles import ORACLES  # noqa: F401
 from ledgerlake.llm.shingles import Similarity
+from ledgerlake.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -81,7 +83,8 @@ def op8_fair_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op9_virtual_slots(spark: SparkSession, sf: str) -> DataFrame:
-    return slots.shard_documents(table(spark, sf, "documents"))
+    maps = f"{shared_dir(spark)}/slot_maps/{hashlib.md5(sf.encode()).hexdigest()}"
+    return slots.shard_documents(table(spark, sf, "documents"), maps=maps)
 
 
 @query

@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from ledgerlake.llm.text import byte_size, packed, row_key
 from ledgerlake.llm.scratch import materialize
+from ledgerlake.sources.tables import latest_version, read_version, write_version
 
 SLOTS = 4096
+DRIFT = 0.1  # share of the mean by which a shard's bytes may be off before slots move
 RECORD_OVERHEAD = 8  # bytes a record takes beside its text
 
 
@@ -106,6 +108,65 @@ def grow_map(slot_map: DataFrame, shards: int) -> DataFrame:
     )
 
 
+def rebalanced(slot_map: DataFrame, totals: DataFrame, shards: int, drift: float = DRIFT) -> DataFrame:
+    """A map with the present bytes and rows of its slots, and the next version of it if loads have drifted.
+
+    They have if a shard's bytes are off the mean by more than ``drift`` of it. Then slots go from the
+    heaviest shard to the lightest, the largest that narrows their distance first; all others stay. New
+    shards begin empty, and slots of shards that are no more go to the lightest. The map has a fixed number
+    of rows, so it is edited on the driver.
+    """
+    now = slot_map.select("version", "virtual_slot", "shard").join(totals, "virtual_slot", "left").na.fill(0, ["slot_bytes", "slot_rows"])
+    rows = sorted(now.collect(), key=lambda r: (-r["slot_bytes"], r["virtual_slot"]))
+    shard = {r["virtual_slot"]: r["shard"] for r in rows}
+    size = {r["virtual_slot"]: r["slot_bytes"] for r in rows}
+    load = [0] * shards
+    for slot, of in shard.items():
+        if of < shards:
+            load[of] += size[slot]
+    for slot, of in shard.items():
+        if of >= shards:
+            shard[slot] = load.index(min(load))
+            load[shard[slot]] += size[slot]
+    mean = sum(load) / shards
+    if max(load) > (1 + drift) * mean or min(load) < (1 - drift) * mean:
+        for _ in range(len(shard)):
+            heavy, light = load.index(max(load)), load.index(min(load))
+            fits = next((s for s, of in shard.items() if of == heavy and 0 < 2 * size[s] <= load[heavy] - load[light]), None)
+            if fits is None or max(load) <= (1 + drift / 2) * mean and min(load) >= (1 - drift / 2) * mean:
+                break
+            shard[fits] = light
+            load[heavy] -= size[fits]
+            load[light] += size[fits]
+    moved = any(shard[r["virtual_slot"]] != r["shard"] for r in rows)
+    return now.sparkSession.createDataFrame(
+        [(r["version"] + moved, r["virtual_slot"], shard[r["virtual_slot"]], r["slot_bytes"], r["slot_rows"]) for r in rows],
+        "version int, virtual_slot int, shard int, slot_bytes long, slot_rows long",
+    )
+
+
+def stored_map(recs: DataFrame, maps: str | None, shards: int, slots: int = SLOTS, drift: float = DRIFT) -> DataFrame:
+    """The map for these records, kept by version in the folder ``maps``; without one, a first map of its own.
+
+    The first map is built only where none is stored; later ones are the stored one, edited where needed. An
+    empty table has no map to keep.
+    """
+    spark, totals = recs.sparkSession, slot_totals(recs)
+    if maps is None:
+        return materialize(first_map(spark, totals, shards, slots))
+    totals = materialize(totals)
+    known = latest_version(spark, maps)
+    if known is None:
+        built = first_map(spark, totals, shards, slots)
+        return materialize(built) if totals.isEmpty() else write_version(built, maps, 1)
+    old = read_version(spark, maps, known).drop("v")
+    if old.count() != slots:
+        raise ValueError(f"the map in {maps} is not for {slots} slots")
+    new = materialize(rebalanced(old, totals, shards, drift))
+    version = new.first()["version"]
+    return new if version == known else write_version(new, maps, version)
+
+
 def place(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
     """Every record with its shard and its gapless position in the shard.
 
@@ -125,13 +186,14 @@ def place(recs: DataFrame, slot_map: DataFrame) -> DataFrame:
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, maps: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot and map version per document.
 
-    The law is ``bytes``: the shards' sizes are near equal, as far as single slots allow.
+    The law is ``bytes``: the shards' sizes are near equal, as far as single slots allow. ``maps`` is the
+    folder of the stored map; later calls with it move rows only where the bytes have drifted.
     """
     recs = records(docs, slots)
-    slot_map = materialize(first_map(docs.sparkSession, slot_totals(recs), shards, slots))
+    slot_map = stored_map(recs, maps, shards, slots)
     return place(recs, slot_map).select(
         "doc_id",
         "size",
@@ -145,9 +207,9 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> Da
     )
 
 
-def with_shard(docs: DataFrame, shards: int = 24, slots: int = SLOTS) -> DataFrame:
+def with_shard(docs: DataFrame, shards: int = 24, slots: int = SLOTS, maps: str | None = None) -> DataFrame:
     """The documents with their virtual_slot and shard; columns of these names are replaced."""
-    slot_map = materialize(first_map(docs.sparkSession, slot_totals(records(docs, slots)), shards, slots))
+    slot_map = stored_map(records(docs, slots), maps, shards, slots)
     others = docs.drop("virtual_slot", "shard")
     rows = docs.select(packed(others).alias("doc"), virtual_slot(F.col("doc_id"), F.col("text"), slots).alias("virtual_slot"))
     return rows.join(F.broadcast(slot_map.select("virtual_slot", "shard")), "virtual_slot").select(

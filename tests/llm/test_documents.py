@@ -266,6 +266,38 @@ def test_growing_moves_rows_to_the_new_shard_only(spark):
     assert len(a) == slots.SLOTS
 
 
+def test_the_stored_map_is_kept_and_edited(spark, tmp_path):
+    def table(rows):
+        return spark.createDataFrame(rows, "doc_id long, text string")
+
+    def run(rows, shards=24):
+        out = slots.shard_documents(table(rows), shards, maps=str(tmp_path / "m")).collect()
+        load, places = defaultdict(int), defaultdict(list)
+        for r in out:
+            load[r["shard"]] += r["size"]
+            places[r["shard"]].append(r["slot"])
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+        (version,) = {r["map_version"] for r in out}
+        return {r["virtual_slot"]: r["shard"] for r in out}, version, load
+
+    assert slots.shard_documents(table([]), maps=str(tmp_path / "m")).isEmpty()
+    rows = [(i, "x" * (i % 97)) for i in range(20_000)]
+    first, version, _ = run(rows)
+    assert version == 1
+    again, version, _ = run(rows + [(i, "x") for i in range(20_000, 20_020)])
+    assert version == 1 and all(again[s] == first[s] for s in first)  # a few more rows move nothing
+    full = [s for s in first if first[s] == 0]
+    ids = {r["virtual_slot"]: r["n"] for r in slots.records(table(rows)).groupBy("virtual_slot").agg(F.max("doc_id").alias("n")).collect()}
+    rows += [(ids[s], rows[ids[s]][1]) for s in full for _ in range(5)]  # shard 0 has drifted
+    drifted, version, load = run(rows)
+    moved = {s for s in first if drifted[s] != first[s]}
+    assert version == 2 and moved and {first[s] for s in moved} == {0} and max(load.values()) < 1.1 * min(load.values())
+    grown, version, load = run(rows, 25)
+    moved = {s for s in drifted if grown[s] != drifted[s]}
+    assert version == 3 and {grown[s] for s in moved} == {24} and len(load) == 25
+    assert run(rows, 25)[1] == 3 and set(run(rows, 20)[2]) == set(range(20))
+
+
 def test_shards_on_awkward_rows(odd_docs, no_docs):
     out = slots.shard_documents(odd_docs)
     assert out.count() == odd_docs.count() and out.filter("text_crc32 is null or shard is null").isEmpty()
