@@ -195,3 +195,36 @@ with recursive s1 as (
 )
 select v.*, fold.shard from v join fold on fold.virtual_slot = v.virtual_slot
 """
+
+ORACLES["op13_phrases"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null
+), worded as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), grams as (
+  select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from worded, (select unnest([1, 2, 3]) as k))
+), f as (select lang, k, phrase, count(*) as n from grams group by all
+), totals as (select lang, sum(n) as n from f where k = 1 group by lang
+), candidates as (select lang, k, phrase, n as a, string_split(phrase, ' ') as w from f where k > 1 and n >= 10
+), cuts as (
+  select lang, k, phrase, a, c, array_to_string(w[1 : c], ' ') as head, array_to_string(w[c + 1 : k], ' ') as tail
+  from (select *, unnest(range(1, k)) as c from candidates)
+), scored as (
+  select cuts.lang, cuts.k, cuts.phrase, a, c, l.n as l, r.n as r,
+    1000000::hugeint * a::hugeint * a::hugeint // (l.n::hugeint * r.n::hugeint) as score
+  from cuts join f l on l.lang = cuts.lang and l.phrase = head join f r on r.lang = cuts.lang and r.phrase = tail
+), best as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, c) = 1
+), parts as (
+  select lang, array_to_string(w[i : i + 1], ' ') as phrase, max(a) as longer
+  from (select *, unnest([1, 2]) as i from candidates where k = 3) group by all
+), alone as (
+  select best.* from best left join parts using (lang, phrase) where longer is null or 100 * longer < 50 * a
+), ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from alone
+)
+select lang, rank, phrase, a, l, r, totals.n::bigint as n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
