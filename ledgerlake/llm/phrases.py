@@ -20,6 +20,7 @@ at. An empty table gives an empty table.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,6 +34,7 @@ SHARD = 1 << 20  # words indexed at once
 BITS = 1 << 27  # of the bitmap of frequent phrases, 16 MB
 SPREAD = 64  # parts of a language's phrases in the ranking's first step
 _BUCKET = 8 * 4096  # bits of one of Spark's bitmaps
+_TIMES, _MODULUS = 1_000_003, 2_147_483_647
 _BORDER = b"\xff"  # a byte that no UTF-8 text has
 _COUNTS = "lang string, phrase string, n long"
 _TABLE = bytes(
@@ -52,7 +54,7 @@ class Index:
         bits = max(1, int(symbols).bit_length())
         later = [np.append(text[k:], np.zeros(min(k, len(text)), text.dtype)) for k in range(depth)]
         if bits * depth <= 62:
-            key = later[0].copy()
+            key = later[0].astype(np.int64)
             for k in range(1, depth):
                 key = (key << bits) | later[k]
             order = np.argsort(key)
@@ -62,8 +64,8 @@ class Index:
         self.counts = np.bincount(text, minlength=symbols + 1)
         self.before = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.counts)])
         by_symbol = np.argsort(self.bwt, kind="stable")
-        self.lf = np.empty(len(text), np.int64)
-        self.lf[by_symbol] = np.arange(len(text))
+        self.lf = np.empty(len(text), np.int32)
+        self.lf[by_symbol] = np.arange(len(text), dtype=np.int32)
 
 
 class Intervals:
@@ -87,7 +89,7 @@ class PhraseIndex:
     def single(self) -> Intervals:
         words = np.flatnonzero(self.forward.counts[1:]) + 1
         at = self.forward.before[words]
-        return Intervals(words[:, None], at, at.copy(), self.forward.counts[words])
+        return Intervals(words[:, None].astype(np.int32), at, at.copy(), self.forward.counts[words])
 
     def extended(self, of: Intervals, left: bool) -> Intervals:
         """All extensions by one word; the other direction's intervals follow."""
@@ -115,30 +117,29 @@ def phrase_text(words: np.ndarray, names: pa.Array) -> pa.Array:
 
 
 class Frequent:
-    """Bitmap of the frequent phrases of one language and length."""
+    """Bitmap of frequent phrases of one length."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
-    def has(self, lang: str, words: np.ndarray, names: pa.Array) -> np.ndarray:
-        """Whether phrases may be frequent; each different phrase is hashed once."""
-        if not len(words):
-            return np.zeros(0, bool)
-        kinds, which = np.unique(words, axis=0, return_inverse=True) if words.shape[1] > 2 else unique_pairs(words)
-        start = zlib.crc32(f"{lang}\n".encode("utf-8", "surrogatepass"))
-        texts = phrase_text(kinds, names).to_pylist()
-        at = np.array([zlib.crc32(t.encode(), start) for t in texts], np.int64) % BITS
-        return (self.bits[at >> 3] >> (at & 7) & 1).astype(bool)[which.reshape(-1)]
-
-
-def unique_pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    key, which = np.unique(words[:, 0] << 32 | words[:, -1], return_inverse=True)
-    return np.stack([key >> 32, key & 0xFFFFFFFF], axis=1)[:, : words.shape[1]], which
+    def has(self, lang: str, words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Whether phrases may be frequent; ``hashes`` holds each word's CRC-32."""
+        at = np.full(len(words), zlib.crc32(lang.encode("utf-8", "surrogatepass")), np.int64)
+        for k in range(words.shape[1]):
+            at = (at * _TIMES + hashes[words[:, k]]) % _MODULUS
+        at %= BITS
+        return (self.bits[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
 def bitmap_of(phrases: DataFrame) -> np.ndarray:
-    """``BITS`` bits as bytes, whatever the number of (lang, phrase) rows; one row for 32,768 bits comes to the driver."""
-    at = F.pmod(F.crc32(F.concat(F.col("lang"), F.lit("\n"), F.col("phrase"))), F.lit(BITS))
+    """``BITS`` bits as bytes, whatever the number of (lang, phrase) rows; one row for 32,768 bits comes to the driver.
+
+    A phrase's place is folded from its words' checksums, so that tasks need no phrases as texts.
+    """
+    folded = F.aggregate(
+        F.split("phrase", " "), F.crc32("lang"), lambda h, w: (h * F.lit(_TIMES) + F.crc32(w)) % F.lit(_MODULUS)
+    )
+    at = folded % F.lit(BITS)
     parts = (
         phrases.select(F.floor(at / _BUCKET).alias("part"), (at % _BUCKET).alias("bit"))
         .groupBy("part").agg(F.expr("bitmap_construct_agg(bit)").alias("bits")).collect()
@@ -150,41 +151,74 @@ def bitmap_of(phrases: DataFrame) -> np.ndarray:
     return out
 
 
-def short_counts(index: PhraseIndex, lang: str, names: pa.Array) -> Iterator[Intervals]:
+Counts = Callable[[PhraseIndex, str, np.ndarray], Iterator[Intervals]]
+
+
+def short_counts(index: PhraseIndex, lang: str, hashes: np.ndarray) -> Iterator[Intervals]:
     """Words and pairs of words."""
     single = index.single()
     yield single
     yield index.extended(single, left=True)
 
 
-def longer_counts(k: int, frequent: Frequent) -> Callable[[PhraseIndex, str, pa.Array], Iterator[Intervals]]:
+def longer_counts(k: int, frequent: Frequent) -> Counts:
     """Phrases of k words whose two longest parts may be frequent."""
 
-    def counts(index: PhraseIndex, lang: str, names: pa.Array) -> Iterator[Intervals]:
+    def counts(index: PhraseIndex, lang: str, hashes: np.ndarray) -> Iterator[Intervals]:
         found = index.extended(index.single(), left=True)
         for _ in range(k - 3):
             found = index.extended(found, left=False)
-        found = found.where(frequent.has(lang, found.words, names))
+        found = found.where(frequent.has(lang, found.words, hashes))
         found = index.extended(found, left=False)
-        yield found.where(frequent.has(lang, found.words[:, 1:], names))
+        yield found.where(frequent.has(lang, found.words[:, 1:], hashes))
 
     return counts
 
 
-def shard_counts(depth: int, counts: Callable[[PhraseIndex, str, pa.Array], Iterator[Intervals]], totals: bool):
+class Numbers(dict):
+    """Numbers new words as they are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class Shard:
+    """Words of texts as numbers; 0 is the border."""
+
+    def __init__(self) -> None:
+        self.number = Numbers({_BORDER: 0})
+        self.ids = array("i")
+
+    def add(self, words: list[bytes]) -> None:
+        self.ids.extend(map(self.number.__getitem__, words))
+
+
+def pieces_from(words: list[bytes]) -> Iterator[slice]:
+    """The words of a text, in parts that end behind a piece, each over ``SHARD`` words but the last."""
+    start = 0
+    while start < len(words):
+        end = len(words)
+        if end - start > SHARD:
+            end = words.index(_BORDER, start + SHARD) + 1  # the last word is a border
+        yield slice(start, end)
+        start = end
+
+
+def shard_counts(depth: int, counts: Counts, totals: bool):
     """A task's function: batches of (lang, text) to rows (lang, phrase, n), shard after shard."""
 
-    def emit(lang: str, words: list[bytes]) -> Iterator[pa.RecordBatch]:
-        number = {_BORDER: 0}
-        text = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+    def emit(lang: str, shard: Shard) -> Iterator[pa.RecordBatch]:
+        text = np.frombuffer(shard.ids, np.int32)
         names = pa.array(
-            ["" if w == _BORDER else w.decode("utf-8", "surrogatepass") for w in number], pa.large_string()
+            ["" if w == _BORDER else w.decode("utf-8", "surrogatepass") for w in shard.number], pa.large_string()
         )
+        hashes = np.array([zlib.crc32(w) for w in shard.number], np.int64)
         if totals and len(text):
             yield rows(lang, pa.array([None], pa.string()), np.array([(text > 0).sum()]))
-        for found in counts(PhraseIndex(np.append(0, text), depth), lang, names):
-            for at in range(0, len(found.n), 200_000):
-                part = slice(at, at + 200_000)
+        for found in counts(PhraseIndex(np.append(np.int32(0), text), depth), lang, hashes):
+            for at in range(0, len(found.n), 100_000):
+                part = slice(at, at + 100_000)
                 yield rows(lang, phrase_text(found.words[part], names).cast(pa.string()), found.n[part])
 
     def rows(lang: str, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
@@ -193,32 +227,21 @@ def shard_counts(depth: int, counts: Callable[[PhraseIndex, str, pa.Array], Iter
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[bytes]] = {}
+        waiting: dict[str, Shard] = {}
         held = 0
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = words_of(text)
-                if len(words) > SHARD:  # a very long text is cut behind a piece
-                    yield from cut(lang, words)
-                    continue
-                waiting.setdefault(lang, []).extend(words)
-                held += len(words)
-                if held >= SHARD:
-                    longest = max(waiting, key=lambda x: len(waiting[x]))
-                    held -= len(waiting[longest])
-                    yield from emit(longest, waiting.pop(longest))
-        for lang, words in waiting.items():
-            yield from emit(lang, words)
-
-    def cut(lang: str, words: list[bytes]) -> Iterator[pa.RecordBatch]:
-        start = 0
-        while start < len(words):
-            try:
-                end = words.index(_BORDER, start + SHARD) + 1
-            except ValueError:
-                end = len(words)
-            yield from emit(lang, words[start:end])
-            start = end
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                lang, words = lang.as_py(), words_of(text.as_py())
+                for start in pieces_from(words):
+                    shard = waiting.setdefault(lang, Shard())
+                    shard.add(words[start])
+                    held += start.stop - start.start
+                    if held >= SHARD:
+                        longest = max(waiting, key=lambda x: len(waiting[x].ids))
+                        held -= len(waiting[longest].ids)
+                        yield from emit(longest, waiting.pop(longest))
+        for lang, shard in waiting.items():
+            yield from emit(lang, shard)
 
     return run
 
@@ -246,8 +269,8 @@ def phrase_counts(docs: DataFrame, depth: int = 3, least: int = 10, lang: str =
     return totals, out.filter(F.col("words") <= depth)
 
 
-def sent_counts(k: int, sent) -> Callable[[PhraseIndex, str, pa.Array], Iterator[Intervals]]:
-    return lambda index, lang, names: longer_counts(k, Frequent(sent.value))(index, lang, names)
+def sent_counts(k: int, sent) -> Counts:
+    return lambda index, lang, hashes: longer_counts(k, Frequent(sent.value))(index, lang, hashes)
 
 
 def part(words: Column, start: int | Column, length: int | Column) -> Column:
