@@ -21,12 +21,14 @@ def gold_perfil_360(
     as_of: AsOf = None,
     cortes: params.CortesValor = params.CortesValor(),
 ) -> DataFrame:
-    """One row per client: transactions, current balances, last 90 days and a value class.
+    """One row per client: transactions, current balances, last 90 days and a value class."""
+    return profile(dim, client_activity(txn, as_of), saldos, cortes)
 
-    The 90-day measures are conditional aggregates of the pass over all transactions.
-    """
+
+def client_activity(txn: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Transactions per client; the 90-day measures are conditional aggregates of the same pass."""
     recent = F.col("fecha_date") >= F.date_sub(today(as_of), 90)
-    activity = aggregate_once(
+    return aggregate_once(
         txn.filter(F.col("_quality_flag") == params.OK),
         ["client_id"],
         {
@@ -43,7 +45,12 @@ def gold_perfil_360(
         },
         {"productos": "producto_id"},
         drop_null_keys=True,
-    ).withColumn("ticket", mean_of("neto", "_con_monto"))
+    )
+
+
+def profile(dim: DataFrame, activity: DataFrame, saldos: DataFrame, cortes: params.CortesValor = params.CortesValor()) -> DataFrame:
+    """The profile from each client's activity and current balances."""
+    activity = activity.withColumn("ticket", mean_of("neto", "_con_monto"))
     balance = (
         saldos.filter(F.col("estado_cuenta") == params.ACTIVA)
         .groupBy("client_id")
@@ -88,7 +95,11 @@ def gold_perfil_360(
 
 def gold_resumen_mensual_sucursal(txn: DataFrame, sucursales: DataFrame) -> DataFrame:
     """Month × branch. The branch names join after the aggregation, on a few rows."""
-    months = aggregate_once(
+    return named_months(branch_months(txn), sucursales)
+
+
+def branch_months(txn: DataFrame) -> DataFrame:
+    return aggregate_once(
         txn.filter((F.col("_quality_flag") == params.OK) & F.col("sucursal_id").isNotNull()),
         ["mes", "sucursal_id"],
         {
@@ -102,7 +113,11 @@ def gold_resumen_mensual_sucursal(txn: DataFrame, sucursales: DataFrame) -> Data
             "_fin_semana": added(F.count_if("es_fin_semana")),
         },
         {"clientes_activos": "client_id", "productos_operados": "producto_id"},
-    ).withColumns({
+    )
+
+
+def named_months(months: DataFrame, sucursales: DataFrame) -> DataFrame:
+    months = months.withColumns({
         "ticket_promedio": mean_of("_absoluto", "_con_monto"),
         "tasa_aprobacion": ratio(F.col("_aprobadas"), F.col("total_operaciones")),
         "pct_fin_semana": ratio(F.col("_fin_semana"), F.col("total_operaciones")),
@@ -118,15 +133,21 @@ def gold_resumen_mensual_sucursal(txn: DataFrame, sucursales: DataFrame) -> Data
 def gold_quality_alerts(txn: DataFrame, mov: DataFrame) -> DataFrame:
     """Rows per table and flag, for flags other than OK."""
 
-    def alerts(df: DataFrame, name: str) -> DataFrame:
+    def alerts(df: DataFrame) -> DataFrame:
         return (
             df.filter(F.col("_quality_flag") != params.OK)
             .groupBy("_quality_flag")
             .agg(F.count("*").alias("registros"), F.max("_silver_processed_at").alias("ultimo_check"))
-            .select(F.lit(name).alias("tabla"), "_quality_flag", "registros", "ultimo_check")
         )
 
-    return alerts(txn, "FACT_TRANSACCIONES").unionByName(alerts(mov, "FACT_MOVIMIENTOS"))
+    return named_alerts(alerts(txn), alerts(mov))
+
+
+def named_alerts(txn: DataFrame, mov: DataFrame) -> DataFrame:
+    """Both tables' (flag, registros, ultimo_check) as one."""
+    both = {"FACT_TRANSACCIONES": txn, "FACT_MOVIMIENTOS": mov}
+    parts = [df.select(F.lit(name).alias("tabla"), "_quality_flag", "registros", "ultimo_check") for name, df in both.items()]
+    return parts[0].unionByName(parts[1])
 
 
 def row_counts(tables: dict[str, DataFrame], label: str = "tabla") -> DataFrame:

@@ -45,6 +45,10 @@ def null_count(c: str) -> Column:
     return F.count_if(F.col(c).isNull())
 
 
+def newest(c: str) -> Column:
+    return F.max(F.col(c).cast("timestamp_ntz"))
+
+
 def duplicate_count(c: str) -> Column:
     """Rows beyond the first of each non-null value."""
     return F.count(c) - F.count_distinct(c)
@@ -52,7 +56,11 @@ def duplicate_count(c: str) -> Column:
 
 def freshness(c: str, as_of: AsOf = None) -> Column:
     """Seconds from the newest value to the reference time."""
-    return F.timestamp_diff("SECOND", F.max(F.col(c).cast("timestamp_ntz")), now(as_of))
+    return seconds_since(newest(c), as_of)
+
+
+def seconds_since(moment: Column, as_of: AsOf = None) -> Column:
+    return F.timestamp_diff("SECOND", moment, now(as_of))
 
 
 def invalid_rut_count(c: str, exclude_pseudonymized: Column | None = None) -> Column:
@@ -88,15 +96,16 @@ def _measured(df: DataFrame, table: str, specs: Sequence[tuple[str, str]], as_of
     for i, (metric, column) in enumerate(specs):
         value = freshness(column, as_of) if metric == "FRESHNESS" else METRICS[metric](column)
         values.append(value.cast("long").alias(f"_m{i}"))
+    return measured_rows(df.agg(*values), table, specs, as_of)
+
+
+def measured_rows(values: DataFrame, table: str, specs: Sequence[tuple[str, str]], as_of: AsOf = None) -> DataFrame:
+    """One row of ``_m0, _m1, …`` as one row per (metric, column)."""
     rows = [
         F.struct(F.lit(m).alias("metrica"), F.lit(c).alias("columna"), F.col(f"_m{i}").alias("valor"))
         for i, (m, c) in enumerate(specs)
     ]
-    return (
-        df.agg(*values)
-        .select(F.explode(F.array(*rows)).alias("_r"))
-        .select(F.lit(table).alias("tabla"), "_r.*", now(as_of).alias("medido_en"))
-    )
+    return values.select(F.explode(F.array(*rows)).alias("_r")).select(F.lit(table).alias("tabla"), "_r.*", now(as_of).alias("medido_en"))
 
 
 def metric_results(results: DataFrame, n: int = 20) -> DataFrame:

@@ -16,7 +16,7 @@ from ledgerlake.operators import gold, marts, privacy, processes, silver
 from ledgerlake.operators.restore import restore_as_of
 from ledgerlake.sources.landing import bronze_schema
 from ledgerlake.sources.tables import drop_versions, latest_version, read_table, read_version, save_table, write_version
-from ledgerlake.streaming import jobs as streams
+from ledgerlake.streaming import gold_states as states, jobs as streams
 
 LAG_SECONDS = {"SILVER": 600, "GOLD": 1800, "DWH": 3600}
 REFRESH_LOG = (
@@ -59,7 +59,8 @@ def refresh_layers(
     """Bring Silver, then Gold, up to date with Bronze; returns the rows added to the refresh log.
 
     Silver reads only what arrived since its last run: facts are appended, the newest client and
-    balance versions are upserted. Gold is built anew, because distinct counts do not add up.
+    balance versions are upserted. Gold comes from counted states that the new rows are folded into,
+    so no run reads the facts again.
     ``only`` forces single tables. A failing table is logged and stops the run; the next run goes
     on from the checkpoints and the last committed versions.
     """
@@ -70,8 +71,12 @@ def refresh_layers(
 
     def append(name: str, source: str, build: Callable[[DataFrame], DataFrame]) -> int:
         path = f"{root}/silver/{name}"
-        streams.run(streams.consume(build(changes(source)), f"{checkpoints}/{name}", path))
-        return spark.read.parquet(path).count()
+        new = build(changes(source))
+        streams.run(streams.consume(new, f"{checkpoints}/{name}", path))
+        fold = states.fold_fact if name == "fact_transacciones" else states.fold_flags
+        folded = streams.read_changes(spark, path, new.schema).writeStream.foreachBatch(fold(f"{root}/states/{name}"))
+        streams.run(folded.option("checkpointLocation", f"{checkpoints}/states_{name}").trigger(availableNow=True).start())
+        return states.row_total(spark, f"{root}/states/{name}")
 
     def newest(source: str, keys: Sequence[str], order) -> DataFrame:
         path = f"{root}/silver/_{source}"
@@ -81,8 +86,9 @@ def refresh_layers(
     def branches() -> DataFrame:
         return read_table(spark, root, "raw/sucursales")
 
-    def fact() -> DataFrame:
-        return current_flags(spark.read.parquet(f"{root}/silver/fact_transacciones"), as_of)
+    def counted(build: Callable[..., DataFrame]) -> DataFrame:
+        like = silver.silver_fact_transacciones(spark.createDataFrame([], bronze_schema("transacciones")), as_of)
+        return build(spark, f"{root}/states/fact_transacciones", like, as_of)
 
     def version(layer: str, name: str) -> DataFrame:
         return read_version(spark, f"{root}/{layer}/{name}")
@@ -96,11 +102,11 @@ def refresh_layers(
             "fact_movimientos", "movimientos", lambda d: silver.silver_fact_movimientos(d, monto_anomalo)),
         ("SILVER", "dim_saldos_actuales"): lambda: silver.silver_saldos_actuales(
             newest("saldos", ["client_id", "producto_id"], _newest_balance), rangos),
-        ("GOLD", "perfil_cliente_360"): lambda: gold.gold_perfil_360(
-            version("silver", "dim_clientes"), fact(), version("silver", "dim_saldos_actuales"), as_of, cortes),
-        ("GOLD", "resumen_mensual_sucursal"): lambda: gold.gold_resumen_mensual_sucursal(fact(), branches()),
-        ("GOLD", "quality_alerts"): lambda: gold.gold_quality_alerts(
-            fact(), spark.read.parquet(f"{root}/silver/fact_movimientos")),
+        ("GOLD", "perfil_cliente_360"): lambda: gold.profile(
+            version("silver", "dim_clientes"), counted(states.activity), version("silver", "dim_saldos_actuales"), cortes),
+        ("GOLD", "resumen_mensual_sucursal"): lambda: gold.named_months(counted(states.months), branches()),
+        ("GOLD", "quality_alerts"): lambda: gold.named_alerts(
+            counted(states.fact_alerts), states.flag_alerts(spark, f"{root}/states/fact_movimientos")),
     }
     log = []
     for (layer, name), build in steps.items():

@@ -113,13 +113,31 @@ def s4_append(spark, sf):
   union all select 'CLIENTES', 'INVALID_RUT_COUNT', 'rut', count(*), timestamp '{fx.AS_OF}' from bcli where {BAD_RUT}""",
        ("cli", "bcli"))
 def i7(spark, sf):
-    path, results, checkpoint = (scratch(spark, n) for n in ("bronze", "results", "checkpoint"))
+    return read_version(spark, _measured_loads(spark, sf))
+
+
+def _measured_loads(spark, sf):
+    """Results folder of the metrics after each of the two client loads."""
+    path, state, results, checkpoint = (scratch(spark, n) for n in ("bronze", "state", "results", "checkpoint"))
     specs = [("NULL_COUNT", "email"), ("DUPLICATE_COUNT", "client_id"), ("INVALID_RUT_COUNT", "rut")]
     for load in _loads(spark, sf):
         load.write.mode("append").parquet(path)
         changes = streams.read_changes(spark, path, landing.bronze_schema("clientes"))
-        streams.run(streams.metrics_on_change(changes, checkpoint, path, results, "CLIENTES", specs, fx.AS_OF))
-    return read_version(spark, results)
+        streams.run(streams.metrics_on_change(changes, checkpoint, state, results, "CLIENTES", specs, fx.AS_OF))
+    return results
+
+
+@query("i7_metrics_history", f"""with m as (select 1::bigint medicion, * from bcli where _source_file = 'initial_load'
+  union all select 2, * from bcli)
+  select medicion, 'CLIENTES' tabla, 'NULL_COUNT' metrica, 'email' columna,
+    count(*) filter (where email is null)::bigint valor, timestamp '{fx.AS_OF}' medido_en from m group by 1
+  union all select medicion, 'CLIENTES', 'DUPLICATE_COUNT', 'client_id', count(client_id) - count(distinct client_id),
+    timestamp '{fx.AS_OF}' from m group by 1
+  union all select medicion, 'CLIENTES', 'INVALID_RUT_COUNT', 'rut', count(*) filter (where {BAD_RUT}), timestamp '{fx.AS_OF}'
+  from m group by 1""", ("cli", "bcli"))
+def i7_history(spark, sf):
+    """The measurements after the first and after the second load, read as one table."""
+    return streams.metrics_history(spark, _measured_loads(spark, sf))
 
 
 @query("s6_ingest_json_stream", f"""with {GOOD}, {BAD[len(BAD.split(', bad as')[0]) + 2:]}

@@ -12,10 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.operators.quality import run_metrics
-from ledgerlake.operators.scale import newest_per_key
+from ledgerlake.functions.clock import AsOf
+from ledgerlake.operators.quality import METRICS, measured_rows, newest, seconds_since
+from ledgerlake.operators.scale import Measure, added, newest_per_key
 from ledgerlake.sources import ingest
 from ledgerlake.sources.tables import drop_versions, latest_version, read_version, versions, write_version
+from ledgerlake.streaming.states import CountedState
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -140,24 +142,60 @@ def alerts_stream(flagged: DataFrame, checkpoint: str, path: str, trigger: dict
 def metrics_on_change(
     changes: DataFrame,
     checkpoint: str,
-    table_path: str,
+    state_path: str,
     results_path: str,
     table: str,
     specs: Sequence[tuple[str, str]],
-    as_of: str | None = None,
+    as_of: AsOf = None,
     trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Measure the whole table again whenever rows arrive; one result version per batch."""
+    """Measure the table whenever rows arrive, from the new rows and counted states; one result version per batch."""
+    sink = measure_batch(state_path, results_path, table, specs, as_of)
+    return changes.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
-    def measure(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        whole = spark.read.schema(batch.schema).parquet(table_path)
-        results = run_metrics(whole, table, specs, as_of)
-        write_version(results, results_path, batch_id + 1)
 
-    return (
-        changes.writeStream.foreachBatch(measure).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+def measure_batch(
+    state_path: str, results_path: str, table: str, specs: Sequence[tuple[str, str]], as_of: AsOf = None
+) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` sink for the same values as ``run_metrics`` over all rows up to the batch.
+
+    Null and invalid counts and newest values add up in a state of one row; a duplicate count comes from a
+    state of rows per value. A repeated batch overwrites its own change and result, and its result
+    does not look at later batches.
+    """
+
+    def state(metric: str, column: str, schema: T.StructType) -> tuple[str, CountedState]:
+        if metric == "DUPLICATE_COUNT":
+            return f"valores_{column}", CountedState({"valor": schema[column].dataType.simpleString()})
+        if metric == "FRESHNESS":
+            return f"{metric}_{column}", CountedState({}, {"m": Measure(newest(column), F.max)}, {"m": "timestamp_ntz"})
+        return f"{metric}_{column}", CountedState({}, {"m": added(METRICS[metric](column))}, {"m": "bigint"})
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark, values = batch.sparkSession, []
+        for i, (metric, column) in enumerate(specs):
+            name, counted = state(metric, column, batch.schema)
+            present = batch.filter(F.col(column).isNotNull()).select(F.col(column).alias("valor"))
+            rows = present if metric == "DUPLICATE_COUNT" else batch
+            counted.fold(rows, f"{state_path}/{name}", batch_id)
+            after = counted.read(spark, f"{state_path}/{name}", upto=batch_id)
+            value = {
+                "DUPLICATE_COUNT": F.coalesce(F.sum(F.col("n") - 1), F.lit(0)), "FRESHNESS": seconds_since(F.max("m"), as_of),
+            }.get(metric, F.coalesce(F.sum("m"), F.lit(0)))
+            values.append(after.agg(value.cast("long").alias(f"_m{i}")))
+        one_row = reduce(DataFrame.crossJoin, values)  # a row each
+        write_version(measured_rows(one_row, table, specs, as_of), results_path, batch_id + 1)
+
+    return apply
+
+
+def metrics_history(spark: SparkSession, results_path: str) -> DataFrame:
+    """All measurements of a table, with the number of the version that holds them as ``medicion``."""
+    numbers = versions(spark, results_path)
+    if not numbers:
+        raise FileNotFoundError(f"no committed version in {results_path}")
+    every = spark.read.option("basePath", results_path).parquet(*[f"{results_path}/v={v}" for v in numbers])
+    return every.withColumn("medicion", F.col("v").cast("long")).drop("v")
 
 
 def ingest_json_stream(
