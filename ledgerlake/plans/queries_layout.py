@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import layout
+from ledgerlake.operators import clustered as clustered_files, layout
 from ledgerlake.plans import fixtures as fx
 from ledgerlake.plans.queries_marts import fact
 from ledgerlake.plans.registry import avg6, half_up, query
@@ -19,22 +19,31 @@ def scratch(spark, name):
     return f"{shared_dir(spark)}/ledgerlake-{name}-{uuid.uuid4().hex}"
 
 
-@query("f1_q1_rango_fechas", f"""select date_trunc('month', fecha)::date mes, tipo, count(*) num_txn,
-  sum(monto)::double volumen from txn where fecha between '{Q1[0]}' and '{Q1[1]}' group by 1, 2""", ("txn",))
+F1_SQL = f"""select date_trunc('month', fecha)::date mes, tipo, count(*) num_txn,
+  sum(monto)::double volumen from txn where fecha between '{Q1[0]}' and '{Q1[1]}' group by 1, 2"""
+
+
+@query("f1_q1_rango_fechas", F1_SQL, ("txn",))
 def f1(spark, sf):
     return layout.q1_rango_fechas(fact(spark, sf, branch=False), *Q1)
 
 
-@query("f2_q2_fecha_sucursal", f"""select t.sucursal_id, comuna, count(*) num_txn, sum(monto)::double volumen,
+F2_SQL = f"""select t.sucursal_id, comuna, count(*) num_txn, sum(monto)::double volumen,
   count(distinct client_id) clientes_unicos from txn t join suc s on t.sucursal_id = s.sucursal_id
-  where fecha >= '{Q2[0]}' and fecha < '{Q2[1]}' and t.sucursal_id in (1, 5, 10, 15, 20) group by 1, 2""",
+  where fecha >= '{Q2[0]}' and fecha < '{Q2[1]}' and t.sucursal_id in (1, 5, 10, 15, 20) group by 1, 2"""
+
+
+@query("f2_q2_fecha_sucursal", F2_SQL,
        ("txn", "suc"))
 def f2(spark, sf):
     return layout.q2_fecha_sucursal(fact(spark, sf), fx.sucursales(spark, sf), *Q2)
 
 
-@query("f3_q3_point_lookup", f"""select client_id, tipo, count(*) num_txn, sum(monto)::double volumen,
-  min(fecha) primera_txn, max(fecha) ultima_txn from txn where client_id = {CLIENT} group by 1, 2""", ("txn",))
+F3_SQL = f"""select client_id, tipo, count(*) num_txn, sum(monto)::double volumen,
+  min(fecha) primera_txn, max(fecha) ultima_txn from txn where client_id = {CLIENT} group by 1, 2"""
+
+
+@query("f3_q3_point_lookup", F3_SQL, ("txn",))
 def f3(spark, sf):
     return layout.q3_point_lookup(fact(spark, sf, branch=False), CLIENT)
 
@@ -137,3 +146,55 @@ def f8(spark, sf):
   from nc join wc on nc.q = wc.q""", ("query_log",))
 def f9(spark, sf):
     return layout.extrapolate(fx.query_log(spark, sf), query_type="view")
+
+
+def z_ordered(spark, sf):
+    """The fact in z-order over date, branch and client, with Bloom filters on the client."""
+    path = scratch(spark, "fact")
+    rows = fact(spark, sf).withColumn("fecha_date", F.col("fecha").cast("date"))
+    return clustered_files.write_clustered(rows, path, ["fecha_date", "sucursal_id", "client_id"], 16, "z", ["client_id"])
+
+
+@query("f1_z_order", F1_SQL, ("txn",))
+def f1_z(spark, sf):
+    return layout.q1_rango_fechas(z_ordered(spark, sf), *Q1)
+
+
+@query("f2_z_order", F2_SQL, ("txn", "suc"))
+def f2_z(spark, sf):
+    return layout.q2_fecha_sucursal(z_ordered(spark, sf), fx.sucursales(spark, sf), *Q2)
+
+
+@query("f3_z_order", F3_SQL, ("txn",))
+def f3_z(spark, sf):
+    return layout.q3_point_lookup(z_ordered(spark, sf), CLIENT)
+
+
+def sorted_again(spark, sf):
+    """A clustered table, a load appended over its range, and the table sorted again from itself."""
+    path, keys = scratch(spark, "fact"), ["fecha_date", "sucursal_id"]
+    rows = fx.transacciones(spark, sf).withColumn("fecha_date", F.col("fecha").cast("date"))
+    clustered_files.write_clustered(rows.filter("txn_id % 10 <> 0"), path, keys, 8)
+    late = "txn_id % 10 = 0 and fecha_date >= date '1997-01-01'"
+    clustered_files.append_load(rows.filter(f"txn_id % 10 = 0 and not ({late})"), path, keys, 4)
+    clustered_files.recluster(spark, path, keys, target_bytes=1 << 20)
+    clustered_files.append_load(rows.filter(late), path, keys)
+    clustered_files.recluster(spark, path, keys, target_bytes=1 << 20)
+    return path, rows.schema
+
+
+@query("f6_sorted_again", "select *, fecha::date fecha_date from (select * replace (monto::double as monto) from txn)", ("txn",))
+def f6_again(spark, sf):
+    path, schema = sorted_again(spark, sf)
+    return clustered_files.read_clustered(spark, path, schema)
+
+
+@query("f7_listed_totals", """select count(*) filas, min(fecha)::date min_fecha_date, max(fecha)::date max_fecha_date,
+  min(sucursal_id) min_sucursal_id, max(sucursal_id) max_sucursal_id, 0::bigint solapados from txn""", ("txn",))
+def f7_listed(spark, sf):
+    """Bounds from the list of files, no data read, and the number of files whose ranges overlap after the sort."""
+    path, _ = sorted_again(spark, sf)
+    listed = clustered_files.clustering_report(spark, path)
+    bounds = [f(f"{n}_{c}").alias(f"{n}_{c}") for c in ("fecha_date", "sucursal_id") for n, f in (("min", F.min), ("max", F.max))]
+    mixed = clustered_files.overlapping(listed, "fecha_date").withColumn("_mixed", F.lit(1))
+    return listed.join(mixed, "archivo", "left").agg(F.sum("filas").alias("filas"), *bounds, F.count("_mixed").alias("solapados"))

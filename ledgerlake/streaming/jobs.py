@@ -172,8 +172,8 @@ def measure_batch(
         return f"{metric}_{column}", CountedState({}, {"m": added(METRICS[metric](column))}, {"m": "bigint"})
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark, values = batch.sparkSession, []
-        for i, (metric, column) in enumerate(specs):
+        spark, measured = batch.sparkSession, []
+        for metric, column in specs:
             name, counted = state(metric, column, batch.schema)
             present = batch.filter(F.col(column).isNotNull()).select(F.col(column).alias("valor"))
             rows = present if metric == "DUPLICATE_COUNT" else batch
@@ -182,9 +182,8 @@ def measure_batch(
             value = {
                 "DUPLICATE_COUNT": F.coalesce(F.sum(F.col("n") - 1), F.lit(0)), "FRESHNESS": seconds_since(F.max("m"), as_of),
             }.get(metric, F.coalesce(F.sum("m"), F.lit(0)))
-            values.append(after.agg(value.cast("long").alias(f"_m{i}")))
-        one_row = reduce(DataFrame.crossJoin, values)  # a row each
-        write_version(measured_rows(one_row, table, specs, as_of), results_path, batch_id + 1)
+            measured.append(measured_rows(after.agg(value.cast("long").alias("_m0")), table, [(metric, column)], as_of))
+        write_version(reduce(DataFrame.unionByName, measured), results_path, batch_id + 1)
 
     return apply
 
