@@ -63,9 +63,13 @@ def seconds_since(moment: Column, as_of: AsOf = None) -> Column:
     return F.timestamp_diff("SECOND", moment, now(as_of))
 
 
+def invalid_rut(c: str) -> Column:
+    return F.col(c).isNotNull() & ~F.col(c).rlike(RUT_PATTERN) & (F.length(c) < HASHED_LENGTH)
+
+
 def invalid_rut_count(c: str, exclude_pseudonymized: Column | None = None) -> Column:
     """Identifiers that break the format. Short hashes count too, unless their rows are excluded."""
-    wrong = F.col(c).isNotNull() & ~F.col(c).rlike(RUT_PATTERN) & (F.length(c) < HASHED_LENGTH)
+    wrong = invalid_rut(c)
     if exclude_pseudonymized is not None:
         wrong = wrong & ~exclude_pseudonymized
     return F.count_if(wrong)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import monitoring, privacy, quality, restore
+from ledgerlake.functions import sql
 from ledgerlake.plans import fixtures as fx
 from ledgerlake.plans.queries_marts import DIM, dim, fact
 from ledgerlake.plans.registry import half_up, query
@@ -36,6 +37,16 @@ _REPLACE = """'**.***.***-*' as rut, '***@masked.local' as email, '+569*****' ||
   '***' as nombre, '***' as apellido"""
 
 
+@query("h1_h4_masks_in_sql", f"with {DIM} select * replace ({_REPLACE}) from dim", ("cli", "suc"))
+def h_sql(spark, sf):
+    """The masks as functions of the SQL session."""
+    sql.register_masks(spark)
+    dim(spark, sf).createOrReplaceTempView("dim_clientes_sin_mascara")
+    masked = ", ".join(f"mask_{policy}({c}, '{ANALYST}') AS {c}" for c, policy in privacy.POLICIES.items())
+    others = ", ".join(c for c in dim(spark, sf).columns if c not in privacy.POLICIES)
+    return spark.sql(f"SELECT {others}, {masked} FROM dim_clientes_sin_mascara")
+
+
 @query("h5_apply_masking", f"with {DIM} select * replace ({_REPLACE}) from dim", ("cli", "suc"))
 def h5(spark, sf):
     return privacy.apply_masking(dim(spark, sf), ANALYST)
@@ -209,6 +220,13 @@ def i4(spark, sf):
     return fx.clientes(spark, sf).agg(quality.invalid_rut_count("rut").alias("invalidos"))
 
 
+@query("i4_invalid_rut_in_sql", f"select count(*) invalidos from cli where {BAD_RUT}", ("cli",))
+def i4_sql(spark, sf):
+    sql.register_checks(spark)
+    fx.clientes(spark, sf).createOrReplaceTempView("clientes_medidos")
+    return spark.sql("SELECT count_if(rut_invalido(rut)) AS invalidos FROM clientes_medidos")
+
+
 METRICS_SQL = f"""metrics as (
   select 'DIM_CLIENTES' tabla, 'NULL_COUNT' metrica, 'email' columna, count(*) filter (where email is null)::bigint valor from cli
   union all select 'DIM_CLIENTES', 'NULL_COUNT', 'rut', count(*) filter (where rut is null)::bigint from cli
@@ -226,6 +244,14 @@ def metrics(spark, sf):
     )
 
 
+@query("i5_metrics_in_sql", f"with {METRICS_SQL} select metrica, columna, valor from metrics where tabla = 'DIM_CLIENTES'", ("cli", "txn"))
+def i5_sql(spark, sf):
+    """The metrics of a view as a table function of the SQL session."""
+    fx.clientes(spark, sf).createOrReplaceTempView("clientes_medidos")
+    sql.register_metrics(spark, "metricas_clientes", "clientes_medidos", CLI_SPECS)
+    return spark.sql("SELECT * FROM metricas_clientes()")
+
+
 @query("i5_run_metrics", f"with {METRICS_SQL} select *, timestamp '{fx.AS_OF}' medido_en from metrics", ("cli", "txn"))
 def i5(spark, sf):
     return metrics(spark, sf)

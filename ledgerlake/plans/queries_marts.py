@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import marts, monitoring, processes
 from ledgerlake.operators.scale import exact_median
 from ledgerlake.plans import fixtures as fx
 from ledgerlake.plans.registry import avg6, cents, half_up, query
+from ledgerlake.session import shared_dir
+from ledgerlake.sources import tables
 
 
 def dim(spark, sf):
@@ -169,6 +173,22 @@ def e1(spark, sf):
     return scoring(spark, sf)
 
 
+def bucketed(spark, sf, buckets=8):
+    """Dimension, fact and balances as catalog tables in buckets of the client."""
+    tag = uuid.uuid4().hex
+    made = {"dim_clientes": dim(spark, sf), "fact_transacciones": fact(spark, sf, branch=False), "saldos": fx.saldos(spark, sf)}
+    return {
+        name: tables.save_bucketed(df, f"{name}_{tag}", f"{shared_dir(spark)}/ledgerlake-{name}-{tag}", "client_id", buckets)
+        for name, df in made.items()
+    }
+
+
+@query("e1_scoring_bucketed", E1_SQL + " select * from scoring", ("cli", "suc", "txn", "sal"))
+def e1_bucketed(spark, sf):
+    t = bucketed(spark, sf)
+    return processes.scoring_clientes(t["dim_clientes"], t["fact_transacciones"], t["saldos"], fx.AS_OF, fx.CORTES_SCORE)
+
+
 @query("e1d_distribucion_scores", E1_SQL + """
 select categoria_score, count(client_id) clientes from scoring group by 1""", ("cli", "suc", "txn", "sal"))
 def e1d(spark, sf):

@@ -11,7 +11,7 @@ from ledgerlake.plans.queries_layers import LOADED, S_SAL, silver_sal
 from ledgerlake.plans.queries_layout import scratch
 from ledgerlake.plans.queries_marts import E2_SQL, reconciliation
 from ledgerlake.plans.registry import cents, half_up, query
-from ledgerlake.sources import generators as gen, ingest, landing, tables
+from ledgerlake.sources import evolution, generators as gen, ingest, landing, tables
 
 
 def _draw(seq: str, salt: int, lo: int, hi: int) -> str:
@@ -233,3 +233,45 @@ def a17(spark, sf):
 def a17_dead(spark, sf):
     parsed = ingest.parse_json(json_rows(spark, sf), "value", EVENT_SCHEMA)
     return ingest.dead_letters(parsed, "value").select("event_id", "value", "error")
+
+
+def evolving_loads(spark, sf):
+    """Two loads of payloads: the second has a new field, and text where there were numbers."""
+    rows = json_rows(spark, sf).join(fx.table(spark, sf, "events").select("event_id", "event_type"), "event_id")
+    as_text = F.regexp_replace("value", '"k": ([0-9]+)', '"k": "x$1"')
+    late = (F.col("event_type") == "purchase") | (F.col("event_id") % 50 == 7)
+    value = F.when(F.col("event_id") % 50 == 7, as_text).otherwise(F.col("value"))
+    return [evolution.as_variant(rows.filter(part).select("event_id", value.alias("value")), "value") for part in (~late, late)]
+
+
+EVOLVED = JSON + """, v as (select event_id, event_type, case when event_id % 50 = 7
+    then regexp_replace(value, '"k": ([0-9]+)', '"k": "x\\1"') else value end as value from cut)"""
+
+
+@query("a17_evolved_schema", f"""with {EVOLVED} select event_id, case when json_valid(value) then value::json->>'$.k' end k,
+  case when json_valid(value) then value::json->>'$.canal' end canal,
+  case when not json_valid(value) then 'no JSON object' end error from v""")
+def a17_evolved(spark, sf):
+    """A first load, its schema; a second one, whose new field and wider type are proposed and promoted, dead letters read again."""
+    registry = scratch(spark, "schemas")
+    first, second = evolving_loads(spark, sf)
+    evolution.store_schema(spark, registry, evolution.observed_types(first))
+    before = evolution.stored_schema(spark, registry)
+    read = [evolution.read_under(load, before) for load in (first, second)]
+    dead = evolution.dead_letters(read[0].unionByName(read[1]), ["event_id", "value"])
+    after = evolution.promote(spark, registry, evolution.propose(before, second))
+    good = evolution.good_rows(read[0]).unionByName(evolution.good_rows(evolution.read_under(second, before)))
+    good = good.withColumns({f: F.col(f).cast(after[f]) for f in before})
+    good = good.withColumn("canal", F.get_json_object("extra", "$.canal")).drop("extra")
+    again = evolution.read_under(evolution.as_variant(dead.drop("error"), "value"), after)
+    columns = ["event_id", *after]
+    left = evolution.dead_letters(again, ["event_id"])
+    return good.select(*columns).unionByName(evolution.good_rows(again).select(*columns)).unionByName(left, allowMissingColumns=True)
+
+
+@query("a17_proposed_fields", f"""with {EVOLVED} select 'k' campo, 'string' tipo from v where json_valid(value) and event_id % 50 = 7
+  union select 'canal', 'string' from v where json_valid(value) and event_type = 'purchase'""")
+def a17_proposed(spark, sf):
+    first, second = evolving_loads(spark, sf)
+    found = evolution.propose(evolution.observed_types(first), second)
+    return spark.createDataFrame(list(found.items()), "campo string, tipo string")

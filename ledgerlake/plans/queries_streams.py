@@ -14,7 +14,7 @@ from ledgerlake.plans.queries_sources import (
 )
 from ledgerlake.plans.registry import query
 from ledgerlake.plans.queries_marts import dim
-from ledgerlake.sources import landing
+from ledgerlake.sources import landing, ledger
 from ledgerlake.sources.tables import read_version, save_table, write_version
 from ledgerlake.streaming import jobs as streams
 
@@ -72,6 +72,31 @@ def a10b_same_name(spark, sf):
     return streams.stream_has_data(spark.read.schema(schema).parquet(path), consumed)
 
 
+def _ledgered_loads(spark, sf, runs):
+    """Two noted loads under one name and ``runs`` runs of the counting consumer: the first between the loads."""
+    path, out, landed, taken, checkpoint = (scratch(spark, n) for n in ("bronze", "out", "landed", "taken", "checkpoint"))
+    rows = fx.movimientos(spark, sf)
+    for k, part in enumerate(("fecha < date '1998-01-01'", "fecha >= date '1998-01-01'")):
+        ledger.land(rows.filter(part), path, "movimientos", landed, "daily_load", fx.AS_OF)
+        if k < runs:
+            changes = streams.read_changes(spark, path, landing.bronze_schema("movimientos"))
+            streams.run(ledger.consume_counted(changes, checkpoint, out, taken, streams.AVAILABLE_NOW))
+    return landed, taken
+
+
+@query("a10b_ledger", "select count(*) > 0 has_data from mov where fecha >= date '1998-01-01'", ("mov",))
+def a10b_ledger(spark, sf):
+    """From the notes of the loads and of the consumer; the second load is unread."""
+    return ledger.has_data(spark, *_ledgered_loads(spark, sf, 1))
+
+
+@query("a10b_ledger_pending", """select 'daily_load' _source_file, count(*) llegadas,
+  count(*) filter (where fecha < date '1998-01-01') leidas, 0::bigint sin_terminar from mov
+  having count(*) filter (where fecha >= date '1998-01-01') > 0""", ("mov",))
+def a10b_pending(spark, sf):
+    return ledger.pending_loads(spark, *_ledgered_loads(spark, sf, 1))
+
+
 @query("s3_incremental_dedup", """select * from bcli
   qualify row_number() over (partition by client_id order by _loaded_at desc) = 1""", ("cli", "bcli"))
 def s3(spark, sf):
@@ -91,7 +116,7 @@ def s4(spark, sf):
         load(spark, sf, path)
         flagged = silver.silver_fact_movimientos(streams.read_changes(spark, path, landing.bronze_schema("movimientos")), fx.MONTO_ANOMALO)
         streams.run(streams.alerts_stream(flagged, checkpoint, alerts))
-    return read_version(spark, alerts)
+    return streams.read_alerts(spark, alerts)
 
 
 @query("s4_silver_append", f"""with {S_MOV} select * replace (monto::double as monto,

@@ -29,6 +29,19 @@ def register_view(name: str, df: DataFrame) -> None:
     df.createOrReplaceTempView(name)
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """A catalog table in sorted buckets of a key, one file each, kept under ``path``.
+
+    Joins and groupings by the key of tables with as many buckets need no shuffle. A key with
+    a large share of the rows makes a large bucket; such tables are better left to shuffle joins.
+    """
+    (
+        df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+        .option("path", path).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions in order, from one listing of their commit marks."""
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v=*/_SUCCESS")

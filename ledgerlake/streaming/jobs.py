@@ -127,18 +127,32 @@ def quality_alert_counts(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.col("_quality_flag") != "OK").groupBy("_quality_flag").agg(F.count("*").alias("registros"))
 
 
+def _latest_count():
+    return [F.col("_batch").desc()]
+
+
 def alerts_stream(flagged: DataFrame, checkpoint: str, path: str, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
-    """Keep the current alert counts in a versioned table; the state is one row per flag."""
+    """Keep the alert counts in update mode: a batch stores the flags that changed, under its own number.
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        write_version(batch, path, batch_id + 1)
+    The state is one row per flag. A repeated batch overwrites what it stored; read with ``read_alerts``.
+    """
+    merge = upsert_newest(path, ["_quality_flag"], _latest_count)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        merge(batch.withColumn("_batch", F.lit(batch_id).cast("long")), batch_id)
 
     return (
-        quality_alert_counts(flagged).writeStream.outputMode("complete").foreachBatch(replace)
+        quality_alert_counts(flagged).writeStream.outputMode("update").foreachBatch(apply)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The newest count of each flag."""
+    empty = T.StructType.fromDDL("_quality_flag string, registros long, _batch long")
+    return read_newest(spark, path, ["_quality_flag"], _latest_count, empty).drop("_batch")
+
+
 def metrics_on_change(
     changes: DataFrame,
     checkpoint: str,
