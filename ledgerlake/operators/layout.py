@@ -195,7 +195,11 @@ def _depths(stats: DataFrame, column: str) -> DataFrame:
 
 def clustering_information(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Quality of the order per column: number of files, mean overlaps and depth."""
-    stats = file_statistics(spark, path, columns)
+    return clustering_of(file_statistics(spark, path, columns), columns)
+
+
+def clustering_of(stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same from a table of bounds per file."""
     out = None
     for column in columns:
         depth = _depths(stats.filter(F.col(f"min_{column}").isNotNull()), column)

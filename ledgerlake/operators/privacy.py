@@ -231,15 +231,19 @@ def mark_failed(requests: DataFrame, error: str) -> DataFrame:
     })
 
 
-def deletion_messages(requests: DataFrame, ids: DataFrame) -> DataFrame:
-    """The answer to each asked request id: done, refused for its status, or unknown."""
+def deletion_messages(requests: DataFrame, ids: DataFrame, refuse_done: bool = False) -> DataFrame:
+    """The answer to each asked request id: done, refused for its status, or unknown.
+
+    With ``refuse_done`` the request was asked for anew: whatever its status, it is not processed again.
+    """
     asked = ids.select("request_id").distinct()
+    ended = F.lit(not refuse_done)
     text = (
         F.when(F.col("status").isNull(), F.concat(F.lit("ERROR: Solicitud "), F.col("request_id"), F.lit(" no existe")))
-        .when(F.col("status") == "COMPLETED", F.concat(
+        .when(ended & (F.col("status") == "COMPLETED"), F.concat(
             F.lit("OK: Usuario "), F.col("user_id"), F.lit(" pseudonimizado. "), F.col("rows_affected"),
             F.lit(" filas afectadas.")))
-        .when(F.col("status") == "FAILED", F.concat(F.lit("ERROR: "), F.coalesce("notes", F.lit(""))))
+        .when(ended & (F.col("status") == "FAILED"), F.concat(F.lit("ERROR: "), F.coalesce("notes", F.lit(""))))
         .otherwise(F.concat(F.lit("ERROR: Solicitud "), F.col("request_id"), F.lit(' tiene status "'),
                             F.col("status"), F.lit('"')))
     )

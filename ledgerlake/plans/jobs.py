@@ -211,8 +211,9 @@ def run_deletions(
     as_of: AsOf = None,
     executed_by: str = "ledgerlake",
     resume: bool = False,
+    only: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Process the pending requests of ``compliance/deletion_requests``; returns the request table.
+    """Process the pending requests (or ``only`` those ids among them) of ``compliance/deletion_requests``; returns the request table.
 
     Each table gets a new version and then its log rows; the requests come last and stay in
     PROCESSING until then. An error leaves them FAILED with its text. ``resume`` takes up what a
@@ -221,6 +222,9 @@ def run_deletions(
     """
     path, log_path = f"{root}/compliance/deletion_requests", f"{root}/compliance/deletion_log"
     requests = read_version(spark, path)
+    others = requests.limit(0) if only is None else requests.filter(~F.col("request_id").isin(*only))
+    if only is not None:
+        requests = requests.filter(F.col("request_id").isin(*only))
     if resume:
         left = F.col("status").isin("PROCESSING", "FAILED")
         requests = requests.withColumns({
@@ -232,7 +236,7 @@ def run_deletions(
         kept = resume and latest_version(spark, secret_path) is not None
         salt = read_version(spark, secret_path) if kept else write_version(privacy.new_salt(spark), secret_path)
     running = privacy.mark_processing(requests)
-    write_version(running, path)
+    write_version(running.unionByName(others), path)
     try:
         sources = {n: (read_version(spark, f"{root}/{n}"), columns) for n, columns in tables.items()}
         last, earlier = 0, None
@@ -247,8 +251,27 @@ def run_deletions(
             if latest_version(spark, log_path) is not None:
                 entries = read_version(spark, log_path).unionByName(entries)
             write_version(entries, log_path)
-        done = write_version(result.requests, path)
+        done = write_version(result.requests.unionByName(others), path)
         drop_versions(spark, secret_path, latest_version(spark, secret_path) or 0)
         return done
     except Exception as exc:
-        return write_version(privacy.mark_failed(running, str(exc)), path)
+        return write_version(privacy.mark_failed(running, str(exc)).unionByName(others), path)
+
+
+def run_deletion(
+    spark: SparkSession,
+    root: str,
+    request_id: int,
+    tables: dict[str, Sequence[str]],
+    salt: DataFrame | None = None,
+    as_of: AsOf = None,
+    executed_by: str = "ledgerlake",
+) -> str:
+    """Process one request and return its message; an unknown id, or one that is not pending, is refused."""
+    path = f"{root}/compliance/deletion_requests"
+    asked = spark.createDataFrame([(request_id,)], "request_id long")
+    known = read_version(spark, path).filter(F.col("request_id") == request_id)
+    if known.filter("status = 'PENDING'").isEmpty():
+        return privacy.deletion_messages(known, asked, refuse_done=True).first()["mensaje"]
+    done = run_deletions(spark, root, tables, salt, as_of, executed_by, only=[request_id])
+    return privacy.deletion_messages(done, asked).first()["mensaje"]

@@ -198,3 +198,37 @@ def f7_listed(spark, sf):
     bounds = [f(f"{n}_{c}").alias(f"{n}_{c}") for c in ("fecha_date", "sucursal_id") for n, f in (("min", F.min), ("max", F.max))]
     mixed = clustered_files.overlapping(listed, "fecha_date").withColumn("_mixed", F.lit(1))
     return listed.join(mixed, "archivo", "left").agg(F.sum("filas").alias("filas"), *bounds, F.count("_mixed").alias("solapados"))
+
+
+# Files of known bounds: a file for each month and branch of the fact.
+KNOWN = """known as (select strftime(date_trunc('month', fecha), '%Y-%m') || '-' || coalesce(sucursal_id, 0) archivo, count(*) filas,
+  count(*) * 100 bytes, min(fecha)::date min_fecha_date, max(fecha)::date max_fecha_date, min(sucursal_id) min_sucursal_id,
+  max(sucursal_id) max_sucursal_id from txn group by 1)"""
+
+
+def known_files(spark, sf):
+    rows = fact(spark, sf).withColumn("fecha_date", F.col("fecha").cast("date"))
+    name = F.concat_ws("-", F.date_format("fecha", "yyyy-MM"), F.coalesce("sucursal_id", F.lit(0)))
+    bounds = [f(c).alias(f"{n}_{c}") for c in ("fecha_date", "sucursal_id") for n, f in (("min", F.min), ("max", F.max))]
+    return rows.groupBy(name.alias("archivo")).agg(F.count("*").alias("filas"), (F.count("*") * 100).alias("bytes"), *bounds)
+
+
+def _information(column):
+    return f"""select '{column}' columna, count(*) archivos, avg(d - 1) solapes_promedio, avg(d) profundidad_promedio,
+  max(d) profundidad_maxima, count(*) filter (where d = 1) archivos_sin_solape from (
+  select a.archivo, count(*) d from known a join known b on b.min_{column} <= a.max_{column} and b.max_{column} >= a.min_{column}
+  group by 1)"""
+
+
+@query("f7_clustering_of_known_files", f"with {KNOWN} {_information('fecha_date')} union all {_information('sucursal_id')}", ("txn",))
+def f7_known(spark, sf):
+    return layout.clustering_of(known_files(spark, sf), ["fecha_date", "sucursal_id"])
+
+
+@query("f10_scan_of_known_files", f"""with {KNOWN}, t as (select *, max_fecha_date >= date '{Q1[0]}' and min_fecha_date <= date '{Q1[1]}' leido
+  from known) select count(*) archivos_total, count(*) filter (where leido) archivos_leidos, sum(filas)::bigint filas_total,
+  coalesce(sum(filas) filter (where leido), 0)::bigint filas_leidas, sum(bytes)::bigint bytes_total,
+  coalesce(sum(bytes) filter (where leido), 0)::bigint bytes_leidos,
+  round((1 - count(*) filter (where leido)::double / count(*)) * 100, 1) reduccion_pct from t""", ("txn",))
+def f10_known(spark, sf):
+    return layout.scan_report(known_files(spark, sf), "fecha_date", F.lit(Q1[0]).cast("date"), F.lit(Q1[1]).cast("date"))

@@ -50,32 +50,41 @@ def d4(spark, sf):
     return fact(spark, sf)
 
 
-@query("d5_resumen_actividad", f"""with {DIM}
+D5_SQL = f"""with {DIM}
 select client_id, segmento, sucursal_comuna, count(distinct txn_id) total_transacciones,
   count(distinct producto_id) productos_utilizados, {IN}::double total_ingresos, {OUT}::double total_egresos,
   sum(monto)::double balance_neto, min(fecha) primera_transaccion, max(fecha) ultima_transaccion,
   (max(fecha)::date - min(fecha)::date)::bigint dias_actividad, {avg6('sum(monto)', 'count(monto)')} monto_promedio,
   median((monto * 100)::bigint::double) / 100 monto_mediana, count(distinct date_trunc('month', fecha)) meses_activo
-from dim join txn using (client_id) where estado = 'Aprobada' group by 1, 2, 3""", ("cli", "suc", "txn"))
+from dim join txn using (client_id) where estado = 'Aprobada' group by 1, 2, 3"""
+
+
+@query("d5_resumen_actividad", D5_SQL, ("cli", "suc", "txn"))
 def d5(spark, sf):
     return marts.resumen_actividad(dim(spark, sf), fact(spark, sf, branch=False))
 
 
-@query("d6_top_clientes_sucursal", f"""with {DIM}
+D6_SQL = f"""with {DIM}
 select t.sucursal_id, comuna, t.client_id, nombre_completo, segmento, {IN}::double volumen_total,
   count(*) num_transacciones,
   row_number() over (partition by t.sucursal_id order by sum(abs(monto)) desc, t.client_id) ranking
 from txn t join dim on t.client_id = dim.client_id join suc s on t.sucursal_id = s.sucursal_id
-where estado = 'Aprobada' group by 1, 2, 3, 4, 5 qualify ranking <= 10""", ("cli", "suc", "txn"))
+where estado = 'Aprobada' group by 1, 2, 3, 4, 5 qualify ranking <= 10"""
+
+
+@query("d6_top_clientes_sucursal", D6_SQL, ("cli", "suc", "txn"))
 def d6(spark, sf):
     return marts.top_clientes_sucursal(fact(spark, sf), dim(spark, sf), fx.sucursales(spark, sf))
 
 
-@query("d7_metricas_productos", f"""
+D7_SQL = f"""
 select p.producto_id, p.tipo, segmento, tasa_anual::double tasa_anual, count(distinct client_id) clientes_activos,
   count(txn_id) total_operaciones, sum(monto)::double volumen_total,
   {avg6('sum(monto)', 'count(monto)')} ticket_promedio, min(fecha) primera_operacion, max(fecha) ultima_operacion
-from prod p left join txn t on p.producto_id = t.producto_id group by 1, 2, 3, 4""", ("prod", "txn"))
+from prod p left join txn t on p.producto_id = t.producto_id group by 1, 2, 3, 4"""
+
+
+@query("d7_metricas_productos", D7_SQL, ("prod", "txn"))
 def d7(spark, sf):
     return marts.metricas_productos(fx.productos(spark, sf), fact(spark, sf, branch=False))
 

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import privacy, silver
 from ledgerlake.plans import fixtures as fx, jobs
-from ledgerlake.plans.queries_governance import BAD_RUT, SALT
+from ledgerlake.plans.queries_governance import BAD_RUT, REQ, SALT
 from ledgerlake.plans.queries_layers import _MONEY, C1_SQL, C2_SQL, S_CLI, S_MOV, S_SAL, S_TXN, doubles
 from ledgerlake.plans.queries_layout import scratch
 from ledgerlake.plans.queries_sources import (
     BAD, EVENT_SCHEMA, GOOD, MOV_LOADS, first_load, json_rows, second_load,
 )
 from ledgerlake.plans.registry import query
-from ledgerlake.plans.queries_marts import dim
+from ledgerlake.plans.queries_marts import D5_SQL, D6_SQL, D7_SQL, dim
 from ledgerlake.sources import landing, ledger
 from ledgerlake.sources.tables import read_version, save_table, write_version
 from ledgerlake.streaming import jobs as streams
@@ -255,13 +255,56 @@ def c7_months(spark, sf):
   union all select 'top_clientes_sucursal', 'OK: Top 10 clientes por sucursal calculados'
   union all select 'metricas_productos', 'OK: ' || count(*) || ' productos analizados' from prod""", ("txn", "prod"))
 def d11(spark, sf):
+    return spark.createDataFrame(list(_marts(spark, sf)[1].items()), "tabla string, mensaje string")
+
+
+def _marts(spark, sf):
+    """The root of the stored marts, and the messages of the run."""
     root = scratch(spark, "marts")
     save_table(fx.clientes(spark, sf), root, "raw/clientes")
     save_table(fx.productos(spark, sf), root, "raw/productos")
     save_table(fx.sucursales(spark, sf), root, "raw/sucursales")
     save_table(fx.transacciones(spark, sf), root, "raw/transacciones")
     jobs.build_warehouse(spark, root)
-    return spark.createDataFrame(list(jobs.run_marts(spark, root).items()), "tabla string, mensaje string")
+    return root, jobs.run_marts(spark, root)
+
+
+@query("d11_resumen_actividad", D5_SQL, ("cli", "suc", "txn"))
+def d11_activity(spark, sf):
+    return read_version(spark, f"{_marts(spark, sf)[0]}/dwh/resumen_actividad_cliente")
+
+
+@query("d11_top_clientes", D6_SQL, ("cli", "suc", "txn"))
+def d11_top(spark, sf):
+    return read_version(spark, f"{_marts(spark, sf)[0]}/dwh/top_clientes_sucursal")
+
+
+@query("d11_metricas_productos", D7_SQL, ("prod", "txn"))
+def d11_products(spark, sf):
+    return read_version(spark, f"{_marts(spark, sf)[0]}/dwh/metricas_productos")
+
+
+@query("h7_one_request", f"""with {REQ}, one as (select max(request_id) id from reqs),
+  hit as (select request_id, user_id, case when client_id is null then 0 else 2 end filas
+    from reqs left join cli on user_id = client_id)
+  select 'pending' caso, 'OK: Usuario ' || user_id || ' pseudonimizado. ' || filas || ' filas afectadas.' mensaje
+  from hit join one on id = request_id
+  union all select 'again', 'ERROR: Solicitud ' || id || ' tiene status "COMPLETED"' from one
+  union all select 'unknown', 'ERROR: Solicitud -1 no existe'
+  union all select 'left', count(*) - 1 || ' pendientes' from reqs""", ("cli", "req"))
+def h7_one(spark, sf):
+    """One request by its id, the same again, an unknown one; the others are left alone."""
+    root = scratch(spark, "compliance")
+    write_version(dim(spark, sf), f"{root}/dwh/dim_clientes")
+    write_version(fx.clientes(spark, sf), f"{root}/raw/clientes")
+    requests = privacy.new_requests(fx.requests(spark, sf), read_version(spark, f"{root}/dwh/dim_clientes"))
+    path = f"{root}/compliance/deletion_requests"
+    last = write_version(requests, path).agg(F.max("request_id")).first()[0]
+    tables = {"dwh/dim_clientes": privacy.DIM_COLUMNS, "raw/clientes": privacy.RAW_COLUMNS}
+    said = [(case, jobs.run_deletion(spark, root, number, tables, privacy.salt_table(spark, SALT), "2001-08-10"))
+            for case, number in (("pending", last), ("again", last), ("unknown", -1))]
+    left = read_version(spark, path).filter("status = 'PENDING'").count()
+    return spark.createDataFrame([*said, ("left", f"{left} pendientes")], "caso string, mensaje string")
 
 
 @query("h7_run_deletions", """select 'COMPLETED' status, count(*) solicitudes,
