@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, ratio, today
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import added, aggregate_once, highest, lowest, mean_of
+from ledgerlake.operators.scale import added, aggregate_apart, aggregate_once, highest, lowest, mean_of
 
 
 def _zero(name: str, alias: str | None = None):
@@ -99,18 +99,18 @@ def gold_resumen_mensual_sucursal(txn: DataFrame, sucursales: DataFrame) -> Data
 
 
 def branch_months(txn: DataFrame) -> DataFrame:
-    return aggregate_once(
+    return aggregate_apart(
         txn.filter((F.col("_quality_flag") == params.OK) & F.col("sucursal_id").isNotNull()),
         ["mes", "sucursal_id"],
         {
-            "total_operaciones": added(F.count("*")),
-            "captaciones": added(F.sum(amount_in("monto"))),
-            "colocaciones": added(F.sum(amount_out("monto"))),
-            "neto": added(F.sum("monto")),
-            "_absoluto": added(F.sum("monto_absoluto")),
-            "_con_monto": added(F.count("monto_absoluto")),
-            "_aprobadas": added(F.count_if(F.col("estado") == params.APROBADA)),
-            "_fin_semana": added(F.count_if("es_fin_semana")),
+            "total_operaciones": F.count("*"),
+            "captaciones": F.sum(amount_in("monto")),
+            "colocaciones": F.sum(amount_out("monto")),
+            "neto": F.sum("monto"),
+            "_absoluto": F.sum("monto_absoluto"),
+            "_con_monto": F.count("monto_absoluto"),
+            "_aprobadas": F.count_if(F.col("estado") == params.APROBADA),
+            "_fin_semana": F.count_if("es_fin_semana"),
         },
         {"clientes_activos": "client_id", "productos_operados": "producto_id"},
     )

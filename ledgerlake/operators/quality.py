@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -169,9 +170,49 @@ def auto_tag(classified: DataFrame, table: str) -> DataFrame:
     )
 
 
+_ATOM = re.compile(r"\[(?:\\.|[^\]])+\]|\\.|.", re.S)
+_TIMES = re.compile(r"[?*]|\{0|\+|\{")
+
+
+def needed_literals(pattern: str) -> list[str]:
+    """Characters that every match of a pattern holds: plain ones outside sets that may not be left out.
+
+    Patterns with alternatives or groups promise none.
+    """
+    if re.search(r"(?<!\\)[|()]", re.sub(r"\[(?:\\.|[^\]])+\]", "", pattern)):
+        return []
+    out, at = [], 0
+    while at < len(pattern):
+        atom = _ATOM.match(pattern, at).group()
+        at += len(atom)
+        times = _TIMES.match(pattern, at)
+        if pattern.startswith("{", at):
+            at = pattern.index("}", at) + 1
+        elif times:
+            at += 1
+        if times and pattern.startswith(("?", "+"), at):  # lazy or possessive
+            at += 1
+        escaped = len(atom) == 2 and atom[0] == "\\"
+        plain = not atom[1].isalnum() if escaped else len(atom) == 1 and atom not in ".^$"
+        literal = atom[-1]
+        if plain and (times is None or times.group() in ("+", "{")):
+            out.append(literal)
+    return list(dict.fromkeys(out))
+
+
 def pii_in_text(df: DataFrame, text: str, keys: Sequence[str], patterns: dict[str, str] = PII_IN_TEXT) -> DataFrame:
-    """Rows and matches per kind of personal data found anywhere in a text column, per key."""
-    found = {k: F.coalesce(F.regexp_count(F.col(text), F.lit(p)), F.lit(0)) for k, p in patterns.items()}
+    """Rows and matches per kind of personal data found anywhere in a text column, per key.
+
+    A pattern is tried on texts that have all the characters which its matches must have.
+    """
+    found = {}
+    for kind, pattern in patterns.items():
+        count = F.coalesce(F.regexp_count(F.col(text), F.lit(pattern)), F.lit(0))
+        needed = needed_literals(pattern)
+        if needed:
+            possible = reduce(lambda a, b: a & b, [F.contains(F.col(text), F.lit(c)) for c in needed])
+            count = F.when(possible, count).otherwise(F.lit(0))
+        found[kind] = count
     counts = [F.count_if(F.col(f"_{k}") > 0).alias(f"{k.lower()}_filas") for k in patterns]
     totals = [F.sum(f"_{k}").cast("long").alias(f"{k.lower()}_hallazgos") for k in patterns]
     scanned = df.select(*keys, *[v.alias(f"_{k}") for k, v in found.items()])

@@ -78,11 +78,12 @@ def dense_ranks_desc(df: DataFrame, keys: Sequence[str], value: str, name: str)
 
     The distinct values are ranked band by band and the
     number of values in the bands above is added, so no group has to fit one task. Null ranks last.
+    The distinct values are written once, as both steps read them.
     """
     # As a struct, null keys equal each other and the join below needs no second shuffle. The band
     # and the value lead the sort orders, where they tell rows apart sooner than the keys.
     band = F.coalesce(value_band(F.col(value)), F.lit(NO_BAND))
-    distinct = df.select(band.alias("_band"), F.struct(*keys).alias("_key"), value).distinct()
+    distinct = materialize(df.select(band.alias("_band"), F.struct(*keys).alias("_key"), value).distinct())
     above = W.partitionBy("_key").orderBy(F.col("_band").desc()).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         distinct.groupBy("_band", "_key")
@@ -180,6 +181,24 @@ def aggregate_once(
     return out
 
 
+def aggregate_apart(
+    df: DataFrame, keys: Sequence[str], measures: dict[str, Column], distinct: dict[str, str], drop_null_keys: bool = False
+) -> DataFrame:
+    """Measures, which shrink to a row per key and task before the shuffle, and each distinct count by itself.
+
+    Where there are several distinct columns, no row then carries the measures once per value of them;
+    each count reads its own column and the keys only.
+    """
+    if drop_null_keys:
+        for k in keys:
+            df = df.filter(F.col(k).isNotNull())
+    out = df.groupBy(*keys).agg(*[c.alias(name) for name, c in measures.items()])
+    for name, column in distinct.items():
+        part = df.groupBy(*keys).agg(F.count_distinct(column).alias(name))
+        out = out.join(part, list(keys)) if drop_null_keys else join_null_safe(out, part, keys)
+    return out
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back, for a result that several branches use.
 

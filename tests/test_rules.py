@@ -365,3 +365,24 @@ def test_expressions(spark):
         years_between(F.lit("2020-12-31").cast("date"), F.lit("2021-01-01").cast("date")).alias("years"),
     ).first()
     assert (v["tie"], v["none"], v["over"], v["reach"], v["null"], v["years"]) == (D("0.13"), None, "b", "a", "c", 1)
+
+
+def test_needed_literals_are_in_every_match():
+    from ledgerlake.operators.quality import needed_literals
+
+    assert needed_literals(r"a{2,3}?b?c*d+?e[f|(]\.x{0,2}y++") == ["a", "d", "e", ".", "y"]
+    assert needed_literals("a|b") == needed_literals("(a)b") == needed_literals("[ab]?") == []
+    assert needed_literals(r"\(\d+x") == ["(", "x"]
+
+
+def test_pii_counts_by_brute_force(spark):
+    import re
+
+    from ledgerlake.operators.quality import PII_IN_TEXT, pii_in_text
+
+    texts = ["a@b.cl and x.y@z.org", "11.222.333-4, 1.222.333-K", "+56 9 1234 5678", "no-one. here", None, "", "tel +1", "5.111.222"]
+    df = spark.createDataFrame([("k", t) for t in texts], "g string, t string")
+    row = pii_in_text(df, "t", ["g"]).first()
+    for kind, pattern in PII_IN_TEXT.items():
+        found = [len(re.findall(pattern, t or "")) for t in texts]
+        assert (row[f"{kind.lower()}_filas"], row[f"{kind.lower()}_hallazgos"]) == (sum(n > 0 for n in found), sum(found))
