@@ -205,7 +205,7 @@ SPELLINGS = (
     (r"\blicence", "license"),
     (r"\b(?:v|ver|version) ?([0-9])", "version $1"),
     (r"\bcopyright holders?\b", "copyright owner"),
-    (r"\bneither the name of .{1,120}? nor the names of its contributors\b", "neither the name nor the names"),
+    (r"\bneither the name of .{1,1000}? nor the names of its contributors\b", "neither the name nor the names"),
     (r"\bsub license", "sublicense"),
     (r"\bnon infringement\b", "noninfringement"),
     (r"\b(?:https?)\b", "http"),
@@ -219,8 +219,6 @@ NOTICE = (
     + r"(?:(?:copyright[ \t]*(?:\(c\)|©|[,:]?[ \t]*[\[<{(]?(?:[12][0-9]{3}\b|yyyy|year))|©|(?<=\()c\)[ \t]*[12][0-9]{3}\b)"
     + r"(?:(?!" + _BODY + r")[^\n])*+|all rights reserved[^\p{L}\p{N}\n]*+(?=\n|\z))"
 )
-MARKS = r"(?i)licen[sc]e|domain"  # every known one-line text has one, so other lines need no digest
-BLOCK_MARKS = MARKS + r"|software"  # every known text has one, so other texts have no block to look up
 _BLANK = r"[^\p{L}\p{N}\n]*+\n"  # the rest of a line without words, as in empty lines of a comment
 BLOCK = rf"\n(?:{_BLANK})+|\n(?=[^\p{{L}}\p{{N}}\n]*+[0-9]{{1,2}}[.)][ \t])"  # between blocks, and before numbered items
 
@@ -238,6 +236,25 @@ def block_forms(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, BLOCK), canonical), lambda x: x != "")
 
 
+def touched_words() -> set[str]:
+    """Words that the equivalent spellings change or write."""
+    return {w for pair in SPELLINGS for side in pair for w in re.findall(r"[a-z]+", side.lower())} | {"license", "licence", "sublicense", "names"}
+
+
+def marks(known: Sequence[tuple[str, str]]) -> str:
+    """A pattern that every text with one of the known ones in it matches: the longest word of each, as it stands there.
+
+    Words that spellings may change, or that a notice at the head may take away, do not count. If a known text has no
+    other word, the pattern matches everything.
+    """
+    found = set()
+    for _, text in known:
+        body = [line for line in text.lower().split("\n") if "copyright" not in line and "rights reserved" not in line and "©" not in line]
+        words = {w for line in body for w in re.findall(r"[^\W\d_]+", line) if w.isascii()} - touched_words()
+        found.add(max(sorted(words), key=len, default=""))
+    return "" if "" in found or not found else "(?iu)" + "|".join(sorted(found))
+
+
 def known_texts(spark: SparkSession, known: Sequence[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(
         [(i, name, text) for i, (name, text) in enumerate(known)], "text_id int, license string, text string"
@@ -268,10 +285,11 @@ def scan_licenses(
 ) -> DataFrame:
     """doc_id, digest of the whole text, its license, the licences that its lines name, and the grants in it.
 
-    ``license`` is null if the whole text is no known licence. Lines are looked up only if they
-    have one of the ``MARKS``, as every known one-line text has; the tests check that. ``grants`` are
-    the licences of which all blocks stand in the text one after the other, whatever is around them.
-    ``known`` has (license, text); ``digests`` has (license, md5 of the canonical form) of whole texts.
+    ``license`` is null if the whole text is no known licence. Lines and blocks are looked up where
+    the text has a word that a text of ``known`` has, see ``marks``. ``grants`` are the licences of which all blocks
+    stand in the text one after the other, whatever is around them. ``known`` has (license, text); ``digests``
+    has (license, md5 of the canonical form) of whole texts, and is not asked for lines. A digest of several
+    licences gives the name that sorts first.
     """
     spark = docs.sparkSession
     table = F.broadcast(known_digests(spark, known, digests))
@@ -283,15 +301,16 @@ def scan_licenses(
         .select("doc_id", "key", F.when(F.col("form") != "", F.md5("form")).alias("digest"))
         .join(table, F.col("digest") == F.col("known"), "left").drop("known")
     )
-    line = F.explode(F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, F.lit(MARKS))))
+    pattern = F.lit(marks(known))
+    line = F.explode(F.filter(F.split("text", "\n"), lambda x: F.regexp_like(x, pattern)))
     notices = (
         rows.select("doc_id", "key", line.alias("line"))
         .select("doc_id", "key", F.md5(canonical(F.col("line"))).alias("digest"))
-        .join(table, F.col("digest") == F.col("known"))
+        .join(F.broadcast(known_digests(spark, known, ())), F.col("digest") == F.col("known"))
         .select("doc_id", "key", F.col("license").alias("notice"), F.lit(None).cast("string").alias("granted"))
     )
     grants = (
-        rows.filter(F.regexp_like("text", F.lit(BLOCK_MARKS)))
+        rows.filter(F.regexp_like("text", pattern))
         .select("doc_id", "key", F.posexplode(block_forms(F.col("text"))).alias("pos", "form"))
         .select("doc_id", "key", "pos", F.md5("form").alias("digest"))
         .join(F.broadcast(known_blocks(spark, known)), F.col("digest") == F.col("known"))
