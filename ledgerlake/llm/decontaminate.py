@@ -2,7 +2,7 @@
 
 The benchmark's windows of consecutive words are numbered words under a rolling hash. They are sent
 to the executors in blocks of a fixed number of windows, one pass over the documents per block,
-whatever the benchmark's size. A document is a sequence of word numbers; places whose hash is a
+whatever the benchmark's size; of several passes each is written before the next block is sent. A document is a sequence of word numbers; places whose hash is a
 window's are verified word by word. Overlapping hits merge into spans of words.
 
 Null and empty texts have no words and no hits; items without words have no windows; shorter items
@@ -15,16 +15,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ledgerlake.llm.scratch import materialize
+from ledgerlake.llm.text import packed, row_key
+
 WINDOW = 10
 BLOCK = 300_000  # windows sent at once, some 30 MB
 CUT_ABOVE = 0.0  # share of hit words above which the pipeline drops a document
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_WORD_IN_SQL = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"  # the same on text with either case
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,28 +122,36 @@ def merged(spans: Column) -> Column:
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """The documents with n_words, spans, items and n_hit beside them, in a struct ``hits``."""
-    windows = windows_of(benchmark, width)
+    windows = materialize(windows_of(benchmark, width))
     blocks = max(1, -(-windows.count() // block))
     share = F.pmod(F.xxhash64("w"), F.lit(blocks))
-    spark, found = docs.sparkSession, []
+    sc, parts = docs.sparkSession.sparkContext, []
+    key = row_key(F.col("doc_id"), F.col("text"))
     for k in range(blocks):
         rows = windows.filter(share == k).collect()  # about ``block`` windows
-        sent = spark.sparkContext.broadcast(
+        sent = sc.broadcast(
             WindowIndex([(r["w"].encode("utf-8", "surrogatepass").split(b" "), r["items"]) for r in rows])
         )
-        found.append(scan_column(sent))
-    struct = F.array(*[f("text") for f in found])
+        scan = scan_column(sent)("text")
+        if blocks > 1:  # one index at a time: each pass is written before the next is sent
+            found = docs.select(key.alias("_key"), scan.alias("_scan")).filter(F.size("_scan.spans") > 0)
+            parts.append(materialize(found.groupBy("_key").agg(F.first("_scan").alias("_scan"))))
+            sent.destroy()
+    if blocks == 1:
+        scanned = docs.select(packed(docs).alias("doc"), F.array(scan).alias("_scan"))
+    else:
+        every = reduce(DataFrame.union, parts).groupBy("_key").agg(F.collect_list("_scan").alias("_scan"))
+        scanned = docs.select(packed(docs).alias("doc"), key.alias("_at")).join(every, F.col("_at") == F.col("_key"), "left")
+        none = F.array().cast(every.schema["_scan"].dataType)
+        scanned = scanned.select("doc", F.coalesce("_scan", none).alias("_scan"))
     spans, items = F.flatten(F.col("_scan.spans")), F.array_sort(F.array_distinct(F.flatten(F.col("_scan.items"))))
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return (
-        docs.select(whole.alias("doc"), struct.alias("_scan"))
-        .select(
-            "doc",
-            F.struct(
-                F.col("_scan")[0]["n_words"].alias("n_words"), spans.alias("spans"),
-                items.alias("items"), merged(spans).alias("n_hit"),
-            ).alias("hits"),
-        )
+    n_words = F.coalesce(F.regexp_count(F.col("doc.text"), F.lit(_WORD_IN_SQL)), F.lit(0)).cast("long")
+    return scanned.select(
+        "doc",
+        F.struct(
+            (F.col("_scan")[0]["n_words"] if blocks == 1 else n_words).alias("n_words"), spans.alias("spans"),
+            items.alias("items"), merged(spans).alias("n_hit"),
+        ).alias("hits"),
     )
 
 
