@@ -51,8 +51,8 @@ NAMES_OF_BOILERPLATE = (
 )
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<silent>" + "|".join(SILENT) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:(?<=/)>|>.*?(?:</(?P=silent)\s*>|\Z))"
+    r"<!--.*?(?:-->|(?P<open>\Z))"
+    r"|<(?P<silent>" + "|".join(SILENT) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?:(?<=/)>|>.*?(?:</(?P=silent)\s*>|(?P<open2>\Z)))"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^>]*)>"
     r"|<[!?/][^>]*>",
@@ -71,10 +71,11 @@ def kind_of(name: str, rest: str) -> tuple[str, bool]:
     """
     found = ["".join(m).lower() for m in _MARKED.findall(rest)] if rest else []
     marks = sorted({w for m in found for w in _PART.findall(m)})
+    plain = [w for w in marks if w.isalpha()]  # names with digits tell single pages apart, not kinds
     silent = name in BOILERPLATE
     if not silent and name not in PLAIN and any(w in NAMES_OF_BOILERPLATE for w in marks):
         silent = any(w in NAMES_OF_BOILERPLATE for m in found for w in _PART.findall(_LOOKS.sub(" ", m)))
-    return ".".join([name, *marks]), silent
+    return ".".join([name, *plain]), silent
 
 
 class Frame(NamedTuple):
@@ -97,10 +98,13 @@ def walk(page: str, held: frozenset[int] | None) -> Iterator[tuple[str, str, Fra
     """
     stack = [Frame("", "page", False, False, False, 0, ())]
     upto, count = 0, 0
-    for m in _TOKEN.finditer(page):
+    # Behind the last ">" no tag ends, so only a comment may begin; looking there for others would take
+    # a scan to the end for each "<".
+    last = page.rfind(">") + 1
+    for m in _TOKEN.finditer(page, 0, last):
         if m.start() > upto:
             yield "text", entities.unescape(page[upto : m.start()]), stack[-1]
-        upto = m.end()
+        upto = m.end() if m["open"] is None and m["open2"] is None else len(page)
         name = (m["name"] or m["name2"] or "").lower()
         if not name:
             continue
@@ -124,7 +128,8 @@ def walk(page: str, held: frozenset[int] | None) -> Iterator[tuple[str, str, Fra
                 stack.pop()
             stack.pop()
     if upto < len(page):
-        yield "text", entities.unescape(page[upto:]), stack[-1]
+        comment = page.find("<!--", max(upto, last))
+        yield "text", entities.unescape(page[upto : comment if comment >= 0 else len(page)]), stack[-1]
 
 
 def holding(page: str) -> frozenset[int]:
