@@ -20,7 +20,7 @@ from ledgerlake.llm.scratch import materialize
 ARCHIVE_BYTES = 64 * 1024 * 1024
 PARTS = 256  # parts in which an archive is laid out
 FANOUT = 16
-DRILL = 1009  # of the replica's records, one in so many is damaged in the drill
+DRILL = 1009  # of the replica's records, one in so many is changed in the drill, and as many are lost
 
 
 def record(page_id: Column, url: Column, html: Column) -> Column:
@@ -152,23 +152,28 @@ def audit(records: DataFrame, replica: DataFrame, fanout: int = FANOUT) -> DataF
     )
 
 
-def stored(pages: DataFrame, one_in: int = DRILL) -> DataFrame:
+def stored(pages: DataFrame, one_in: int = DRILL, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Every page's record as a second copy holds it, written to the shared folder.
 
-    row, page_id, url_key, digest and length are the original's; ``bytes`` is the copy's record. Of one
-    record in ``one_in``, drawn by digest, a byte in the middle is changed; one in ``one_in`` is lost (null).
+    row, page_id, url_key, digest and length are the original's; ``bytes`` is the copy's record. A byte in the
+    middle is changed in one record in ``one_in``, drawn by digest, and in the lowest draw of every archive, so
+    that each archive has damage to find; one record in ``one_in`` is lost (null).
     """
     whole = F.encode(record(F.col("page_id"), F.col("url"), F.col("html")), "UTF-8")
     recs = pages.select("page_id", F.xxhash64("url").alias("url_key"), whole.alias("whole")).select(
         "*", F.sha2("whole", 256).alias("digest"), F.octet_length("whole").cast("long").alias("length")
     )
-    draw = F.pmod(F.conv(F.substring("digest", 13, 12), 16, 10).cast("long"), F.lit(2 * one_in))
+    recs = drawn(recs, archive_bytes).withColumn("draw", F.conv(F.substring("digest", 13, 12), 16, 10).cast("long"))
+    lowest = recs.groupBy(F.col("archive").alias("in")).agg(F.min("draw").alias("lowest"))
+    drill = F.pmod("draw", F.lit(one_in))
     middle = F.floor(F.col("length") / 2).cast("int") + 1
     there = F.substr("whole", middle, F.lit(1))
     other = F.when(there == F.lit(b"#"), F.lit(b"*")).otherwise(F.lit(b"#"))
-    kept = F.when(draw == 0, F.overlay("whole", other, middle, F.lit(1))).when(draw != 1, F.col("whole"))
+    damaged = F.overlay("whole", other, middle, F.lit(1))
+    kept = F.when((drill == 0) | (F.col("draw") == F.col("lowest")), damaged).when(drill != 1, F.col("whole"))
     return materialize(
-        recs.select(F.monotonically_increasing_id().alias("row"), "page_id", "url_key", "digest", "length", kept.alias("bytes"))
+        recs.join(lowest, F.col("archive") == F.col("in"))
+        .select(F.monotonically_increasing_id().alias("row"), "page_id", "url_key", "digest", "length", kept.alias("bytes"))
     )
 
 
@@ -187,6 +192,6 @@ def replica_of(copy: DataFrame, records: DataFrame) -> DataFrame:
 
 def fixity_audit(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, one_in: int = DRILL) -> DataFrame:
     """page_id, archive, seq, offset, length, digest and status of every page's record in a drill."""
-    copy = stored(pages, one_in)
+    copy = stored(pages, one_in, archive_bytes)
     records = materialize(laid_out(drawn(copy.drop("bytes"), archive_bytes)))
     return audit(records.drop("row"), materialize(replica_of(copy, records)))
