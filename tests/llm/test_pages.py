@@ -6,6 +6,7 @@ import hashlib
 import html as entities
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,8 +156,7 @@ def test_tree_learns_from_labelled_branches(spark):
     rows += [(f"http://c.net/es/{i}",) for i in range(3)] + [("http://c.net/en/9",), ("http://d.org/en/1",)]
     pages = spark.createDataFrame(rows, "url string").withColumn("page_id", F.col("url"))
     got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages).collect()}
-    assert got["http://a.net/en/7"] == "block"  # all labelled pages of the host are bad
-    assert got["http://c.net/en/9"] == "allow"  # three are too few
+    assert got["http://a.net/en/7"] == got["http://c.net/en/9"] == "allow"  # labels of one kind say nothing of other branches
     assert got["http://d.org/en/1"] == "allow" and got["http://b.example.com/de/3"] == "allow"
 
 
@@ -177,6 +177,89 @@ def test_labels_of_both_kinds_pass_to_other_branches(spark):
     assert got["http://m.net/c/x1"] == "block" and got["http://m.net/a/x1"] == "allow"
 
 
+def brute_segments(path):
+    general = re.sub(r"[0-9]+", "*", re.sub(r"[0-9a-f]*[0-9][0-9a-f]{7,}", "*", path))
+    parts = re.sub("^/", "", general).split("/")
+    return tuple(parts if len(parts) <= urls.DEPTH else [*parts[:urls.DEPTH], "**"])
+
+
+def brute_tree(pages):
+    """(template, evidence, rejected) per page from (host, path, label) rows, node by node."""
+    keyed = [(".".join(host.split(".")[-2:]), (host, *brute_segments(path)), label) for host, path, label in pages]
+    named = {(d, given): given for d, given, _ in keyed}
+    for level in range(urls.DEPTH + 1):
+        below = {}
+        for d, given, _ in keyed:
+            node = named[d, given]
+            if len(node) > level:
+                below.setdefault((d, node[:level]), []).append(node[level])
+        varying = {k for k, v in below.items() if len(set(v)) >= urls.VARIABLE and 2 * len(set(v)) >= len(v)}
+        for key, node in named.items():
+            if len(node) > level and (key[0], node[:level]) in varying:
+                named[key] = (*node[:level], "*", *node[level + 1:])
+    nodes = {}
+    for d, given, label in keyed:
+        node = named[d, given]
+        for k in range(len(node) + 1):
+            counts = nodes.setdefault((d, node[:k]), [0, 0])
+            if label:
+                counts[label == "block"] += 1
+    nodes = {k: v for k, v in nodes.items() if sum(v)}
+    own, passed = {}, {}
+    for parent in {(d, n[:-1]) for d, n in nodes if n}:
+        kids = {k: v for k, v in nodes.items() if k[0] == parent[0] and k[1] and k[1][:-1] == parent[1]}
+        p = sum(g for g, _ in kids.values()) / sum(g + b for g, b in kids.values())
+        like = {k for k, (g, b) in kids.items() if abs(g - (g + b) * p) <= urls.DEVIATIONS * ((g + b) * p * (1 - p)) ** 0.5 + 0.5}
+        total = [sum(kids[k][i] for k in like) for i in (0, 1)]
+        own.update({k: total if k in like else v for k, v in kids.items()})
+        if len(like) > 1 and min(total) > 0:
+            passed[parent] = total
+    out = []
+    for d, given, _ in keyed:
+        node = named[d, given]
+        at = next((k for k in range(len(node), -1, -1) if (d, node[:k]) in nodes), None)
+        counts = None if at is None else own.get((d, node)) if at == len(node) else passed.get((d, node[:at]))
+        bad = counts is not None and (counts[0] + urls.PSEUDO / 2) / (sum(counts) + urls.PSEUDO) < urls.PURITY
+        out.append(("/" + "/".join(node[1:]), counts is not None, bad))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tree_by_brute_force(spark, seed):
+    """Random trees with labels, names that vary, deep paths and hosts of one domain; every page's template, evidence and verdict."""
+    rnd = random.Random(seed)
+    rows = []
+    for d in range(4):
+        for _ in range(500):
+            host = f"{rnd.choice(['', 'a.', 'b.', f'u{rnd.randrange(10**6)}x.'])}d{d}.net" if d else f"{'abcdefgh'[rnd.randrange(8)] * 3}.d.net"
+            name = "".join(rnd.choice("ghijk") for _ in range(rnd.choice([2, 9])))
+            first = rnd.choice(["sx", "sy", "kq", "kr", "tl", "tm", "tn", "v", ""])
+            path = {"s": f"/{first}/{name}", "k": f"/{first}/p/{rnd.randrange(99)}", "t": f"/{first}", "v": "/" + "v/" * rnd.randrange(12), "": ""}[first[:1]]
+            bad = 0.995 if zlib.crc32(f"{d}{first}{seed}".encode()) % 2 else 0.05
+            rows.append((host, path, None if rnd.random() < 0.4 else "block" if rnd.random() < bad else "allow"))
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, x) for i, (_, _, x) in enumerate(rows) if x], "page_id long, label string")
+    got = {r["page_id"]: (r["template"], r["by_evidence"], r["verdict"] == "block") for r in urls.judge_urls(pages, (), labels).collect()}
+    want = brute_tree(rows)
+    assert got == dict(enumerate(want))
+    assert any(b for _, _, b in want) and any(e and not b for _, e, b in want) and any("*" in t for t, _, _ in want)
+
+
+@pytest.mark.parametrize("n", [5, 50, 5000])
+def test_the_tree_decides_alike_at_every_size(spark, n):
+    """Bad labels of one branch reject its other pages; names that vary without digits are one template."""
+    def word(i):
+        return "".join("abcdefghij"[int(c)] for c in str(i))
+
+    rows = [(f"http://x.org/spam/{i}", "block") for i in range(n + 20)] + [(f"http://x.org/good/{i}", "allow") for i in range(n + 20)]
+    rows += [(f"http://x.org/spam/{10**6 + i}", None) for i in range(n)] + [(f"http://x.org/good/{10**6 + i}", None) for i in range(n)]
+    rows += [(f"http://y.org/users/{word(i)}", "block") for i in range(n + 20)] + [(f"http://y.org/users/{word(10**6)}", None)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(rows) if x], "page_id long, label string")
+    got = {(r["path"].split("/")[1], r["verdict"], r["by_evidence"]) for r in urls.judge_urls(pages, (), labels).collect()}
+    assert got == {("spam", "block", True), ("good", "allow", True), ("users", "block", True)}
+
+
 def test_urls_of_an_empty_table(odd_pages):
     assert urls.judge_urls(odd_pages.limit(0)).isEmpty()
 
