@@ -6,9 +6,10 @@ numbers is the global order of the n-grams; it is cut into ranges, the fragments
 1. Documents with the same set form one class, whose representative goes on alone.
 2. Candidates: of linked sets at most so many shingles differ, so with one fragment more than that
    some fragment holds the same segment in both. Documents meet under the key of a segment.
-3. Of each key's documents one is the pivot, and the others are compared with it only. A linked pair
-   of which not both link to the pivot must share shingles that the pivot lacks (or both hold almost
-   all that a pair needs of the pivot). Such documents meet again under those shingles, and so on.
+3. Each key has one pivot, the best that any of its documents meets under its keys, and they are
+   compared with it only. A linked pair of which not both link to the pivot must share shingles that the
+   pivot lacks (or both hold almost all that a pair needs of the pivot). Such documents meet again under
+   those shingles, and so on.
    No group's pairs are written out, and no link between different components is lost.
 4. Verification: partial overlaps are counted per fragment and summed per pair.
 
@@ -172,10 +173,16 @@ class Join:
                 F.max(F.struct("met_keys", (-F.col("node")).alias("back"))).alias("top"),
                 F.min("label").alias("lo"),
                 F.max("label").alias("hi"),
-            ).filter("lo <> hi").select("key", "members", (-F.col("top.back")).alias("pivot"))
+            ).filter("lo <> hi").select("key", "members", "top")
         )
         grouped = met.join(groups, "key")
         few = F.lit(True) if last else F.col("members") <= F.when(F.col("family").isNull(), FEW).otherwise(FEW_LATER)
+        many = grouped.filter(~few)
+        homes = many.groupBy("node").agg(F.max("top").alias("home"))
+        # Any document will do as the pivot of a key, if all of the key's are compared with it. The best
+        # pivot that any of them meets is most often the same for all keys of a group of copies, so that
+        # each copy is compared once, not with a pivot for each of its keys.
+        pivots = many.join(homes, "node").groupBy("key").agg(F.max("home").alias("best"))
         one_by_one = grouped.filter(few).select("key", "family", "node", "label", "lack", "extra")
         other = one_by_one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "lack", "extra")])
         shared = F.least(F.greatest("lack", "lack_b", F.lit(1)), F.lit(SHARED))
@@ -186,8 +193,9 @@ class Join:
             .agg(F.count("*").alias("times"), F.max(shared).alias("shared"))
             .filter("times >= shared").select("a", "b", F.lit(False).alias("star"))
         )
-        star = grouped.filter(~few & (F.col("node") != F.col("pivot"))).select(
-            F.col("pivot").alias("a"), F.col("node").alias("b"), F.lit(True).alias("star")
+        star = (
+            many.join(pivots, "key").select((-F.col("best.back")).alias("a"), F.col("node").alias("b"))
+            .filter("a <> b").withColumn("star", F.lit(True))
         )
         # Written, so that the planner knows how few they are and leaves the sets where they stand.
         pairs = materialize(small.union(star).groupBy("a", "b").agg(F.max("star").alias("star")))
