@@ -29,13 +29,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ledgerlake.llm.components import components
 from ledgerlake.llm.shingles import Similarity, mix, shingle_set
 from ledgerlake.llm.text import packed, row_key
-from ledgerlake.llm.scratch import materialize
+from ledgerlake.llm.scratch import drop, materialize, noted
 
 RANGES = 4  # fragments in which overlaps are counted
 FEW = 4  # documents that met under one key and are compared one by one, at first
 FEW_LATER = 32  # the same for keys beyond a pivot, where pairs must share several
 SHARED = 4  # keys beyond a pivot that a pair must share, unless it needs fewer
-DEPTH = 10  # levels of pivots; the last compares all that is left
+SHRINKS = 0.98  # a level whose largest group is more of the one before than that compares all that is left
 SENT_NODES = 200_000  # nodes whose ids (8 bytes each) may be broadcast to pick their texts
 
 
@@ -159,7 +159,7 @@ class Join:
         return materialize(parts if self.by_id else parts.distinct())
 
     def level(self, met: DataFrame, sizes: DataFrame, segments: DataFrame, last: bool):
-        """Compare the documents of each key: (compared pairs, whether they are all that is left).
+        """Compare the documents of each key: (links found, who was compared with which pivot in which family).
 
         ``met(key, node, label, lack, extra)`` has the components found so far as labels; keys whose
         documents are all in one component have nothing more to tell. A pair of a family must share
@@ -183,67 +183,69 @@ class Join:
         # pivot that any of them meets is most often the same for all keys of a group of copies, so that
         # each copy is compared once, not with a pivot for each of its keys.
         pivots = many.join(homes, "node").groupBy("key").agg(F.max("home").alias("best"))
-        one_by_one = grouped.filter(few).select("key", "family", "node", "label", "lack", "extra")
-        other = one_by_one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "lack", "extra")])
+        one_by_one = grouped.filter(few).select("key", "family", "node", "label", "lack", "extra", "next")
+        other = one_by_one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "lack", "extra", "next")])
         shared = F.least(F.greatest("lack", "lack_b", F.lit(1)), F.lit(SHARED))
         small = (
             one_by_one.join(other, "key")
-            .filter("node < node_b and label <> label_b and lack <= extra_b and lack_b <= extra")
+            .filter("node < node_b and label <> label_b and lack <= extra_b and lack_b <= extra and not (next and next_b)")
             .groupBy("family", F.col("node").alias("a"), F.col("node_b").alias("b"))
             .agg(F.count("*").alias("times"), F.max(shared).alias("shared"))
-            .filter("times >= shared").select("a", "b", F.lit(False).alias("star"))
+            .filter("times >= shared").select("a", "b")
         )
-        star = (
-            many.join(pivots, "key").select((-F.col("best.back")).alias("a"), F.col("node").alias("b"))
-            .filter("a <> b").withColumn("star", F.lit(True))
+        stars = materialize(
+            many.join(pivots, "key")
+            .select(F.coalesce("family", F.lit(0)).alias("family"), (-F.col("best.back")).alias("a"), F.col("node").alias("b"))
+            .filter("a <> b").distinct()
         )
         # Written, so that the planner knows how few they are and leaves the sets where they stand.
-        pairs = materialize(small.union(star).groupBy("a", "b").agg(F.max("star").alias("star")))
+        pairs = materialize(small.union(stars.select("a", "b")).distinct())
         sized = (
             overlaps(pairs, segments)
             .join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
             .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
         )
-        return materialize(sized.withColumn("linked", F.col("common") >= need(F.col("n_a"), F.col("n_b"))))
+        return materialize(sized.filter(F.col("common") >= need(F.col("n_a"), F.col("n_b"))).select("a", "b")), stars
 
-    def beyond_pivots(self, star: DataFrame, segments: DataFrame, labels: DataFrame) -> DataFrame:
-        """(key, family, node, lack, extra): documents under the shingles that their pivot lacks.
+    def beyond_pivots(self, stars: DataFrame, rest: DataFrame, sizes: DataFrame, segments: DataFrame, labels: DataFrame):
+        """Documents under the shingles that their pivots lack: (met for the next level, rest for it).
 
-        ``lack`` is how many shared shingles beyond the pivot a pair needs at least: what the
-        smallest partner asks for, less what the document shares with the pivot. Documents with
-        fewer such shingles are ruled out, and families left with one component are done. Of the
+        ``rest(family, node, at, s)`` has what is left of a document's set without the pivots that its family
+        has had; a new family is an old one with one pivot more, and leaves out that one's shingles, too.
+        ``lack`` is how many shared shingles among the rest a pair needs at least: what the
+        smallest partner asks for, less what the pivots may account for. Documents with
+        a smaller rest are ruled out, and families left with one component are done. Of the
         others the first ones in the global order are enough: without the last ``lack - SHARED``
         (or fewer), a linked pair still has ``SHARED`` (or ``lack``) in common.
         """
         rule, need = self.similarity, self.similarity.needed_column
-        smallest = star.groupBy("a").agg(F.min("n_b").alias("smallest"))
-        family = materialize(
-            labeled(star.join(smallest, "a"), "b", labels)
-            .withColumn("partner", F.greatest("smallest", F.ceil(F.col("n_b") * rule.part / rule.whole)))
-            .withColumn("lack", need(F.col("n_b"), F.col("partner")) - F.col("common"))
-            .withColumn("extra", F.col("n_b") - F.col("common"))
-            .filter("lack <= extra")
-            .select("a", "b", "lack", "extra", "label")
+        star = stars.join(sizes.select(F.col("node").alias("b"), F.col("n")), "b").withColumn("chain", F.xxhash64("family", "a"))
+        family = materialize(labeled(star, "b", labels))
+        mixed = family.groupBy("chain").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("smallest")
+        ).filter("lo <> hi").select("chain", "smallest")
+        partner = F.greatest("smallest", F.ceil(F.col("n") * rule.part / rule.whole))
+        family = family.join(mixed, "chain").select(
+            "family", "a", "b", "chain", "n", need(F.col("n"), partner).alias("needs"),
+            rule.band_column(F.col("n"), self.largest).alias("band"),
         )
-        mixed = family.groupBy("a").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        family = family.join(mixed.select("a"), "a", "left_semi").drop("label")
         left = segments.select(F.col("node").alias("a"), F.col("at").alias("at_a"), F.col("s").alias("s_a"))
-        right = segments.select(F.col("node").alias("b"), F.col("at").alias("at_b"), F.col("s").alias("s_b"))
-        lacking = (
-            family.join(left, "a").withColumnRenamed("at_a", "at")
-            .join(right.withColumnRenamed("at_b", "at"), ["b", "at"])
-            .withColumn("part", F.array_except("s_b", "s_a"))
-            .groupBy("a", "b", "lack", "extra")
-            .agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("parts"))
+        right = rest.select("family", F.col("node").alias("b"), "at", F.col("s").alias("s_b"))
+        rest = materialize(
+            family.join(left, "a").withColumnRenamed("at_a", "at").join(right, ["family", "b", "at"])
+            .select(F.col("chain").alias("family"), F.col("b").alias("node"), "n", "needs", "band", "at", F.array_except("s_b", "s_a").alias("s"))
         )
-        ordered = F.flatten(F.transform("parts", lambda p: F.array_sort(p["part"])))
+        whole = rest.groupBy("family", "node", "n", "needs", "band").agg(
+            F.sum(F.size("s")).alias("extra"), F.array_sort(F.collect_list(F.struct("at", "s"))).alias("parts")
+        ).withColumn("lack", F.col("needs") - F.col("n") + F.col("extra")).filter("lack <= extra")
+        ordered = F.flatten(F.transform("parts", lambda p: F.array_sort(p["s"])))
         left_out = F.greatest(F.col("lack") - SHARED, F.lit(0))
         prefix = F.slice(ordered, 1, (F.col("extra") - left_out).cast("int"))
-        named = F.transform(prefix, lambda s: F.xxhash64(F.col("a"), s))
-        near = F.when(F.col("lack") <= 0, F.array(F.xxhash64(F.col("a")))).otherwise(F.array().cast("array<long>"))
-        return (
-            lacking.select(F.explode(F.concat(named, near)).alias("key"), F.col("a").alias("family"), F.col("b").alias("node"), "lack", "extra")
-        )
+        near = F.when(F.col("lack") <= 0, F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<long>"))
+        # Sizes too far apart do not meet: a set has the keys of its band and of the next.
+        named = F.transform(F.concat(prefix, near), lambda x: F.array(*[
+            F.struct(F.xxhash64("family", x, F.col("band") + i).alias("key"), F.lit(bool(i)).alias("next")) for i in (0, 1)]))
+        return whole.select(F.explode(F.flatten(named)).alias("k"), "family", "node", "lack", "extra").select("k.*", "family", "node", "lack", "extra"), rest
 
     def links(self) -> DataFrame:
         """Verified links (a, b) of representatives; their components are those of all links."""
@@ -254,20 +256,24 @@ class Join:
             segments.groupBy("node").agg(F.sum(F.size("s")).alias("n"))
             .join(met.groupBy("node").agg(F.count("*").alias("met_keys")), "node")
         )
+        self.largest = sizes.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
         met = met.withColumns({
             "label": F.col("node"), "family": F.lit(None).cast("long"),
-            "lack": F.lit(0).cast("long"), "extra": F.lit(1 << 60),
+            "lack": F.lit(0).cast("long"), "extra": F.lit(1 << 60), "next": F.lit(False),
         })
-        found = None
-        for depth in range(1, DEPTH + 1):
-            compared = self.level(met, sizes, segments, depth == DEPTH)
-            new = compared.filter("linked").select("a", "b")
+        found, rest, before = None, segments.withColumn("family", F.lit(0).cast("long")), None
+        while True:
+            largest = met.groupBy("key").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+            stuck = before is not None and largest > SHRINKS * before
+            new, stars = self.level(met, sizes, segments, stuck)
             found = new if found is None else found.union(new)
-            star = compared.filter("star")
-            if star.isEmpty():
+            if stars.isEmpty():
                 break
-            labels = components(found)
-            met = materialize(labeled(self.beyond_pivots(star, segments, labels), "node", labels))
+            with noted() as spent:
+                labels = components(found)
+            beyond, rest = self.beyond_pivots(stars, rest, sizes, segments, labels)
+            met, before = materialize(labeled(beyond, "node", labels)), largest
+            drop(met.sparkSession, spent)
         return found
 
     def classes(self) -> DataFrame:

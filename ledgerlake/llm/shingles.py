@@ -100,6 +100,16 @@ class Similarity:
         """Smallest intersection of linked sets of sizes ``a`` and ``b``, as a column."""
         return F.ceil(self.part * (a + b) / (self.part + self.whole))
 
+    def band_column(self, n, largest: int):
+        """Number of the size band: linked sets are in the same one or in neighbouring ones.
+
+        Each band's least size is beyond what the least of the band before may link with.
+        """
+        edges = [1]
+        while edges[-1] <= largest:
+            edges.append(edges[-1] * self.whole // self.part + 1)
+        return F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in edges]), lambda e: e <= n))
+
     def schemes(self, n: int) -> list[tuple[int, int, int]]:
         """(number, fragments, spare fragments) of the cuts in which a set of size ``n`` takes part.
 
