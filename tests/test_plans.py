@@ -84,7 +84,8 @@ def test_unknown_bounds_are_read(spark):
 def test_clustering_information(spark, stored):
     info = {r["columna"]: r for r in layout.clustering_information(
         spark, f"{stored}/clustered", ["fecha_date", "sucursal_id"]).collect()}
-    assert info["fecha_date"]["profundidad_promedio"] <= 2.5
+    # Eight files in order meet their neighbours at most, in a day that both hold; where borders fall depends on a sample.
+    assert info["fecha_date"]["profundidad_promedio"] <= (2 * 2 + 6 * 3) / 8
     assert info["sucursal_id"]["profundidad_promedio"] == info["sucursal_id"]["archivos"] == 8
 
 
