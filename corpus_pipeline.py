@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns documents; it is written as Parquet to the
 shared folder and read again as the input of the next. What a stage wrote on its way is deleted when
 the next one begins, as its result is written by then; so run one pipeline at a time per process.
+
+Null and empty texts have no words, and so are rejected by the first stage's word count; a null id, language or
+source is a value like others. Very long texts go through every stage whole. Repeated rows are near copies of each
+other, so one of them stays; ties between near copies go to the smallest id, null ids last. Empty tables pass
+through as empty tables, and columns beyond those of documents are carried along to the end.
 """
 
 from __future__ import annotations
