@@ -139,17 +139,21 @@ def recluster(
     """Sort the table again where it has lost its order, and return the files that were replaced.
 
     With ``range`` only files whose ranges of the first key overlap are read and rewritten, the others stay in
-    the next list; with ``z`` all are, as a new order's ranks fit no earlier file.
+    the next list; with ``z`` all are, as a new order's ranks fit no earlier file. A new file may span a gap in which
+    a kept file lies; then both are sorted again, so fewer files are kept each time.
     """
     listed = read_version(spark, f"{path}/lists")
-    replaced = (overlapping(listed, keys[0]) if order == "range" else listed.select("archivo")).join(listed, "archivo")
+    replaced = (overlapping(listed, keys[0]) if order == "range" else listed.select("archivo")).join(listed, "archivo").select(*listed.columns)
     rows = [(r["archivo"], r["bytes"]) for r in replaced.select("archivo", "bytes").collect()]
     if rows:
         schema = read_clustered(spark, path).schema
         old = spark.read.schema(schema).parquet(*[name for name, _ in rows])
         n_files = max(1, -(-sum(size for _, size in rows) // target_bytes))
         made = write_files(old, path, keys, n_files, order, bloom)
-        write_version(listed.join(replaced.select("archivo"), "archivo", "left_anti").unionByName(made), f"{path}/lists")
+        replaced = spark.createDataFrame(replaced.collect(), listed.schema)  # as many rows as files; their list changes
+        after = write_version(listed.join(replaced.select("archivo"), "archivo", "left_anti").unionByName(made), f"{path}/lists")
+        if order == "range" and not overlapping(after, keys[0]).isEmpty():
+            return replaced.unionByName(recluster(spark, path, keys, order, bloom, target_bytes))
     return replaced
 
 

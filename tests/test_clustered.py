@@ -101,6 +101,19 @@ def test_sorting_again_rewrites_only_what_overlaps(spark, rows, folder):
     assert same(clustered.read_clustered(spark, folder, version=1), early.unionByName(late.filter("txn % 3 > 0")))
 
 
+def test_new_files_do_not_span_kept_ones(spark, folder):
+    """Overlaps at both ends of the range with a file in order between them."""
+    ends = [(1, 30), (20, 40), (50, 60), (70, 90), (80, 100)]
+    made = [spark.range(a, b + 1).select(F.col("id").alias("k"), F.lit(i).alias("u")) for i, (a, b) in enumerate(ends)]
+    clustered.write_clustered(made[0], folder, ["k"], 1)
+    for df in made[1:]:
+        clustered.append_load(df, folder, ["k"])
+    clustered.recluster(spark, folder, ["k"], target_bytes=1 << 30)
+    assert clustered.overlapping(clustered.clustering_report(spark, folder), "k").isEmpty()
+    want = made[0].unionByName(made[1]).unionByName(made[2]).unionByName(made[3]).unionByName(made[4])
+    assert same(clustered.read_clustered(spark, folder), want)
+
+
 def test_a_run_stopped_before_its_commit_changes_nothing(spark, rows, folder, monkeypatch):
     clustered.write_clustered(rows, folder, ["dia"], 4)
     clustered.append_load(rows.limit(100), folder, ["dia"])
