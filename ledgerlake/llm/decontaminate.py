@@ -7,7 +7,8 @@ window's are verified word by word. Overlapping hits merge into spans of words.
 
 Null and empty texts have no words and no hits; items without words have no windows; shorter items
 are one window; items with the same text all count; rows with a null item_id are found but not
-named; repeated documents are judged each for itself; with an empty benchmark nothing is hit.
+named; repeated documents are judged each for itself; very long texts are scanned whole, one at a
+time; with an empty benchmark nothing is hit.
 Other columns are carried along or not looked at.
 """
 

@@ -7,7 +7,7 @@ Two replicas are compared from the roots down: only the children of branches tha
 looked at, until the damaged records and their offset ranges are known.
 
 Null urls and pages are empty, repeated pages are records of their own, ties in the order are broken
-by the record's digest, and an empty table has no archives and no damage. Other columns are not
+by the record's digest, very long pages are one record, and an empty table has no archives and no damage. Other columns are not
 looked at. Group sizes are the fan-out, so no task holds an archive.
 """
 

@@ -15,7 +15,9 @@ numbers is the global order of the n-grams; it is cut into ranges, the fragments
 
 Null and empty texts have empty sets and link with nothing; a text with fewer words than a shingle
 is its whole sequence; repeated rows are copies of one class; null or repeated ids do not disturb
-(nodes are then named by their sets). Columns other than doc_id and text are not looked at.
+(nodes are then named by their sets). Very long texts are hashed whole, in pieces. Of pivots that tie
+the smallest node is taken; it does not change the components. An empty table gives an empty result.
+Columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations

@@ -6,8 +6,8 @@ first, then line by line for notices, then by blocks between blank lines for gra
 table of known digests is a parameter of some dozens of rows and is broadcast; all else stays in place
 but the few lines and blocks that hit.
 
-Null and empty texts have no licence, repeated rows are scanned each, and an empty table gives an
-empty result; columns other than doc_id and text are not looked at. Built-in expressions only.
+Null and empty texts have no licence, repeated rows are scanned each, very long texts are scanned whole, and an
+empty table gives an empty result; of several licences with one digest the name that sorts first is given; columns other than doc_id and text are not looked at. Built-in expressions only.
 """
 
 from __future__ import annotations

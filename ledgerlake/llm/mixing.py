@@ -6,7 +6,7 @@ target; a second pass over a source goes on from the first. All copies are then
 of their finish times until the budget is spent, so that every source comes near its target.
 
 Null texts have size 0, null sources form a source of their own that sorts last, equal rows are
-taken together, and an empty table gives an empty mix. Other columns of the input are not looked at.
+taken together, very long texts count whole, and an empty table gives an empty mix. Other columns of the input are not looked at.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ strata with too few labels to prove anything reject nothing.
 
 Null and empty texts have no words and rates of 0, null languages are a stratum of their own,
 repeated label rows of a document count as one (it is good if any says so), labels without a
-document are ignored, and empty tables give empty results or no thresholds. Documents may carry
+document are ignored, very long texts are measured whole, documents at a cutoff pass, and empty tables
+give empty results or no thresholds. Documents may carry
 any other columns. Everything runs as built-in expressions.
 """
 

@@ -4,8 +4,13 @@ Every record is hashed into one of a few thousand slots. Bytes are added up per
 versioned map says which shard holds which slot. Rebalancing and growing edit the map, not the
 hash, so only the rows of the moved slots change their shard.
 
-Null texts have no bytes, null ids are hashed like any value, repeated rows share a slot, and an
-empty table gives empty results. Other columns of the input are not looked at.
+The slot is drawn from id and text, so copies of a text under several ids go to several shards: the law is that
+of equal bytes, and a group of copies with a third of all rows would break it. With a folder for maps the
+result depends on the map that an earlier run left there: rows stay where they are while bytes drift little.
+Run one job at a time on such a folder.
+
+Null texts have no bytes, null ids are hashed like any value, repeated rows share a slot, very long texts count
+whole, slots of equal size tie by their number, and an empty table gives empty results. Other columns of the input are not looked at.
 """
 
 from __future__ import annotations
