@@ -5,7 +5,10 @@ numbers is the global order of the n-grams; it is cut into ranges, the fragments
 
 1. Documents with the same set form one class, whose representative goes on alone.
 2. Candidates: of linked sets at most so many shingles differ, so with one fragment more than that
-   some fragment holds the same segment in both. Documents meet under the key of a segment.
+   some fragment holds the same segment in both. Documents meet under the key of a segment. Where the
+   similarity is so low that segments would be of few shingles, and so met by chance, the order is
+   rarest first instead, by counters of fixed size over all documents, and documents meet under the
+   shingles of a prefix of that order; linked sets share one of these whatever the order.
 3. Each key has one pivot, the best that any of its documents meets under its keys, and they are
    compared with it only. A linked pair of which not both link to the pivot must share shingles that the
    pivot lacks (or both hold almost all that a pair needs of the pivot). Such documents meet again under
@@ -26,9 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlake.llm.components import components
+from ledgerlake.llm.rarity import levels, place
 from ledgerlake.llm.shingles import Similarity, mix, shingle_set
 from ledgerlake.llm.text import packed, row_key
 from ledgerlake.llm.scratch import drop, materialize, noted
@@ -59,13 +64,18 @@ def set_columns(similarity: Similarity):
     return of
 
 
-def key_column(similarity: Similarity):
-    """text -> keys of its segments."""
+def key_column(similarity: Similarity, counted: Broadcast | None):
+    """text -> keys of its segments, or its rarest shingles by the levels of their counters."""
+
+    def keys(shingles: np.ndarray) -> np.ndarray:
+        if counted is None:
+            return similarity.keys(shingles)
+        return similarity.prefix(shingles, counted.value[place(shingles)])
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([similarity.keys(shingle_set(t, similarity.words)).view(np.int64) for t in texts])
+            yield pd.Series([keys(shingle_set(t, similarity.words)).view(np.int64) for t in texts])
 
     return of
 
@@ -140,7 +150,11 @@ class Join:
 
     def met(self) -> DataFrame:
         """(key, node) of the keys that two or more representatives share."""
-        keys = self.texts().select("node", F.explode(key_column(self.similarity)("text")).alias("key"))
+        counted = None
+        if self.similarity.rare_first:
+            # A byte for each of a fixed number of counters.
+            counted = self.source.sparkSession.sparkContext.broadcast(levels(self.source, self.similarity.words))
+        keys = self.texts().select("node", F.explode(key_column(self.similarity, counted)("text")).alias("key"))
         shared = materialize(
             keys.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
         )

@@ -1,4 +1,4 @@
-"""Word shingles of a text as sets of 64-bit numbers, and the segment keys of such sets.
+"""Word shingles of a text as sets of 64-bit numbers, and the keys under which such sets meet.
 
 Small helpers that run on the executors, a text at a time; Spark partitions and moves the work.
 """
@@ -135,6 +135,21 @@ class Similarity:
         """Fragments of at most so many shingles say little and are passed over where that is safe."""
         return 1 if self.whole >= 7 * (self.whole - self.part) else 0
 
+    @property
+    def rare_first(self) -> bool:
+        """Whether fragments would be so thin that prefixes of the rarest shingles make the better keys."""
+        return not self.thin
+
+    def prefix(self, shingles: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """The first shingles by level, then number: linked sets have one of these in common.
+
+        Linked sets share at least ``part / whole`` of the larger one. Were nothing of that among the first
+        ``n - ceil(part * n / whole) + 1`` of either, too few would be left behind these.
+        """
+        n = len(shingles)
+        first = n + 1 + (-self.part * n) // self.whole if n else 0
+        return shingles[np.argsort(level, kind="stable")[:first]]
+
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         """A key per fragment: equal for equal segments of the same cut.
 

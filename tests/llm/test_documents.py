@@ -11,10 +11,11 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import decontaminate, jaccard, licenses, mixing, rules, slots, tokens
+from ledgerlake.llm import decontaminate, jaccard, licenses, mixing, rarity, rules, slots, tokens
 from ledgerlake.llm.components import components
 from ledgerlake.llm.queries import tokenizer_path
 from ledgerlake.llm.shingles import Similarity, shingle_set
@@ -120,6 +121,19 @@ def test_linked_sets_share_a_key():
             common = len(set(x) & set(y))
             if len(x) and common < len(set(x) | set(y)) and 100 * common >= s.part * len(set(x) | set(y)):
                 assert set(s.keys(x)) & set(s.keys(y))
+                order = np.random.default_rng(len(x)).integers(0, 4, 1 << 16).astype(np.uint8)
+                x_level, y_level = (order[(z >> np.uint64(48)).astype(np.int64)] for z in (x, y))
+                assert set(s.prefix(x, x_level)) & set(s.prefix(y, y_level))
+
+
+def test_common_shingles_have_higher_levels(spark):
+    """Levels follow the number of documents, over several tasks, nulls and an empty table."""
+    texts = [f"shared words here own{i}" for i in range(40)] + ["rare three words", None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    got = rarity.levels(docs, 3)
+    common, rare = (got[rarity.place(shingle_set(t, 3))][0] for t in ("shared words here", "rare three words"))
+    assert common == int(8 * np.log2(41)) and rare == 8
+    assert not rarity.levels(docs.limit(0), 3).any()
 
 
 def test_near_copies_on_awkward_rows(odd_docs, no_docs):
