@@ -36,7 +36,7 @@ from ledgerlake.llm.components import components
 from ledgerlake.llm.rarity import levels, place
 from ledgerlake.llm.shingles import Similarity, mix, shingle_set
 from ledgerlake.llm.text import packed, row_key
-from ledgerlake.llm.scratch import drop, materialize, noted
+from ledgerlake.llm.scratch import drop, materialize, noted, small_batches
 
 RANGES = 4  # fragments in which overlaps are counted
 FEW = 4  # documents that met under one key and are compared one by one, at first
@@ -323,7 +323,8 @@ class Join:
 
 def jaccard_classes(docs: DataFrame, similarity: Similarity) -> DataFrame:
     """doc_id, row key, n_shingles, component_id and group of every document."""
-    return Join(docs, similarity).classes()
+    with small_batches(docs.sparkSession):  # all steps that run Python are written inside
+        return Join(docs, similarity).classes()
 
 
 def one_of_each(docs: DataFrame, similarity: Similarity) -> DataFrame:

@@ -32,6 +32,18 @@ def noted() -> Iterator[list[str]]:
         _notes.reset(token)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """What is run inside sends rows to Python in batches of about so many bytes, as texts may be of any length."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def drop(spark: SparkSession, folders: list[str]) -> None:
     """Delete noted folders through the file system that Spark wrote them to."""
     while folders:
