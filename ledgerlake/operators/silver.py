@@ -24,9 +24,12 @@ def newest_balance_first(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in [*first, *sorted(set(columns) - set(first))]]
 
 
-def silver_dim_clientes(bronze: DataFrame, sucursales: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Newest version of every client, cleaned, with the branch's place and the client's tenure."""
-    newest = newest_per_key(bronze, ["client_id"], newest_client_first(bronze.columns))
+def silver_dim_clientes(bronze: DataFrame, sucursales: DataFrame, as_of: AsOf = None, reduced: bool = False) -> DataFrame:
+    """Newest version of every client, cleaned, with the branch's place and the client's tenure.
+
+    ``reduced``: only the newest versions are given, a row per client.
+    """
+    newest = bronze if reduced else newest_per_key(bronze, ["client_id"], newest_client_first(bronze.columns))
     places = sucursales.select(
         "sucursal_id", F.col("comuna").alias("sucursal_comuna"), F.col("region").alias("sucursal_region")
     )
@@ -123,9 +126,11 @@ def newest_saldo(saldos: DataFrame, keys: Sequence[str]) -> DataFrame:
     return newest_per_key(saldos, keys, newest_balance_first(saldos.columns))
 
 
-def silver_saldos_actuales(bronze: DataFrame, rangos: Sequence[tuple] = params.RANGOS_SALDO) -> DataFrame:
-    """Current balance per client and product (older ones are overwritten)."""
-    return newest_saldo(bronze, ["client_id", "producto_id"]).select(
+def silver_saldos_actuales(
+    bronze: DataFrame, rangos: Sequence[tuple] = params.RANGOS_SALDO, reduced: bool = False
+) -> DataFrame:
+    """Current balance per client and product (older ones are overwritten); ``reduced``: only those are given."""
+    return (bronze if reduced else newest_saldo(bronze, ["client_id", "producto_id"])).select(
         "client_id",
         "producto_id",
         F.col("fecha_corte").alias("fecha_ultimo_saldo"),

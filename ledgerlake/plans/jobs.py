@@ -95,13 +95,13 @@ def refresh_layers(
 
     steps: dict[tuple[str, str], Callable[[], DataFrame | int]] = {
         ("SILVER", "dim_clientes"): lambda: silver.silver_dim_clientes(
-            newest("clientes", ["client_id"], _newest_client), branches(), as_of),
+            newest("clientes", ["client_id"], _newest_client), branches(), as_of, reduced=True),
         ("SILVER", "fact_transacciones"): lambda: append(
             "fact_transacciones", "transacciones", lambda d: silver.silver_fact_transacciones(d, as_of)),
         ("SILVER", "fact_movimientos"): lambda: append(
             "fact_movimientos", "movimientos", lambda d: silver.silver_fact_movimientos(d, monto_anomalo)),
         ("SILVER", "dim_saldos_actuales"): lambda: silver.silver_saldos_actuales(
-            newest("saldos", ["client_id", "producto_id"], _newest_balance), rangos),
+            newest("saldos", ["client_id", "producto_id"], _newest_balance), rangos, reduced=True),
         ("GOLD", "perfil_cliente_360"): lambda: gold.profile(
             version("silver", "dim_clientes"), counted(states.activity), version("silver", "dim_saldos_actuales"), cortes),
         ("GOLD", "resumen_mensual_sucursal"): lambda: gold.named_months(counted(states.months), branches()),

@@ -76,9 +76,10 @@ def upsert_newest(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         newest_per_key(batch, keys, order()).write.mode("overwrite").parquet(f"{path}/delta/v={batch_id}")
-        if (batch_id + 1) % compact_every == 0:
-            spark = batch.sparkSession
-            merged, last = read_newest(spark, path, keys, order), latest_version(spark, f"{path}/base")
+        spark = batch.sparkSession
+        # A repeated batch finds its base, which has its rows already; it could not be read and replaced at once.
+        if (batch_id + 1) % compact_every == 0 and (last := latest_version(spark, f"{path}/base")) != batch_id:
+            merged = read_newest(spark, path, keys, order)
             write_version(merged, f"{path}/base", batch_id)
             # Readers of the base before may still need the deltas after it; older ones are done with.
             if last is not None:
@@ -95,7 +96,7 @@ def read_newest(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Newest row per key over the last base and the batches after it; empty before the first batch,
-    with the given schema."""
+    with the given schema. A single batch or base holds one row per key as written, and is read as it is."""
     base = latest_version(spark, f"{path}/base")
     parts = [] if base is None else [read_version(spark, f"{path}/base", base)]
     later = [v for v in versions(spark, f"{path}/delta") if base is None or v > base]
@@ -104,6 +105,8 @@ def read_newest(
         if schema is None:
             raise FileNotFoundError(f"no batch in {path} and no schema given")
         return spark.createDataFrame([], schema)
+    if len(parts) == 1:
+        return parts[0]
     return newest_per_key(reduce(DataFrame.unionByName, parts), keys, order())
 
 

@@ -3,7 +3,8 @@
 A distinct count does not add up over batches, but the rows per value do: a value counts while it
 has rows. Each batch is reduced to its keys and written under its own number, so a repeated
 batch overwrites what it wrote; every few batches all is merged into a new base. A reader adds up the
-last base and the batches after it, and leaves out keys whose rows are gone.
+last base and the batches after it, and leaves out keys whose rows are gone. One base or batch alone has a
+row per key as written, and is not grouped again.
 """
 
 from __future__ import annotations
@@ -66,7 +67,8 @@ class CountedState:
         if (batch_id + 1) % compact_every == 0:
             spark = rows.sparkSession
             last = latest_version(spark, f"{path}/base", before=batch_id)
-            self._write(self.read(spark, path, upto=batch_id), f"{path}/base/v={batch_id}")
+            if batch_id not in versions(spark, f"{path}/base"):  # a repeated batch finds its base, which has its rows
+                self._write(self.read(spark, path, upto=batch_id), f"{path}/base/v={batch_id}")
             if last is not None:  # readers of the base before may still need what came after it
                 drop_versions(spark, f"{path}/delta", last)
                 drop_versions(spark, f"{path}/base", last - 1)
@@ -97,7 +99,9 @@ class CountedState:
         changes = parts[0]
         for more in parts[1:]:
             changes = changes.unionByName(more)
-        return self.merged(changes if where is None else changes.filter(where))
+        changes = changes if where is None else changes.filter(where)
+        alone = len(later) + (base is not None) == 1 and extra is None
+        return changes.filter("n <> 0") if alone else self.merged(changes)
 
     def changed(self, spark: SparkSession, path: str, after: int) -> DataFrame | None:
         """The changes of the batches after a number, or None if some of them have been merged away."""

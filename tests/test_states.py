@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_of
 from ledgerlake.operators import gold, quality
 from ledgerlake.operators.scale import added, highest
 from ledgerlake.plans import jobs
@@ -51,6 +52,27 @@ def test_state_forgets_keys_whose_rows_are_gone(spark, folder):
         top.reduced(batch(spark, (1, 1, 1)), -1)
 
 
+def test_one_batch_alone_is_read_as_written_and_may_be_repeated(spark, folder):
+    """No second grouping of rows that have a row per key; a repeated batch leaves the base that it was merged into."""
+    plain = CountedState({"k": "bigint"}, {"w": added(F.sum("w"))}, {"w": "bigint"})
+    for number in (0, 0, 1, 1):
+        plain.fold(batch(spark, (1, 1, 5), (number, 2, 6)), folder, number, compact_every=2)
+        if not number:
+            assert "Exchange" not in plan_of(plain.read(spark, folder))
+    assert values(plain.read(spark, folder)) == [(0, 1, 6), (1, 3, 16)]
+
+
+def test_newest_rows_of_one_batch_are_not_sorted_again(spark, folder):
+    order = lambda: [F.col("w").desc_nulls_last()]
+    streams.upsert_newest(folder, ["k"], order)(batch(spark, (1, 1, 5), (1, 2, 6), (None, 1, 1)), 0)
+    one = streams.read_newest(spark, folder, ["k"], order)
+    assert "Window" not in plan_of(one) and sorted(r["w"] for r in one.collect()) == [1, 6]
+
+
+def test_states_for_distinct_counts_carry_no_sums():
+    assert not gold_states.client_product().measures and not gold_states.month_product().measures
+
+
 def test_state_reads_the_partitions_asked_for(spark, folder):
     state().fold(batch(spark, *[(k, 1, 1) for k in range(6)]), folder, 0)
     plan = state().read(spark, folder, where=F.col("k") == 3)._jdf.queryExecution().executedPlan().toString()
