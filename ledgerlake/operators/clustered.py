@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from ledgerlake.operators.layout import TARGET_FILE_BYTES
+from ledgerlake.operators.layout import TARGET_FILE_BYTES, files_for
 from ledgerlake.sources.tables import read_version, versions, write_version
 
 Z_BITS = 6  # of each key's rank, so 63 bounds a key
@@ -67,11 +67,14 @@ def z_value(df: DataFrame, bounds: dict[str, list], bits: int = Z_BITS) -> Colum
 def write_files(
     df: DataFrame, path: str, keys: Sequence[str], n_files: int, order: str = "range", bloom: Sequence[str] = (), distinct: int = 1_000_000
 ) -> DataFrame:
-    """Write sorted files beside those of the table, and list them with their statistics."""
+    """Write sorted files beside those of the table, and list them with their statistics.
+
+    ``n_files`` is the least number of files; large tables get more (``layout.files_for``).
+    """
     spread = F.xxhash64(*[c for c in df.columns if c not in keys])
     by = [F.col(k) for k in keys] if order == "range" else [F.col("_z")]
     ordered = df if order == "range" else df.withColumn("_z", z_value(df, rank_bounds(df, keys)))
-    ranged = ordered.withColumn("_spread", spread).repartitionByRange(n_files, *by, F.col("_spread"))
+    ranged = ordered.withColumn("_spread", spread).repartitionByRange(files_for(df, n_files), *by, F.col("_spread"))
     files = f"{path}/files/{uuid.uuid4().hex}"
     writer = ranged.sortWithinPartitions(*by, *([] if order == "range" else keys)).drop("_spread", "_z").write
     for column in bloom:

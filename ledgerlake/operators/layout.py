@@ -129,6 +129,14 @@ def file_count(df: DataFrame) -> int:
     return max(1, -(-(total or 0) // TARGET_FILE_BYTES))
 
 
+def files_for(df: DataFrame, least: int) -> int:
+    """At least so many files, and more where a file would have over 256 MB of rows.
+
+    A file is written by one task, so a fixed number would let that task grow with the table.
+    """
+    return max(least, -(-_row_bytes(df) // TARGET_FILE_BYTES))
+
+
 def _stored(df: DataFrame) -> bool:
     """Whether the table is read from files as it is, with no operator between."""
     try:
@@ -147,12 +155,13 @@ def cluster_table(df: DataFrame, path: str, keys: Sequence[str], n_files: int |
 
     A row hash is the last range key, so one key value with a large share of the rows is split
     over several files. A zone-less ``fecha`` gets a date twin that files can be skipped on.
+    ``n_files`` is the least number of files; large tables get more (``files_for``).
     """
     if "fecha" in df.columns and "fecha_date" not in df.columns and dict(df.dtypes)["fecha"] != "date":
         df = df.withColumn("fecha_date", F.col("fecha").cast("date"))
     spread = F.xxhash64(*[c for c in df.columns if c not in keys])
     ranged = df.withColumn("_spread", spread).repartitionByRange(
-        n_files or file_count(df), *[F.col(k) for k in keys], F.col("_spread")
+        files_for(df, n_files) if n_files else file_count(df), *[F.col(k) for k in keys], F.col("_spread")
     )
     ranged.sortWithinPartitions(*keys).drop("_spread").write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import clustered
+from ledgerlake.operators import clustered, layout
 
 KEYS = ["dia", "sucursal", "client_id"]
 
@@ -26,6 +26,20 @@ def same(a, b):
     return a.count() == b.count() and a.exceptAll(b.select(a.columns)).isEmpty()
 
 
+def test_a_large_table_gets_more_files_than_asked_for(spark, folder, monkeypatch):
+    """A task writes one file; with the given number alone, it would grow with the table."""
+    monkeypatch.setattr(layout, "TARGET_FILE_BYTES", 4_000)
+    rows = spark.range(3000).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("fecha"))
+    layout.cluster_table(rows, f"{folder}/a", ["fecha"], 2)
+    clustered.write_clustered(rows, f"{folder}/b", ["fecha"], 2)
+    clustered.append_load(rows, f"{folder}/b", ["fecha"])
+    for stats, loads in ((layout.file_statistics(spark, f"{folder}/a", ["fecha"]), 1), (clustered.clustering_report(spark, f"{folder}/b"), 2)):
+        assert stats.count() == 12 * loads and stats.agg(F.sum("filas")).first()[0] == 3000 * loads
+    monkeypatch.undo()
+    layout.cluster_table(rows, f"{folder}/c", ["fecha"], 2)
+    assert layout.file_statistics(spark, f"{folder}/c", ["fecha"]).count() == 2
+
+
 def test_z_order_lets_every_key_skip(spark, rows, folder):
     plain = f"{folder}/plain"
     rows.repartition(64).write.parquet(plain)
