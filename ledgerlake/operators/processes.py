@@ -73,7 +73,8 @@ def reconciliacion_saldos(movimientos: DataFrame, saldos: DataFrame, tolerancia:
         F.count("movimiento_id").alias("num_movimientos"),
         F.max("fecha").alias("ultimo_movimiento"),
     )
-    reported = newest_saldo(saldos, keys).select(*keys, "saldo_contable", "fecha_corte")
+    # Balances that tie in these columns are the same to the result, so the others need not be carried.
+    reported = newest_saldo(saldos.select(*keys, "fecha_corte", "saldo_id", "saldo_contable"), keys).select(*keys, "saldo_contable", "fecha_corte")
     zero = F.lit(0)
     state = (
         F.when(F.col("abs_diferencia") <= tolerancia, params.OK)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from ledgerlake.functions.draws import PRIME
 from ledgerlake.operators.gold import row_counts
+from ledgerlake.operators.scale import materialize
 from ledgerlake.plans import fixtures as fx
 from ledgerlake.plans.queries_layers import LOADED, S_SAL, silver_sal
 from ledgerlake.plans.queries_layout import scratch
@@ -182,7 +183,7 @@ def a12(spark, sf):
 @query("a13_save_table", E2_SQL + " select * from rec where estado_reconciliacion <> 'OK'", ("mov", "sal"))
 def a13(spark, sf):
     root = scratch(spark, "tables")
-    result = reconciliation(spark, sf)
+    result = materialize(reconciliation(spark, sf))  # saved twice, worked out once
     tables.save_table(result, root, "reconciliacion")
     tables.save_table(result.filter("estado_reconciliacion <> 'OK'"), root, "reconciliacion")
     return tables.read_table(spark, root, "reconciliacion")

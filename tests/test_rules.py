@@ -12,6 +12,8 @@ from conftest import as_dicts
 from ledgerlake import params
 from ledgerlake.functions import banded, percent, years_between
 from ledgerlake.operators import gold, marts, monitoring, privacy, processes, quality, silver
+from ledgerlake.operators.scale import materialize
+from ledgerlake.plans import queries_sources
 
 T0 = datetime(2024, 1, 1)
 TXN = ("txn_id long, client_id long, producto_id long, sucursal_id long, fecha timestamp_ntz, tipo string, "
@@ -386,3 +388,22 @@ def test_pii_counts_by_brute_force(spark):
     for kind, pattern in PII_IN_TEXT.items():
         found = [len(re.findall(pattern, t or "")) for t in texts]
         assert (row[f"{kind.lower()}_filas"], row[f"{kind.lower()}_hallazgos"]) == (sum(n > 0 for n in found), sum(found))
+
+
+def test_reconciliation_carries_only_what_it_reports(spark):
+    """Balances that tie by date and number still end in the highest one."""
+    moves = spark.createDataFrame([(1, 1, 1, 10, date(2024, 1, 1))], "movimiento_id long, client_id long, producto_id long, monto long, fecha date")
+    out = processes.reconciliacion_saldos(
+        moves.withColumn("monto", F.col("monto").cast("decimal(15,2)")),
+        saldos(spark, (1, 1, date(2024, 1, 2), 30.0, 0.0, "Activa"), (1, 1, date(2024, 1, 1), 90.0, 0.0, "Activa"), (None, 2, None, 5.0, 1.0, None)))
+    steps = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LogicalRDD" not in line]
+    assert not any("saldo_promedio_mes" in line or "estado_cuenta" in line for line in steps)
+    got = {r["producto_id"]: (r["saldo_contable"], r["fecha_corte"], r["diferencia"]) for r in out.collect()}
+    assert got[1] == (30, date(2024, 1, 2), -20) and got[2] == (5, None, -5)
+
+
+def test_a_result_saved_twice_is_worked_out_once(spark, sf, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries_sources, "materialize", lambda df: made.append(materialize(df)) or made[-1])
+    out = queries_sources.a13(spark, sf)
+    assert len(made) == 1 and made[0].filter("estado_reconciliacion <> 'OK'").count() == out.count() > 0
