@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, month_of, percent, today, year_of
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import added, aggregate_apart, aggregate_once, exact_median, highest, lowest, mean_of
+from ledgerlake.operators.scale import added, aggregate_apart, aggregate_once, exact_median, mean_of
 from ledgerlake.operators.silver import newest_saldo
 
 
@@ -105,16 +105,19 @@ def top_clientes_sucursal(fact: DataFrame, dim: DataFrame, sucursales: DataFrame
 
 
 def metricas_productos(productos: DataFrame, fact: DataFrame) -> DataFrame:
-    """Activity per product over all statuses; products without activity stay with count 0."""
-    activity = aggregate_once(
+    """Activity per product over all statuses; products without activity stay with count 0.
+
+    A product's clients are counted apart: their pairs are nearly as many as the rows, and so carry no measures.
+    """
+    activity = aggregate_apart(
         fact,
         ["producto_id"],
         {
-            "total_operaciones": added(F.count("txn_id")),
-            "volumen_total": added(F.sum("monto")),
-            "_con_monto": added(F.count("monto")),
-            "primera_operacion": lowest("fecha"),
-            "ultima_operacion": highest("fecha"),
+            "total_operaciones": F.count("txn_id"),
+            "volumen_total": F.sum("monto"),
+            "_con_monto": F.count("monto"),
+            "primera_operacion": F.min("fecha"),
+            "ultima_operacion": F.max("fecha"),
         },
         {"clientes_activos": "client_id"},
         drop_null_keys=True,

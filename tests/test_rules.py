@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_dicts
+from conftest import as_dicts, plan_of
 from ledgerlake import params
 from ledgerlake.functions import banded, percent, years_between
 from ledgerlake.operators import gold, marts, monitoring, privacy, processes, quality, silver
@@ -407,3 +408,17 @@ def test_a_result_saved_twice_is_worked_out_once(spark, sf, monkeypatch):
     monkeypatch.setattr(queries_sources, "materialize", lambda df: made.append(materialize(df)) or made[-1])
     out = queries_sources.a13(spark, sf)
     assert len(made) == 1 and made[0].filter("estado_reconciliacion <> 'OK'").count() == out.count() > 0
+
+
+def test_pairs_of_a_distinct_count_carry_no_measures(spark):
+    """There may be as many pairs as rows; null clients and products, and products without rows, count as before."""
+    rows = txns(spark, {}, {"client": 2, "monto": "-4.00"}, {"client": None}, {"producto": None}, {"monto": None, "estado": "Rechazada"}, {"producto": 3})
+    products = spark.createDataFrame([(1, "A", "s", D("0.50")), (2, "B", "s", None)], "producto_id long, tipo string, segmento string, tasa_anual decimal(5,2)")
+    metrics, activity = marts.metricas_productos(products, rows), gold.client_activity(silver.silver_fact_transacciones(rows, "2024-06-01"), "2024-06-01")
+    for df in (metrics, activity):
+        pairs = [line for line in plan_of(df).splitlines() if re.search(r"Aggregate\(key[s]?=\[[^\]]*(client_id[^\]]*producto_id|producto_id[^\]]*client_id)", line)]
+        assert pairs and not any(word in line for line in pairs for word in ("sum(", "min(", "max("))
+    got = {r["producto_id"]: (r["total_operaciones"], r["volumen_total"], r["clientes_activos"]) for r in metrics.collect()}
+    assert got == {1: (4, D("16.00"), 2), 2: (0, None, 0)}
+    got = {r["client_id"]: (r["total_txn"], r["neto"], r["productos"]) for r in activity.collect()}
+    assert got == {1: (3, D("30.00"), 2), 2: (1, D("-4.00"), 1)}
