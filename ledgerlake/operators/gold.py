@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, ratio, today
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import added, aggregate_apart, aggregate_once, highest, lowest, mean_of
+from ledgerlake.operators.scale import aggregate_apart, mean_of
 
 
 def _zero(name: str, alias: str | None = None):
@@ -26,22 +26,25 @@ def gold_perfil_360(
 
 
 def client_activity(txn: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Transactions per client; the 90-day measures are conditional aggregates of the same pass."""
+    """Transactions per client; the 90-day measures are conditional aggregates of the same pass.
+
+    A client's products are counted apart: their pairs are nearly as many as the rows, and so carry no measures.
+    """
     recent = F.col("fecha_date") >= F.date_sub(today(as_of), 90)
-    return aggregate_once(
+    return aggregate_apart(
         txn.filter(F.col("_quality_flag") == params.OK),
         ["client_id"],
         {
-            "total_txn": added(F.count("*")),
-            "aprobadas": added(F.count_if(F.col("estado") == params.APROBADA)),
-            "ingresos": added(F.sum(amount_in("monto"))),
-            "egresos": added(F.sum(amount_out("monto"))),
-            "neto": added(F.sum("monto")),
-            "_con_monto": added(F.count("monto")),
-            "primera_txn": lowest("fecha"),
-            "ultima_txn": highest("fecha"),
-            "txn_90d": added(F.count_if(recent)),
-            "volumen_90d": added(F.sum(F.when(recent, F.col("monto")))),
+            "total_txn": F.count("*"),
+            "aprobadas": F.count_if(F.col("estado") == params.APROBADA),
+            "ingresos": F.sum(amount_in("monto")),
+            "egresos": F.sum(amount_out("monto")),
+            "neto": F.sum("monto"),
+            "_con_monto": F.count("monto"),
+            "primera_txn": F.min("fecha"),
+            "ultima_txn": F.max("fecha"),
+            "txn_90d": F.count_if(recent),
+            "volumen_90d": F.sum(F.when(recent, F.col("monto"))),
         },
         {"productos": "producto_id"},
         drop_null_keys=True,
