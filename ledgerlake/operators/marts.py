@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ledgerlake import params
 from ledgerlake.functions import amount_in, amount_out, month_of, percent, today, year_of
 from ledgerlake.functions.clock import AsOf
-from ledgerlake.operators.scale import added, aggregate_apart, aggregate_once, exact_median, mean_of
+from ledgerlake.operators.scale import (
+    Measure, added, aggregate_apart, aggregate_once, exact_median, highest, lowest, mean_of,
+)
 from ledgerlake.operators.silver import newest_saldo
 
 
@@ -53,20 +55,29 @@ def approved(fact: DataFrame) -> DataFrame:
 def resumen_actividad(dim: DataFrame, fact: DataFrame) -> DataFrame:
     """Approved activity per client. The fact is reduced to clients before the dimension joins."""
     ok = approved(fact).filter(F.col("client_id").isNotNull())
-    per_client = aggregate_apart(
-        ok.withColumn("_mes", month_of("fecha")),
-        ["client_id"],
-        {
-            "total_ingresos": F.sum(amount_in("monto")),
-            "total_egresos": F.sum(amount_out("monto")),
-            "balance_neto": F.sum("monto"),
-            "_con_monto": F.count("monto"),
-            "primera_transaccion": F.min("fecha"),
-            "ultima_transaccion": F.max("fecha"),
-        },
-        {"productos_utilizados": "producto_id", "meses_activo": "_mes", "total_transacciones": "txn_id"},
-        drop_null_keys=True,
-    ).withColumns({
+    measures = {
+        "total_ingresos": added(F.sum(amount_in("monto"))),
+        "total_egresos": added(F.sum(amount_out("monto"))),
+        "balance_neto": added(F.sum("monto")),
+        "_con_monto": added(F.count("monto")),
+        "primera_transaccion": lowest("fecha"),
+        "ultima_transaccion": highest("fecha"),
+        "meses_activo": Measure(F.bit_or(F.expr("shiftleft(1L, _mes)")), lambda months: F.sum(F.bit_count(months))),
+    }
+    # A client's months are bits of a few words, one for 64 months, so that they need no pass of their own.
+    words = (
+        ok.withColumn("_mes", F.year("fecha") * 12 + F.month("fecha"))
+        .groupBy("client_id", F.shiftright("_mes", 6).alias("_word"))
+        .agg(*[m.first.alias(name) for name, m in measures.items()])
+    )
+    per_client = words.groupBy("client_id").agg(*[
+        F.coalesce(m.then(F.col(name)), F.lit(0)).alias(name) if name == "meses_activo"
+        else m.then(F.col(name)).cast(words.schema[name].dataType).alias(name)
+        for name, m in measures.items()
+    ])
+    for name, column in (("productos_utilizados", "producto_id"), ("total_transacciones", "txn_id")):
+        per_client = per_client.join(ok.groupBy("client_id").agg(F.count_distinct(column).alias(name)), "client_id")
+    per_client = per_client.withColumns({
         "dias_actividad": F.datediff("ultima_transaccion", "primera_transaccion"),
         "monto_promedio": mean_of("balance_neto", "_con_monto"),
     })

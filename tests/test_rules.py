@@ -422,3 +422,18 @@ def test_pairs_of_a_distinct_count_carry_no_measures(spark):
     assert got == {1: (4, D("16.00"), 2), 2: (0, None, 0)}
     got = {r["client_id"]: (r["total_txn"], r["neto"], r["productos"]) for r in activity.collect()}
     assert got == {1: (3, D("30.00"), 2), 2: (1, D("-4.00"), 1)}
+
+
+def test_months_of_activity_need_no_pairs_of_client_and_month(spark):
+    """Months are bits of 64-month words: across words, repeated, far back and null ones count as distinct months did."""
+    at = lambda y, m, d=1: datetime(y, m, d)
+    rows = txns(
+        spark, {"fecha": at(2024, 1)}, {"fecha": at(2024, 1, 31), "monto": "-4.00"}, {"fecha": at(2023, 12)}, {"fecha": at(2018, 9)},
+        {"fecha": at(1, 1)}, {"fecha": None, "producto": None}, {"client": 2, "fecha": None, "monto": None}, {"client": None})
+    dim = spark.createDataFrame([(1, "s", "c"), (2, "s", "c")], "client_id long, segmento string, sucursal_comuna string")
+    out = marts.resumen_actividad(dim, rows)
+    assert not re.search(r"Aggregate\(key[s]?=\[client_id#\d+L?, _mes", plan_of(out))
+    got = {r["client_id"]: (r["meses_activo"], r["total_transacciones"], r["productos_utilizados"], r["balance_neto"], r["monto_mediana"])
+           for r in out.collect()}
+    assert got == {1: (4, 6, 1, D("46.00"), D("10.000")), 2: (0, 1, 1, None, None)}
+    assert dict(out.dtypes)["balance_neto"] == "decimal(25,2)" and dict(out.dtypes)["meses_activo"] == "bigint"
