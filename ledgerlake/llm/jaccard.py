@@ -10,9 +10,9 @@ numbers is the global order of the n-grams; it is cut into ranges, the fragments
    rarest first instead, by counters of fixed size over all documents, and documents meet under the
    shingles of a prefix of that order; linked sets share one of these whatever the order.
 3. Each key has one pivot, the best that any of its documents meets under its keys, and they are
-   compared with it only. A linked pair of which not both link to the pivot must share shingles that the
-   pivot lacks (or both hold almost all that a pair needs of the pivot). Such documents meet again under
-   those shingles, and so on.
+   compared with it only. The documents of a pivot have a center, the shingles of more than half of them. A linked pair
+   either differs little from the center, and then links with the nearest document, too, or must share shingles in which both
+   are apart from it. Such documents meet again under those shingles, and so on.
    No group's pairs are written out, and no link between different components is lost.
 4. Verification: partial overlaps are counted per fragment and summed per pair.
 
@@ -40,8 +40,8 @@ from ledgerlake.llm.scratch import drop, materialize, noted, small_batches
 
 RANGES = 4  # fragments in which overlaps are counted
 FEW = 4  # documents that met under one key and are compared one by one, at first
-FEW_LATER = 32  # the same for keys beyond a pivot, where pairs must share several
-SHARED = 4  # keys beyond a pivot that a pair must share, unless it needs fewer
+FEW_LATER = 32  # the same for keys around a center, where pairs must share several
+SHARED = 4  # keys around a center that a pair must share, unless it needs fewer
 SHRINKS = 0.98  # a level whose largest group is more of the one before than that compares all that is left
 SENT_NODES = 200_000  # nodes whose ids (8 bytes each) may be broadcast to pick their texts
 
@@ -177,19 +177,21 @@ class Join:
     def level(self, met: DataFrame, sizes: DataFrame, segments: DataFrame, last: bool):
         """Compare the documents of each key: (links found, who was compared with which pivot in which family).
 
-        ``met(key, node, label, lack, extra)`` has the components found so far as labels; keys whose
-        documents are all in one component have nothing more to tell. A pair of a family must share
-        ``lack`` shingles of those that either has in ``extra``, and so ``SHARED`` of its keys; if one
-        of these is of a large group, the pivots there see to the pair.
+        ``met(key, node, label, w, extra, cut, early, cut_early, place)`` has the components found so far as labels; keys whose
+        documents are all in one component have nothing more to tell. A pair of a family must share as many of
+        the ``extra`` shingles in which they are apart from its center as their ``w`` ask for, and so as many of its keys, less
+        those ``cut`` off, that are ``early`` ones of the document with the lower ``w``; if one of these is of a
+        large group, the pivots there see to the pair. ``place`` is that of the key among the ``extra`` ones. A group is as large as its documents that have the key early, so
+        no document of a small one meets more than that.
         """
         need = self.similarity.needed_column
         groups = materialize(
             met.join(sizes, "node").groupBy("key").agg(
-                F.count("*").alias("members"),
+                F.count_if("early").alias("members"),
                 F.max(F.struct("met_keys", (-F.col("node")).alias("back"))).alias("top"),
                 F.min("label").alias("lo"),
                 F.max("label").alias("hi"),
-            ).filter("lo <> hi").select("key", "members", "top")
+            ).filter("lo <> hi and members > 0").select("key", "members", "top")
         )
         grouped = met.join(groups, "key")
         few = F.lit(True) if last else F.col("members") <= F.when(F.col("family").isNull(), FEW).otherwise(FEW_LATER)
@@ -199,14 +201,16 @@ class Join:
         # pivot that any of them meets is most often the same for all keys of a group of copies, so that
         # each copy is compared once, not with a pivot for each of its keys.
         pivots = many.join(homes, "node").groupBy("key").agg(F.max("home").alias("best"))
-        one_by_one = grouped.filter(few).select("key", "family", "node", "label", "lack", "extra", "next")
-        other = one_by_one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "lack", "extra", "next")])
-        shared = F.least(F.greatest("lack", "lack_b", F.lit(1)), F.lit(SHARED))
+        one_by_one = grouped.filter(few).select("key", "family", "node", "label", "w", "extra", "cut", "next", "early", "cut_early", "place")
+        other = one_by_one.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "w", "extra", "cut", "next", "place")])
+        asked = self.lack_column(F.col("w") + F.col("w_b"))
         small = (
-            one_by_one.join(other, "key")
-            .filter("node < node_b and label <> label_b and lack <= extra_b and lack_b <= extra and not (next and next_b)")
-            .groupBy("family", F.col("node").alias("a"), F.col("node_b").alias("b"))
-            .agg(F.count("*").alias("times"), F.max(shared).alias("shared"))
+            one_by_one.filter("early").join(other, "key")
+            .filter("(w < w_b or w = w_b and node < node_b) and label <> label_b and not (next and next_b)")
+            # What both have in common up to this key and after it.
+            .filter(asked <= F.least("place", "place_b") + F.least(F.col("extra") - F.col("place"), F.col("extra_b") - F.col("place_b")))
+            .groupBy("family", F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b"))
+            .agg(F.count("*").alias("times"), F.max(asked - F.greatest("cut_early", "cut_b")).alias("shared"))
             .filter("times >= shared").select("a", "b")
         )
         stars = materialize(
@@ -223,45 +227,67 @@ class Join:
         )
         return materialize(sized.filter(F.col("common") >= need(F.col("n_a"), F.col("n_b"))).select("a", "b")), stars
 
-    def beyond_pivots(self, stars: DataFrame, rest: DataFrame, sizes: DataFrame, segments: DataFrame, labels: DataFrame):
-        """Documents under the shingles that their pivots lack: (met for the next level, rest for it).
-
-        ``rest(family, node, at, s)`` has what is left of a document's set without the pivots that its family
-        has had; a new family is an old one with one pivot more, and leaves out that one's shingles, too.
-        ``lack`` is how many shared shingles among the rest a pair needs at least: what the
-        smallest partner asks for, less what the pivots may account for. Documents with
-        a smaller rest are ruled out, and families left with one component are done. Of the
-        others the first ones in the global order are enough: without the last ``lack - SHARED``
-        (or fewer), a linked pair still has ``SHARED`` (or ``lack``) in common.
+    def lack_column(self, w: Column) -> Column:
+        """Shingles that a pair must share of those that set it apart from a center, by the sum of its ``w``."""
+        return F.greatest(F.lit(1), F.ceil(w / (2 * (self.similarity.part + self.similarity.whole))))
+
+    def around_centers(self, stars: DataFrame, sizes: DataFrame, segments: DataFrame, labels: DataFrame):
+        """The documents compared with one pivot, by what sets them apart from their center: (met for the next level, sure links).
+
+        The center of a family is the set of shingles that more than half of its documents have; any set would do.
+        Two documents differ in what either is apart from the center, less twice what they are apart in common. So with ``w``,
+        the part that a document is apart less what its size may differ, a pair links if and only if ``w_a + w_b`` is at most so many
+        times the shingles apart in common. Where that sum is not above 0 the pair links surely, and both link with the document
+        of the lowest ``w``, too: these links alone keep the component. Every other linked pair shares at least ``lack``
+        of the shingles in which it is apart, by its own ``w`` and the lowest, and ``lack`` is at least 1. A center has no shingle that only the half of its documents
+        have, so that at most half of them meet under one. Ordered by how many of the family are apart in them, the first shingles are enough: with
+        the last ``lack - SHARED`` of either cut off, a linked pair has that many fewer in common at most. The one with the lower ``w`` may be cut as if both had it; what it
+        keeps is ``early``. The pivot is left out, as all were compared with it, and families with one component are done.
         """
-        rule, need = self.similarity, self.similarity.needed_column
+        rule = self.similarity
         star = stars.join(sizes.select(F.col("node").alias("b"), F.col("n")), "b").withColumn("chain", F.xxhash64("family", "a"))
-        family = materialize(labeled(star, "b", labels))
+        family = materialize(labeled(star, "b", labels).select("chain", F.col("b").alias("node"), "n", "label"))
         mixed = family.groupBy("chain").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("smallest")
-        ).filter("lo <> hi").select("chain", "smallest")
-        partner = F.greatest("smallest", F.ceil(F.col("n") * rule.part / rule.whole))
-        family = family.join(mixed, "chain").select(
-            "family", "a", "b", "chain", "n", need(F.col("n"), partner).alias("needs"),
-            rule.band_column(F.col("n"), self.largest).alias("band"),
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("members")
+        ).filter("lo <> hi").select("chain", "members")
+        sets = family.join(mixed, "chain").join(segments, "node")
+        center = materialize(
+            sets.select("chain", "members", "at", F.explode("s").alias("x")).groupBy("chain", "members", "at", "x")
+            .agg(F.count("*").alias("times")).filter("2 * times > members")
+            .groupBy("chain", "at").agg(F.collect_list("x").alias("c"))
+        )
+        middle = F.coalesce("c", F.array().cast("array<long>"))
+        apart = materialize(
+            sets.join(center, ["chain", "at"], "left")
+            .select("chain", "node", "n", "label", F.concat(F.array_except("s", middle), F.array_except(middle, "s")).alias("e"))
         )
-        left = segments.select(F.col("node").alias("a"), F.col("at").alias("at_a"), F.col("s").alias("s_a"))
-        right = rest.select("family", F.col("node").alias("b"), "at", F.col("s").alias("s_b"))
-        rest = materialize(
-            family.join(left, "a").withColumnRenamed("at_a", "at").join(right, ["family", "b", "at"])
-            .select(F.col("chain").alias("family"), F.col("b").alias("node"), "n", "needs", "band", "at", F.array_except("s_b", "s_a").alias("s"))
+        both, free = rule.part + rule.whole, rule.whole - rule.part  # linked sets differ in free / both of their sizes' sum
+        far = apart.groupBy("chain", "node", "n", "label").agg(F.sum(F.size("e")).alias("extra")).withColumn("w", both * F.col("extra") - free * F.col("n"))
+        nearest = far.groupBy("chain").agg(F.min(F.struct("w", "node", "label")).alias("nearest"))
+        far = materialize(far.join(nearest, "chain").withColumn("sum", F.col("w") + F.col("nearest.w")))
+        sure = materialize(
+            far.filter("sum <= 0 and label <> nearest.label").select(F.col("nearest.node").alias("a"), F.col("node").alias("b")).distinct()
         )
-        whole = rest.groupBy("family", "node", "n", "needs", "band").agg(
-            F.sum(F.size("s")).alias("extra"), F.array_sort(F.collect_list(F.struct("at", "s"))).alias("parts")
-        ).withColumn("lack", F.col("needs") - F.col("n") + F.col("extra")).filter("lack <= extra")
-        ordered = F.flatten(F.transform("parts", lambda p: F.array_sort(p["s"])))
-        left_out = F.greatest(F.col("lack") - SHARED, F.lit(0))
-        prefix = F.slice(ordered, 1, (F.col("extra") - left_out).cast("int"))
-        near = F.when(F.col("lack") <= 0, F.array(F.lit(0).cast("long"))).otherwise(F.array().cast("array<long>"))
+        lacking = far.select(
+            "chain", "node", "w", "extra", self.lack_column(F.col("sum")).alias("lack"), self.lack_column(2 * F.col("w")).alias("lack_early"),
+            rule.band_column(F.col("n"), self.largest).alias("band"),
+        ).filter("lack <= extra").withColumns({
+            "cut": F.greatest(F.col("lack") - SHARED, F.lit(0)), "cut_early": F.greatest(F.col("lack_early") - SHARED, F.lit(0)),
+        })
+        each = apart.select("chain", "node", F.explode("e").alias("x")).join(lacking, ["chain", "node"])
+        shared = each.groupBy("chain", "x").agg(F.count("*").alias("times")).filter("times > 1")
+        rarest = each.join(shared, ["chain", "x"]).groupBy("chain", "node", "w", "lack", "cut", "cut_early", "band").agg(
+            F.array_sort(F.collect_list(F.struct("times", "x"))).alias("xs")
+        ).filter("lack <= size(xs)").withColumn("extra", F.size("xs").cast("long"))  # others have no part in a pair
+        prefix = F.slice("xs", 1, F.greatest(F.size("xs") - F.col("cut"), F.lit(0)).cast("int"))
         # Sizes too far apart do not meet: a set has the keys of its band and of the next.
-        named = F.transform(F.concat(prefix, near), lambda x: F.array(*[
-            F.struct(F.xxhash64("family", x, F.col("band") + i).alias("key"), F.lit(bool(i)).alias("next")) for i in (0, 1)]))
-        return whole.select(F.explode(F.flatten(named)).alias("k"), "family", "node", "lack", "extra").select("k.*", "family", "node", "lack", "extra"), rest
+        named = F.transform(prefix, lambda x, place: F.array(*[
+            F.struct(
+                F.xxhash64("chain", x["x"], F.col("band") + i).alias("key"), F.lit(bool(i)).alias("next"),
+                (place < F.size("xs") - F.col("cut_early")).alias("early"), place.cast("long").alias("place"),
+            ) for i in (0, 1)]))
+        met = rarest.select(F.explode(F.flatten(named)).alias("k"), F.col("chain").alias("family"), "node", "w", "extra", "cut", "cut_early")
+        return met.select("k.*", "family", "node", "w", "extra", "cut", "cut_early"), sure
 
     def links(self) -> DataFrame:
         """Verified links (a, b) of representatives; their components are those of all links."""
@@ -275,11 +301,12 @@ class Join:
         self.largest = sizes.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
         met = met.withColumns({
             "label": F.col("node"), "family": F.lit(None).cast("long"),
-            "lack": F.lit(0).cast("long"), "extra": F.lit(1 << 60), "next": F.lit(False),
+            "w": F.lit(0).cast("long"), "extra": F.lit(1 << 60), "cut": F.lit(0).cast("long"),
+            "next": F.lit(False), "early": F.lit(True), "cut_early": F.lit(0).cast("long"), "place": F.lit(0).cast("long"),
         })
-        found, rest, before = None, segments.withColumn("family", F.lit(0).cast("long")), None
+        found, before = None, None
         while True:
-            largest = met.groupBy("key").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+            largest = met.groupBy("key").agg(F.count_if("early").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
             stuck = before is not None and largest > SHRINKS * before
             new, stars = self.level(met, sizes, segments, stuck)
             found = new if found is None else found.union(new)
@@ -287,7 +314,12 @@ class Join:
                 break
             with noted() as spent:
                 labels = components(found)
-            beyond, rest = self.beyond_pivots(stars, rest, sizes, segments, labels)
+            beyond, sure = self.around_centers(stars, sizes, segments, labels)
+            if not sure.isEmpty():
+                found = found.union(sure)
+                with noted() as more:
+                    labels = components(found)
+                spent += more
             met, before = materialize(labeled(beyond, "node", labels)), largest
             drop(met.sparkSession, spent)
         return found

@@ -108,6 +108,23 @@ def test_components_by_brute_force(spark, similarity):
     assert got == {i: (len(sets[i]), want[i]) for i in sets}
 
 
+def test_near_copies_that_do_not_link_are_not_compared_one_by_one(spark, monkeypatch):
+    """400 texts around one, each a little too far from it and the others: no pair of most is written out."""
+    draw, compared, overlaps = random.Random(5), [], jaccard.overlaps
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        for j, at in enumerate(draw.sample(range(2, 118), 2)):
+            words[at] = f"x{i}_{j}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "overlaps", lambda pairs, segments: compared.append(pairs.count()) or overlaps(pairs, segments))
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_classes(docs, Similarity(3, 90)).collect()}
+    assert got == brute_components({i: shingles(t, 3) for i, t in enumerate(texts)}, 90)
+    assert len(set(got.values())) > 100 and sum(compared) < 10 * len(texts)
+
+
 def test_linked_sets_share_a_key():
     rnd = random.Random(8)
     for s in (Similarity(3, 90), Similarity(5, 80)):
