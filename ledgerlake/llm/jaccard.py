@@ -14,7 +14,8 @@ numbers is the global order of the n-grams; it is cut into ranges, the fragments
    either differs little from the center, and then links with the nearest document, too, or must share shingles in which both
    are apart from it. Such documents meet again under those shingles, and so on.
    No group's pairs are written out, and no link between different components is lost.
-4. Verification: partial overlaps are counted per fragment and summed per pair.
+4. Verification: partial overlaps are counted per fragment and summed per pair. Pairs whose sizes are too far apart
+   to link are not sent there, and pairs with too little in common in the first fragment not to the others.
 
 Null and empty texts have empty sets and link with nothing; a text with fewer words than a shingle
 is its whole sequence; repeated rows are copies of one class; null or repeated ids do not disturb
@@ -98,15 +99,23 @@ def range_column(similarity: Similarity):
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """``pairs(a, b, ...)`` with ``common``: partial overlaps per range, summed per pair."""
+    """``pairs(a, b, ...)`` with ``common``: partial overlaps per range, summed per pair.
+
+    ``seen_a`` and ``seen_b`` are how many shingles of either the given ranges hold.
+    """
     left = segments.select(F.col("node").alias("a"), F.col("at").alias("at_a"), F.col("s").alias("s_a"))
     right = segments.select(F.col("node").alias("b"), F.col("at").alias("at_b"), F.col("s").alias("s_b"))
     partial = (
         pairs.join(left, "a").withColumnRenamed("at_a", "at")
         .join(right.withColumnRenamed("at_b", "at"), ["b", "at"])
-        .withColumn("partial", F.size(F.array_intersect("s_a", "s_b")))
+        .select(
+            *pairs.columns, F.size(F.array_intersect("s_a", "s_b")).alias("partial"),
+            F.size("s_a").alias("in_a"), F.size("s_b").alias("in_b"),
+        )
+    )
+    return partial.groupBy(*pairs.columns).agg(
+        F.sum("partial").alias("common"), F.sum("in_a").alias("seen_a"), F.sum("in_b").alias("seen_b")
     )
-    return partial.groupBy(*pairs.columns).agg(F.sum("partial").alias("common"))
 
 
 def labeled(df: DataFrame, node: str, labels: DataFrame) -> DataFrame:
@@ -155,8 +164,9 @@ class Join:
             # A byte for each of a fixed number of counters.
             counted = self.source.sparkSession.sparkContext.broadcast(levels(self.source, self.similarity.words))
         keys = self.texts().select("node", F.explode(key_column(self.similarity, counted)("text")).alias("key"))
+        # Most keys are of one document, so that counting them before they are sent would only take memory beside Python.
         shared = materialize(
-            keys.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
+            keys.select("key").repartition("key").groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
         )
         members = keys.join(shared, "key", "left_semi")
         members = members if self.by_id else members.distinct()
@@ -168,9 +178,7 @@ class Join:
 
     def segments(self, met: DataFrame) -> DataFrame:
         """(node, n, at, s): the sets of the documents that met any other, range by range."""
-        wanted = materialize(met.select("node").distinct())
-        few = wanted.count() <= SENT_NODES
-        texts = self.texts().join(F.broadcast(wanted) if few else wanted, "node", "left_semi")
+        texts = self.among(self.texts(), met.select("node"))
         parts = texts.select("node", F.posexplode(range_column(self.similarity)("text")).alias("at", "s"))
         return materialize(parts if self.by_id else parts.distinct())
 
@@ -184,7 +192,6 @@ class Join:
         large group, the pivots there see to the pair. ``place`` is that of the key among the ``extra`` ones. A group is as large as its documents that have the key early, so
         no document of a small one meets more than that.
         """
-        need = self.similarity.needed_column
         groups = materialize(
             met.join(sizes, "node").groupBy("key").agg(
                 F.count_if("early").alias("members"),
@@ -218,14 +225,36 @@ class Join:
             .select(F.coalesce("family", F.lit(0)).alias("family"), (-F.col("best.back")).alias("a"), F.col("node").alias("b"))
             .filter("a <> b").distinct()
         )
-        # Written, so that the planner knows how few they are and leaves the sets where they stand.
-        pairs = materialize(small.union(stars.select("a", "b")).distinct())
+        return self.linked(small.union(stars.select("a", "b")).distinct(), sizes, segments), stars
+
+    def linked(self, pairs: DataFrame, sizes: DataFrame, segments: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link.
+
+        A pair has no more in common than what was seen so far and the lesser rest; where that is not enough, its sets need
+        not be sent further. Most pairs that met by chance end at their sizes or at the first range, so that
+        about a quarter of their sets is moved at most.
+        """
+        def rest(of: str) -> Column:
+            return F.col(f"n_{of}") - F.col(f"seen_{of}")
+
+        enough = F.col("common") + F.least(rest("a"), rest("b")) >= self.similarity.needed_column(F.col("n_a"), F.col("n_b"))
         sized = (
-            overlaps(pairs, segments)
-            .join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
+            pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
             .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
+            .filter(self.similarity.needed_column(F.col("n_a"), F.col("n_b")) <= F.least("n_a", "n_b"))
         )
-        return materialize(sized.filter(F.col("common") >= need(F.col("n_a"), F.col("n_b"))).select("a", "b")), stars
+        # Written, so that the planner knows how few they are and leaves the sets where they stand.
+        left = materialize(sized)
+        for part in (segments.filter("at = 0"), segments):
+            sets = self.among(part, left.select(F.col("a").alias("node")).union(left.select("b")))
+            left = materialize(overlaps(left, sets).filter(enough).select(*left.columns))
+        return left.select("a", "b")
+
+    @staticmethod
+    def among(df: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The rows of the given nodes; a few of these are sent to where the rows are."""
+        wanted = materialize(nodes.distinct())
+        return df.join(F.broadcast(wanted) if wanted.count() <= SENT_NODES else wanted, "node", "left_semi")
 
     def lack_column(self, w: Column) -> Column:
         """Shingles that a pair must share of those that set it apart from a center, by the sum of its ``w``."""

@@ -125,6 +125,28 @@ def test_near_copies_that_do_not_link_are_not_compared_one_by_one(spark, monkeyp
     assert len(set(got.values())) > 100 and sum(compared) < 10 * len(texts)
 
 
+def test_only_pairs_that_may_link_are_compared_whole(spark, monkeypatch):
+    """Texts of shared long sentences meet often and seldom link: sizes and the first range end most pairs."""
+    draw, compared, overlaps, rule = random.Random(3), [], jaccard.overlaps, Similarity(5, 80)
+    pool = [" ".join(f"s{k}w{j}" for j in range(60)) for k in range(30)]
+    texts = [" ".join(draw.sample(pool, draw.randrange(1, 9))) for _ in range(150)]
+    texts += [t + " end" for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def noting(pairs, segments):
+        whole = segments.filter("at > 0").count() > 0
+        compared.append((whole, [(r["a"], r["b"]) for r in pairs.select("a", "b").collect()]))
+        return overlaps(pairs, segments)
+
+    monkeypatch.setattr(jaccard, "overlaps", noting)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_classes(docs, rule).collect()}
+    sets = {i: shingles(t, 5) for i, t in enumerate(texts)}
+    assert got == brute_components(sets, 80)
+    first, whole = ([pair for w, pairs in compared if w is kind for pair in pairs] for kind in (False, True))
+    assert all(100 * min(len(sets[a]), len(sets[b])) >= 79 * max(len(sets[a]), len(sets[b])) for a, b in first + whole)
+    assert 0 < len(whole) < len(first)
+
+
 def test_linked_sets_share_a_key():
     rnd = random.Random(8)
     for s in (Similarity(3, 90), Similarity(5, 80)):
