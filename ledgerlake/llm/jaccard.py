@@ -8,7 +8,8 @@ numbers is the global order of the n-grams; it is cut into ranges, the fragments
    some fragment holds the same segment in both. Documents meet under the key of a segment. Where the
    similarity is so low that segments would be of few shingles, and so met by chance, the order is
    rarest first instead, by counters of fixed size over all documents, and documents meet under the
-   shingles of a prefix of that order; linked sets share one of these whatever the order.
+   shingles of a prefix of that order; linked sets share several of these whatever the order. The counters tell ever less
+   of ever more documents, so documents that share fewer with all others, and pairs that do, are not looked at.
 3. Each key has one pivot, the best that any of its documents meets under its keys, and they are
    compared with it only. The documents of a pivot have a center, the shingles of more than half of them. A linked pair
    either differs little from the center, and then links with the nearest document, too, or must share shingles in which both
@@ -37,13 +38,14 @@ from ledgerlake.llm.components import components
 from ledgerlake.llm.rarity import levels, place
 from ledgerlake.llm.shingles import Similarity, mix, shingle_set
 from ledgerlake.llm.text import packed, row_key
-from ledgerlake.llm.scratch import drop, materialize, noted, small_batches
+from ledgerlake.llm.scratch import drop, materialize, noted, short_shuffles, small_batches
 
 RANGES = 4  # fragments in which overlaps are counted
 FEW = 4  # documents that met under one key and are compared one by one, at first
 FEW_LATER = 32  # the same for keys around a center, where pairs must share several
 SHARED = 4  # keys around a center that a pair must share, unless it needs fewer
 SHRINKS = 0.98  # a level whose largest group is more of the one before than that compares all that is left
+ROUNDS = 2  # documents that share too few keys to link are left out; then those that shared theirs with such ones
 SENT_NODES = 200_000  # nodes whose ids (8 bytes each) may be broadcast to pick their texts
 
 
@@ -158,7 +160,7 @@ class Join:
         return self.source.select(set_columns(self.similarity)("text")["f1"].alias("node"), "text")
 
     def met(self) -> DataFrame:
-        """(key, node) of the keys that two or more representatives share."""
+        """(key, node, least) of the keys that two or more representatives share, where they share ``least`` or more."""
         counted = None
         if self.similarity.rare_first:
             # A byte for each of a fixed number of counters.
@@ -174,7 +176,16 @@ class Join:
             self.rows.filter("n > 0").join(self.copies.select("n", "f1", "f2", "rep"), ["n", "f1", "f2"])
             .filter("rep <> node").select("node").distinct()
         )
-        return materialize(members.join(others, "node", "left_anti").select("key", "node"))
+        met = materialize(members.join(others, "node", "left_anti").select("key", "node"))
+        least = self.rows.filter("n > 0").groupBy("node").agg(F.min(self.similarity.least_column(F.col("n"))).alias("least"))
+        if not self.similarity.rare_first:
+            return met.withColumn("least", self.similarity.least_column(F.lit(0)))
+        for _ in range(ROUNDS):
+            again = met.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
+            met = materialize(met.select("key", "node").join(again, "key", "left_semi"))
+            enough = met.groupBy("node").agg(F.count("*").alias("keys")).join(least, "node").filter("keys >= least")
+            met = materialize(met.join(enough.select("node", "least"), "node"))
+        return met
 
     def segments(self, met: DataFrame) -> DataFrame:
         """(node, n, at, s): the sets of the documents that met any other, range by range."""
@@ -186,7 +197,8 @@ class Join:
         """Compare the documents of each key: (links found, who was compared with which pivot in which family).
 
         ``met(key, node, label, w, extra, cut, early, cut_early, place)`` has the components found so far as labels; keys whose
-        documents are all in one component have nothing more to tell. A pair of a family must share as many of
+        documents are all in one component have nothing more to tell. Before there are families, a ``cut`` below 0 stands for the keys
+        beyond one that a pair must share. A pair of a family must share as many of
         the ``extra`` shingles in which they are apart from its center as their ``w`` ask for, and so as many of its keys, less
         those ``cut`` off, that are ``early`` ones of the document with the lower ``w``; if one of these is of a
         large group, the pivots there see to the pair. ``place`` is that of the key among the ``extra`` ones. A group is as large as its documents that have the key early, so
@@ -330,9 +342,9 @@ class Join:
         self.largest = sizes.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
         met = met.withColumns({
             "label": F.col("node"), "family": F.lit(None).cast("long"),
-            "w": F.lit(0).cast("long"), "extra": F.lit(1 << 60), "cut": F.lit(0).cast("long"),
-            "next": F.lit(False), "early": F.lit(True), "cut_early": F.lit(0).cast("long"), "place": F.lit(0).cast("long"),
-        })
+            "w": F.lit(0).cast("long"), "extra": F.lit(1 << 60), "cut": 1 - F.col("least"),
+            "next": F.lit(False), "early": F.lit(True), "cut_early": 1 - F.col("least"), "place": F.lit(0).cast("long"),
+        }).drop("least")
         found, before = None, None
         while True:
             largest = met.groupBy("key").agg(F.count_if("early").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
@@ -359,7 +371,10 @@ class Join:
         ``component_id`` is the smallest id of the row's component; ``group`` names the component
         itself and is null for empty sets.
         """
-        links = materialize(self.links().distinct())
+        with noted() as spent:
+            found = self.links()
+        links = materialize(found.distinct())
+        drop(self.source.sparkSession, spent)
         labels = components(links)
         if self.by_id:
             named = labels.select("node", "label", F.col("label").alias("component"))
@@ -384,7 +399,7 @@ class Join:
 
 def jaccard_classes(docs: DataFrame, similarity: Similarity) -> DataFrame:
     """doc_id, row key, n_shingles, component_id and group of every document."""
-    with small_batches(docs.sparkSession):  # all steps that run Python are written inside
+    with small_batches(docs.sparkSession), short_shuffles(docs.sparkSession):  # all steps that run Python are written inside
         return Join(docs, similarity).classes()
 
 
@@ -393,23 +408,28 @@ def one_of_each(docs: DataFrame, similarity: Similarity) -> DataFrame:
 
     Null ids come after others; of repeated rows one stays; documents without words all stay.
     """
-    classes = materialize(jaccard_classes(docs, similarity))
+    with short_shuffles(docs.sparkSession):
+        with noted() as spent:
+            found = jaccard_classes(docs, similarity)
+        classes = materialize(found)
+        drop(docs.sparkSession, spent)
+        repeated = (
+            classes.filter(F.col("group").isNotNull()).groupBy("doc_id", "key").agg(F.count("*").alias("times"))
+            .filter("times > 1").select("doc_id", "key")
+        )
+        unique = repeated.isEmpty()
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     first = classes.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("first"))
     keep = first.select("first.doc_id", "first.key").union(
         classes.filter(F.col("group").isNull()).select("doc_id", "key").distinct()
     )
-    repeated = (
-        classes.filter(F.col("group").isNotNull()).groupBy("doc_id", "key").agg(F.count("*").alias("times"))
-        .filter("times > 1").select("doc_id", "key")
-    )
     rows = docs.select(packed(docs).alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("key"))
 
     def among(other: DataFrame, how: str) -> DataFrame:
         other = other.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
         return rows.join(other, F.col("doc.doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), how)
 
-    if repeated.isEmpty():
+    if unique:
         return among(keep, "left_semi").select("doc.*")
     both = repeated.join(keep, (repeated["doc_id"].eqNullSafe(keep["doc_id"])) & (repeated["key"] == keep["key"]), "left_semi")
     rows = among(keep, "left_semi")

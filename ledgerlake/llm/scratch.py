@@ -33,17 +33,25 @@ def noted() -> Iterator[list[str]]:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
-    """What is run inside sends rows to Python in batches of about so many bytes, as texts may be of any length."""
-    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+def _set(spark: SparkSession, setting: str, value: str) -> Iterator[None]:
     before = spark.conf.get(setting)
-    spark.conf.set(setting, size)
+    spark.conf.set(setting, value)
     try:
         yield
     finally:
         spark.conf.set(setting, before)
 
 
+def small_batches(spark: SparkSession, size: str = "4m"):
+    """What is run inside sends rows to Python in batches of about so many bytes, as texts may be of any length."""
+    return _set(spark, "spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def short_shuffles(spark: SparkSession):
+    """What is run inside has its shuffle files deleted when its result is there, not when the driver happens to collect its garbage."""
+    return _set(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def drop(spark: SparkSession, folders: list[str]) -> None:
     """Delete noted folders through the file system that Spark wrote them to."""
     while folders:

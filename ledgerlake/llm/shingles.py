@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _PIECE = 1 << 20  # bytes hashed at once
+EACH = 20  # for so many shingles of a set, linked sets have one more of the rarest in common
 _ODD = 0x9E3779B97F4A7C15
 _BACK = pow(_ODD, -1, 1 << 64)
 
@@ -141,15 +142,22 @@ class Similarity:
         return not self.thin
 
     def prefix(self, shingles: np.ndarray, level: np.ndarray) -> np.ndarray:
-        """The first shingles by level, then number: linked sets have one of these in common.
+        """The first shingles by level, then number: linked sets have ``least_column`` of these in common.
 
-        Linked sets share at least ``part / whole`` of the larger one. Were nothing of that among the first
-        ``n - ceil(part * n / whole) + 1`` of either, too few would be left behind these.
+        Linked sets share at least ``part / whole`` of the larger one. So at most ``n - ceil(part * n / whole)`` of a set
+        are not shared, and its first ``1 + n // EACH`` shared ones are among so many more; of the smaller set's
+        first ones, each is among the larger one's, too.
         """
         n = len(shingles)
-        first = n + 1 + (-self.part * n) // self.whole if n else 0
+        first = n + 1 + (-self.part * n) // self.whole + n // EACH if n else 0
         return shingles[np.argsort(level, kind="stable")[:first]]
 
+    def least_column(self, n):
+        """Keys that a set of size ``n`` has in common with any set it links with, as a column: as many as the smallest of these asks for."""
+        if not self.rare_first:
+            return F.lit(1).cast("long")
+        return F.floor(F.ceil(self.part * n / self.whole) / EACH) + 1
+
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         """A key per fragment: equal for equal segments of the same cut.
 

@@ -8,6 +8,7 @@ import os
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -19,6 +20,7 @@ from ledgerlake.llm import decontaminate, jaccard, licenses, mixing, rarity, rul
 from ledgerlake.llm.components import components
 from ledgerlake.llm.queries import tokenizer_path
 from ledgerlake.llm.shingles import Similarity, shingle_set
+from ledgerlake.operators import scale
 
 from llm_helpers import brute_components, ids, no_docs, odd_docs, shingles  # noqa: F401
 
@@ -165,6 +167,79 @@ def test_linked_sets_share_a_key():
                 assert set(s.prefix(x, x_level)) & set(s.prefix(y, y_level))
 
 
+def test_linked_sets_share_as_many_of_the_rarest_as_they_ask_for(spark):
+    rnd, linked = random.Random(4), 0
+    for s in (Similarity(5, 80), Similarity(2, 60)):
+        least = [r[0] for r in spark.range(1000).orderBy("id").select(s.least_column(F.col("id"))).collect()]
+        assert least[400] == 1 + 400 * s.part // 100 // 20 and least[1] == 1
+        for _ in range(300):
+            x = np.unique(np.array([rnd.getrandbits(64) for _ in range(rnd.randrange(1, 400))], np.uint64))
+            keep = x[: max(1, len(x) - rnd.randrange(1 + len(x) * (s.whole - s.part) // s.whole))]
+            room = max(0, len(keep) * s.whole // s.part - len(x))
+            y = np.unique(np.concatenate([keep, np.array([rnd.getrandbits(64) for _ in range(rnd.randrange(1 + room))], np.uint64)]))
+            common = len(set(x) & set(y))
+            if 100 * common >= s.part * len(set(x) | set(y)):
+                order = np.random.default_rng(len(x)).integers(0, 4, 1 << 16).astype(np.uint8)
+                a, b = (set(s.prefix(z, order[(z >> np.uint64(48)).astype(np.int64)])) for z in (x, y))
+                assert len(a & b) >= max(least[len(x)], least[len(y)])
+                linked += 1
+    assert linked > 200
+
+
+def test_documents_that_meet_by_chance_are_not_compared(spark, monkeypatch):
+    """Each text shares short passages with many others; counters that are all alike, as with far more shingles than counters."""
+    draw, compared, sent, overlaps, segments = random.Random(6), [], [], jaccard.overlaps, jaccard.Join.segments
+    passages = [" ".join(f"p{k}w{j}" for j in range(6)) for k in range(400)]
+    texts = []
+    for i in range(120):
+        own = [f"d{i}w{j}" for j in range(200)]
+        for k in draw.sample(range(400), 8):
+            own[draw.randrange(200)] = passages[k]
+        texts.append(" ".join(own))
+    texts += [t + " end" for t in texts[:10]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "levels", lambda *a: np.zeros(rarity.COUNTERS, np.uint8))
+    monkeypatch.setattr(jaccard, "overlaps", lambda pairs, parts: compared.append(pairs.count()) or overlaps(pairs, parts))
+
+    def noting(self, met):
+        sent.append(met.select("node").distinct().count())
+        return segments(self, met)
+
+    monkeypatch.setattr(jaccard.Join, "segments", noting)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_classes(docs, Similarity(5, 80)).collect()}
+    assert got == brute_components({i: shingles(t, 5) for i, t in enumerate(texts)}, 80)
+    assert sent == [20] and compared[0] == 10
+
+
+def test_near_copies_leave_little_behind(spark, monkeypatch):
+    """What was written or shuffled on the way is deleted before the documents themselves are moved."""
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum("shuffle_" in files.apply(i).getName() for i in range(files.size()))
+
+    rnd, written, write = random.Random(9), [], scale.materialize
+    texts = list(copies(rnd, 60, 60, 6, [f"v{i}" for i in range(400)]))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+
+    def noting(df):
+        out = write(df)
+        written.extend({path.removeprefix("file:").rsplit("/", 1)[0] for path in out.inputFiles()})
+        return out
+
+    monkeypatch.setattr(scale, "materialize", noting)
+    before = shuffled()
+    kept = jaccard.one_of_each(docs, Similarity(5, 80))
+    for _ in range(50):  # deleted in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    # The files are named file:///..., file:/... or /... .
+    there = [d for d in written if os.path.exists("/" + d.lstrip("/"))]
+    assert len(written) > 10 and len(there) == 1
+    assert 0 < kept.count() < len(texts)
+
+
 def test_common_shingles_have_higher_levels(spark):
     """Levels follow the number of documents, over several tasks, nulls and an empty table."""
     texts = [f"shared words here own{i}" for i in range(40)] + ["rare three words", None, ""]
