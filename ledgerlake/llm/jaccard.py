@@ -159,8 +159,8 @@ class Join:
             return self.source.withColumnRenamed("doc_id", "node")
         return self.source.select(set_columns(self.similarity)("text")["f1"].alias("node"), "text")
 
-    def met(self) -> DataFrame:
-        """(key, node, least) of the keys that two or more representatives share, where they share ``least`` or more."""
+    def shared(self) -> DataFrame:
+        """(key, node) of the keys that two or more representatives share, or one and its copies."""
         counted = None
         if self.similarity.rare_first:
             # A byte for each of a fixed number of counters.
@@ -176,15 +176,24 @@ class Join:
             self.rows.filter("n > 0").join(self.copies.select("n", "f1", "f2", "rep"), ["n", "f1", "f2"])
             .filter("rep <> node").select("node").distinct()
         )
-        met = materialize(members.join(others, "node", "left_anti").select("key", "node"))
+        return members.join(others, "node", "left_anti").select("key", "node")
+
+    def enough(self, met: DataFrame) -> DataFrame:
+        """(key, node, least) of the keys that two or more documents share, of those documents that have enough of them."""
+        again = met.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
+        met = materialize(met.join(again, "key", "left_semi"))
         least = self.rows.filter("n > 0").groupBy("node").agg(F.min(self.similarity.least_column(F.col("n"))).alias("least"))
-        if not self.similarity.rare_first:
-            return met.withColumn("least", self.similarity.least_column(F.lit(0)))
-        for _ in range(ROUNDS):
-            again = met.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1").select("key")
-            met = materialize(met.select("key", "node").join(again, "key", "left_semi"))
-            enough = met.groupBy("node").agg(F.count("*").alias("keys")).join(least, "node").filter("keys >= least")
-            met = materialize(met.join(enough.select("node", "least"), "node"))
+        nodes = met.groupBy("node").agg(F.count("*").alias("keys")).join(least, "node").filter("keys >= least")
+        return met.join(nodes.select("node", "least"), "node")
+
+    def met(self) -> DataFrame:
+        """(key, node, least) of the keys that two or more representatives share, where they share ``least`` or more."""
+        with noted() as spent:
+            met = self.shared().withColumn("least", F.lit(1).cast("long"))
+            for _ in range(ROUNDS if self.similarity.rare_first else 0):
+                met = self.enough(materialize(met.select("key", "node")))
+        met = materialize(met)
+        drop(self.source.sparkSession, spent)
         return met
 
     def segments(self, met: DataFrame) -> DataFrame:

@@ -153,9 +153,7 @@ class Similarity:
         return shingles[np.argsort(level, kind="stable")[:first]]
 
     def least_column(self, n):
-        """Keys that a set of size ``n`` has in common with any set it links with, as a column: as many as the smallest of these asks for."""
-        if not self.rare_first:
-            return F.lit(1).cast("long")
+        """Shingles of its prefix that a set of size ``n`` shares with that of any set it links with, as a column."""
         return F.floor(F.ceil(self.part * n / self.whole) / EACH) + 1
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
